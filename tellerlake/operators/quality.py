@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tellerlake import schemas as S
 from tellerlake.functions import rules
-from tellerlake.functions.exact import score_mean
+from tellerlake.functions.exact import money, percent, score_mean
 from tellerlake.operators.graph import mule_accounts
 from tellerlake.operators.reports import distinct_accounts
 
@@ -99,18 +99,38 @@ def gate(results: DataFrame) -> DataFrame:
 # --- suites -----------------------------------------------------------------------
 
 def transaction_checks(
-    rows: Column, accounts: Column, fraud: Column, volume: Column, rate_pct: Column, last: Column,
-    volume_tolerance: float = 0.01, rate_tolerance: float = 0.05,
+    accounts: Column,
+    expected_rows: float | Column,
+    expected_accounts: float | Column,
+    expected_fraud: float | Column,
+    expected_volume: float | Column,
+    expected_rate: float | Column,
+    expected_step: float | Column,
+    volume_tolerance: float = 0.01,
+    rate_tolerance: float = 0.05,
 ) -> list[Check]:
-    """Size, fraud and volume against what the caller expects (control totals)."""
-    total = F.sum(F.col("amount").cast("decimal(18,2)"))
+    """Size, volume and fraud against control totals."""
+    fraud = F.sum("isFraud")
     return [
-        equals("transaction count", ROWS, rows),
-        equals("distinct accounts", F.max("distinct_accounts"), accounts),
-        equals("confirmed fraud", F.sum("isFraud"), fraud),
-        equals("total volume", total, volume, volume_tolerance),
-        equals("fraud rate pct", F.try_divide(F.lit(100.0) * F.sum("isFraud"), ROWS), rate_pct, rate_tolerance),
-        equals("max step", F.max("step"), last),
+        equals("transaction count", ROWS, expected_rows),
+        equals("distinct accounts", accounts, expected_accounts),
+        equals("confirmed fraud", fraud, expected_fraud),
+        equals("total volume", F.sum(money("amount")), expected_volume, volume_tolerance),
+        equals("fraud rate pct", percent(fraud, ROWS), expected_rate, rate_tolerance),
+        equals("max step", F.max("step"), expected_step),
+    ]
+
+
+def graph_checks(
+    accounts: Column, edges: Column, mules: Column,
+    expected_accounts: float | Column, expected_rows: float | Column,
+) -> list[Check]:
+    """On transaction nodes: node and edge counts, and enough mule accounts."""
+    return [
+        equals("account nodes", accounts, expected_accounts),
+        equals("transaction nodes", ROWS, expected_rows),
+        equals("relationship edges", edges, expected_rows * 2),
+        at_least("mule accounts", mules, S.MULE_FLOOR),
     ]
 
 

@@ -21,9 +21,19 @@ EVENT_TYPES = {
     "click": "CASH_OUT", "error": "TRANSFER",
 }
 
+TABLES = {
+    "orders": """o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING,
+        o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING""",
+    "customer": """c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE,
+        c_mktsegment STRING""",
+    "events": """event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,
+        value DOUBLE, props STRING""",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A benchmark table under its declared schema, so no job has to infer one."""
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _lookup(key: Column, mapping: dict[str, str]) -> Column:
