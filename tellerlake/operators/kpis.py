@@ -14,7 +14,9 @@ from tellerlake.operators.blend import select_present
 from tellerlake.operators.bounds import extent
 from tellerlake.operators.quantile import exact_median
 
-ROWS = F.count(F.lit(1))
+
+def row_count() -> Column:
+    return F.count(F.lit(1))
 
 
 def _zero(c: Column) -> Column:
@@ -43,7 +45,7 @@ def with_latency(df: DataFrame, flagged_at: Column) -> DataFrame:
 
 def flagged_by_day(flagged: DataFrame) -> DataFrame:
     return flagged.groupBy(rules.day_of().alias("day")).agg(
-        ROWS.alias("flagged_count"),
+        row_count().alias("flagged_count"),
         money_sum("amount").alias("value"),
         F.count_if(rules.is_false_positive()).alias("false_positives"),
     )
@@ -62,7 +64,7 @@ def kpi_fraud_board(
     on_latest = F.col("day") == latest
     on_previous = F.col("day") == latest - 1
 
-    steps = txns.groupBy("step").agg(ROWS.alias("n"), F.sum("isFraud").alias("fraud"))
+    steps = txns.groupBy("step").agg(row_count().alias("n"), F.sum("isFraud").alias("fraud"))
     late = F.col("step") > extent(steps)["step_hi"] / 2
 
     def rate(part: Column) -> Column:
@@ -106,13 +108,13 @@ def kpi_fraud_board(
 
 def flagged_by_step(flagged: DataFrame) -> DataFrame:
     return flagged.groupBy("step", "type").agg(
-        ROWS.alias("flagged_count"), money_sum("amount").alias("value")
+        row_count().alias("flagged_count"), money_sum("amount").alias("value")
     )
 
 
 def flagged_by_type(flagged: DataFrame, ordered: bool = True) -> DataFrame:
     counts = flagged.groupBy("type").agg(
-        ROWS.alias("flagged"),
+        row_count().alias("flagged"),
         F.sum("isFraud").alias("confirmed"),
         money_sum("amount").alias("value"),
     )
@@ -143,7 +145,7 @@ def live_feed(flagged: DataFrame, n: int = 250, status: str = "all") -> DataFram
 
 def fraud_batch_metric(batch: DataFrame, batch_id: int) -> DataFrame:
     """Size, hits and hit rate of one micro-batch, counted in a single pass."""
-    return batch.agg(ROWS.alias("totalCount"), F.count_if(rules.fraud_rule()).alias("flaggedCount")).select(
+    return batch.agg(row_count().alias("totalCount"), F.count_if(rules.fraud_rule()).alias("flaggedCount")).select(
         F.lit(batch_id).cast("bigint").alias("batchId"),
         "totalCount", "flaggedCount",
         _zero(percent(F.col("flaggedCount"), F.col("totalCount"))).alias("fraudRatePct"),
@@ -154,7 +156,7 @@ def fraud_batch_metric(batch: DataFrame, batch_id: int) -> DataFrame:
 
 def segment_distribution(profiles: DataFrame, ordered: bool = True) -> DataFrame:
     groups = profiles.groupBy("segment").agg(
-        ROWS.alias("customers"),
+        row_count().alias("customers"),
         score_mean("risk_score").alias("avg_risk"),
         score_mean("churn_probability").alias("avg_churn"),
     )
@@ -164,21 +166,21 @@ def segment_distribution(profiles: DataFrame, ordered: bool = True) -> DataFrame
 def portfolio_kpis(profiles: DataFrame) -> DataFrame:
     products = F.coalesce(F.size("products"), F.lit(0))
     return profiles.agg(
-        ROWS.alias("customers"),
+        row_count().alias("customers"),
         F.count_if(F.col("kyc_status") == "verified").alias("verified"),
         score_mean("risk_score").alias("avg_risk"),
         score_mean("churn_probability").alias("avg_churn"),
-        F.try_divide(F.sum(products), ROWS).alias("avg_products"),
+        F.try_divide(F.sum(products), row_count()).alias("avg_products"),
     )
 
 
 def kpi_customer_360(blend: DataFrame) -> DataFrame:
     return blend.agg(
-        ROWS.alias("total_customers"),
+        row_count().alias("total_customers"),
         F.count_if(F.col("kyc_status") == "verified").alias("verified"),
         score_mean("risk_score").alias("avg_risk"),
         score_mean("churn_probability").alias("avg_churn"),
-        F.try_divide(F.sum("product_count"), ROWS).alias("avg_products"),
+        F.try_divide(F.sum("product_count"), row_count()).alias("avg_products"),
         score_mean("composite_risk_score").alias("avg_composite_risk"),
     )
 
@@ -203,7 +205,7 @@ def churn_heatmap(blend: DataFrame, channels: Sequence[str] = S.CHANNELS) -> Dat
 
 
 def clv_tier_counts(blend: DataFrame, ordered: bool = True) -> DataFrame:
-    counts = blend.groupBy("clv_tier").agg(ROWS.alias("customers"))
+    counts = blend.groupBy("clv_tier").agg(row_count().alias("customers"))
     if not ordered:
         return counts
     known = F.array(*map(F.lit, S.CLV_TIER_ORDER))
@@ -227,7 +229,7 @@ def risk_churn_quadrant(blend: DataFrame) -> DataFrame:
 
 
 def risk_band_counts(blend: DataFrame) -> DataFrame:
-    return blend.groupBy("risk_band").agg(ROWS.alias("customers"))
+    return blend.groupBy("risk_band").agg(row_count().alias("customers"))
 
 
 def top_priority_customers(blend: DataFrame, k: int = 50) -> DataFrame:
@@ -247,7 +249,7 @@ def kpi_compliance(
     """Headline numbers of the compliance page for the selected types, one row."""
     severe = F.col("dormancy_severity") == "Severely Dormant"
     accounts = dormancy.agg(
-        F.struct(ROWS.alias("dormant"), F.count_if(severe).alias("severe"))
+        F.struct(row_count().alias("dormant"), F.count_if(severe).alias("severe"))
     ).scalar()
     totals = type_slice(compliance, types).agg(
         _zero(F.sum("txn_count")).alias("total_txns"),
@@ -291,7 +293,7 @@ def fraud_rate_trend(
 
 
 def dormancy_tier_counts(dormancy: DataFrame) -> DataFrame:
-    return dormancy.groupBy("dormancy_severity").agg(ROWS.alias("accounts"))
+    return dormancy.groupBy("dormancy_severity").agg(row_count().alias("accounts"))
 
 
 def longest_dormant(dormancy: DataFrame, k: int = 25) -> DataFrame:
@@ -303,7 +305,7 @@ def longest_dormant(dormancy: DataFrame, k: int = 25) -> DataFrame:
 
 
 def risk_tier_counts(risk: DataFrame) -> DataFrame:
-    return risk.groupBy("risk_tier").agg(ROWS.alias("customers"))
+    return risk.groupBy("risk_tier").agg(row_count().alias("customers"))
 
 
 def audit_table(compliance: DataFrame, types: Sequence[str] | None = None) -> DataFrame:

@@ -20,7 +20,10 @@ from tellerlake.operators.graph import mule_accounts
 from tellerlake.operators.reports import distinct_accounts
 
 RESULT_DDL = "dataset STRING, check STRING, actual DOUBLE, expected DOUBLE, status STRING"
-ROWS = F.count(F.lit(1))
+
+
+def row_count() -> Column:
+    return F.count(F.lit(1))
 
 
 @dataclass(frozen=True)
@@ -112,11 +115,11 @@ def transaction_checks(
     """Size, volume and fraud against control totals."""
     fraud = F.sum("isFraud")
     return [
-        equals("transaction count", ROWS, expected_rows),
+        equals("transaction count", row_count(), expected_rows),
         equals("distinct accounts", accounts, expected_accounts),
         equals("confirmed fraud", fraud, expected_fraud),
         equals("total volume", F.sum(money("amount")), expected_volume, volume_tolerance),
-        equals("fraud rate pct", percent(fraud, ROWS), expected_rate, rate_tolerance),
+        equals("fraud rate pct", percent(fraud, row_count()), expected_rate, rate_tolerance),
         equals("max step", F.max("step"), expected_step),
     ]
 
@@ -128,7 +131,7 @@ def graph_checks(
     """On transaction nodes: node and edge counts, and enough mule accounts."""
     return [
         equals("account nodes", accounts, expected_accounts),
-        equals("transaction nodes", ROWS, expected_rows),
+        equals("transaction nodes", row_count(), expected_rows),
         equals("relationship edges", edges, expected_rows * 2),
         at_least("mule accounts", mules, S.MULE_FLOOR),
     ]
@@ -144,31 +147,31 @@ def flagged_checks() -> list[Check]:
 
 
 def profile_checks(
-    rows: float | Column, segments: Sequence[str], share: float, verified_share: float,
+    expected_rows: float | Column, segments: Sequence[str], share: float, verified_share: float,
     avg_risk: float, avg_churn: float, avg_products: float,
     share_tolerance: float, tolerance: float,
 ) -> list[Check]:
     checks = [
-        equals("customer documents", ROWS, rows),
+        equals("customer documents", row_count(), expected_rows),
         equals("distinct segments", F.count_distinct("segment"), len(segments)),
         equals(
             "verified share",
-            F.try_divide(F.count_if(F.col("kyc_status") == "verified"), ROWS),
+            F.try_divide(F.count_if(F.col("kyc_status") == "verified"), row_count()),
             verified_share, tolerance,
         ),
         equals("avg risk score", score_mean("risk_score"), avg_risk, tolerance),
         equals("avg churn probability", score_mean("churn_probability"), avg_churn, tolerance),
-        equals("avg products held", F.try_divide(F.sum(F.size("products")), ROWS), avg_products, tolerance),
+        equals("avg products held", F.try_divide(F.sum(F.size("products")), row_count()), avg_products, tolerance),
     ]
     for s in segments:
-        part = F.try_divide(F.count_if(F.col("segment") == s), ROWS)
+        part = F.try_divide(F.count_if(F.col("segment") == s), row_count())
         checks.append(equals(f"segment share: {s}", part, share, share_tolerance))
     return checks
 
 
 def dormancy_checks(dormant: float | Column, severe: float | Column) -> list[Check]:
     return [
-        equals("dormant accounts", ROWS, dormant),
+        equals("dormant accounts", row_count(), dormant),
         equals("severely dormant", F.count_if(F.col("steps_inactive") > S.SEVERE_AFTER_STEPS), severe),
         at_least("min transaction history", F.min("txn_count"), S.DORMANCY_MIN_TXNS),
         every_row("customer accounts only", rules.is_customer("customerId")),
@@ -177,7 +180,7 @@ def dormancy_checks(dormant: float | Column, severe: float | Column) -> list[Che
 
 def compliance_checks(volume: float | Column, fraud: float | Column, tolerance: float = 1.0) -> list[Check]:
     return [
-        equals("transaction types covered", ROWS, len(S.TXN_TYPES)),
+        equals("transaction types covered", row_count(), len(S.TXN_TYPES)),
         equals("compliance volume", F.sum(F.col("total_volume").cast("decimal(28,2)")), volume, tolerance),
         equals("compliance fraud", F.sum("fraud_count"), fraud),
     ]
@@ -188,9 +191,9 @@ def composite_gap() -> Column:
     return F.max(F.abs(F.col("composite_risk_score") - rules.composite_risk()))
 
 
-def blend_checks(rows: float | Column) -> list[Check]:
+def blend_checks(expected_rows: float | Column) -> list[Check]:
     return [
-        equals("blend row count", ROWS, rows),
+        equals("blend row count", row_count(), expected_rows),
         equals("composite formula", composite_gap(), 0, 1e-6),
     ]
 
@@ -211,7 +214,7 @@ def dq_segment_mix(profiles: DataFrame, expected: DataFrame) -> DataFrame:
     Unexpected segments and segments without customers are both mismatches.
     """
     observed = profiles.groupBy("segment").agg(
-        ROWS.alias("customers"),
+        row_count().alias("customers"),
         score_mean("risk_score").alias("avg_risk"),
         score_mean("churn_probability").alias("avg_churn"),
     )
@@ -225,7 +228,7 @@ def dq_segment_mix(profiles: DataFrame, expected: DataFrame) -> DataFrame:
 
 def dq_unique(df: DataFrame, key: str, dataset: str) -> DataFrame:
     """Rows, distinct keys, and keys that occur more than once, one row."""
-    per_key = df.groupBy(F.col(key).alias("key")).agg(ROWS.alias("n"))
+    per_key = df.groupBy(F.col(key).alias("key")).agg(row_count().alias("n"))
     return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.count("key").alias("distinct_keys"),
@@ -243,5 +246,5 @@ def dq_mule_floor(
     paths: DataFrame, floor: int = S.MULE_FLOOR, min_senders: int = S.MULE_MIN_SENDERS
 ) -> DataFrame:
     """The graph has to contain at least ``floor`` mule accounts."""
-    checks = [at_least("mule accounts", ROWS, floor)]
+    checks = [at_least("mule accounts", row_count(), floor)]
     return expectations(mule_accounts(paths, min_senders), "graph", checks)

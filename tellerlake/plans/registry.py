@@ -501,7 +501,7 @@ def dq_expectations(t: Tables) -> DataFrame:
             expected_rows=txn_rows,
         )),
         ("customers", t.profiles, Q.profile_checks(
-            rows=customers, segments=MARKET_SEGMENTS, share=0.2, verified_share=0.92,
+            expected_rows=customers, segments=MARKET_SEGMENTS, share=0.2, verified_share=0.92,
             avg_risk=0.495, avg_churn=0.495, avg_products=2.5,
             share_tolerance=0.02, tolerance=0.005,
         )),

@@ -10,40 +10,48 @@ from pyspark.sql import types as T
 
 # --- fixed values: record layouts -------------------------------------------------
 
-TRANSACTION_DDL = """
-    step INT, type STRING, amount DOUBLE,
-    nameOrig STRING, oldbalanceOrg DOUBLE, newbalanceOrig DOUBLE,
-    nameDest STRING, oldbalanceDest DOUBLE, newbalanceDest DOUBLE,
-    isFraud INT, isFlaggedFraud INT, ingestedAt BIGINT
-"""
+_STRING, _INT, _LONG, _DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
 
-CUSTOMER_DDL = """
-    customerId STRING, name STRING, age INT, segment STRING, products ARRAY<STRING>,
-    kyc_status STRING, risk_score DOUBLE, churn_probability DOUBLE,
-    account_opened STRING, preferred_channel STRING
-"""
 
-TRANSACTION_SCHEMA = T.StructType.fromDDL(TRANSACTION_DDL)
-CUSTOMER_SCHEMA = T.StructType.fromDDL(CUSTOMER_DDL)
+def _record(fields: dict[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+TRANSACTION_SCHEMA = _record({
+    "step": _INT, "type": _STRING, "amount": _DOUBLE,
+    "nameOrig": _STRING, "oldbalanceOrg": _DOUBLE, "newbalanceOrig": _DOUBLE,
+    "nameDest": _STRING, "oldbalanceDest": _DOUBLE, "newbalanceDest": _DOUBLE,
+    "isFraud": _INT, "isFlaggedFraud": _INT, "ingestedAt": _LONG,
+})
+
+CUSTOMER_SCHEMA = _record({
+    "customerId": _STRING, "name": _STRING, "age": _INT, "segment": _STRING,
+    "products": T.ArrayType(_STRING), "kyc_status": _STRING,
+    "risk_score": _DOUBLE, "churn_probability": _DOUBLE,
+    "account_opened": _STRING, "preferred_channel": _STRING,
+})
+
+# A message is the flat record or an envelope around it; one schema reads both.
 MESSAGE_SCHEMA = T.StructType(
     [*TRANSACTION_SCHEMA.fields, T.StructField("payload", TRANSACTION_SCHEMA)]
 )
 
-GRAPH_ACCOUNT_SCHEMA = T.StructType.fromDDL(
-    "`accountId:ID` STRING, accountType STRING, `:LABEL` STRING"
-)
-GRAPH_TRANSACTION_SCHEMA = T.StructType.fromDDL(
-    "`txnId:ID` STRING, `step:int` INT, type STRING, `amount:float` DOUBLE, "
-    "`isFraud:int` INT, `:LABEL` STRING"
-)
-GRAPH_SENT_SCHEMA = T.StructType.fromDDL(
-    "`:START_ID` STRING, `:END_ID` STRING, `amount:float` DOUBLE, "
-    "`timestamp:int` INT, transactionType STRING, `:TYPE` STRING"
-)
-GRAPH_RECEIVED_SCHEMA = T.StructType.fromDDL(
-    "`:START_ID` STRING, `:END_ID` STRING, `newbalanceDest:float` DOUBLE, "
-    "`isFraud:int` INT, `:TYPE` STRING"
-)
+# Graph import files; the headers carry the type.
+GRAPH_ACCOUNT_SCHEMA = _record({
+    "accountId:ID": _STRING, "accountType": _STRING, ":LABEL": _STRING,
+})
+GRAPH_TRANSACTION_SCHEMA = _record({
+    "txnId:ID": _STRING, "step:int": _INT, "type": _STRING,
+    "amount:float": _DOUBLE, "isFraud:int": _INT, ":LABEL": _STRING,
+})
+GRAPH_SENT_SCHEMA = _record({
+    ":START_ID": _STRING, ":END_ID": _STRING, "amount:float": _DOUBLE,
+    "timestamp:int": _INT, "transactionType": _STRING, ":TYPE": _STRING,
+})
+GRAPH_RECEIVED_SCHEMA = _record({
+    ":START_ID": _STRING, ":END_ID": _STRING, "newbalanceDest:float": _DOUBLE,
+    "isFraud:int": _INT, ":TYPE": _STRING,
+})
 
 FLAGGED_COLUMNS = [
     "step", "type", "amount",
