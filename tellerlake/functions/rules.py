@@ -20,9 +20,8 @@ def fraud_rule(amount_min: int = S.FRAUD_AMOUNT) -> Column:
 
 
 def fraud_reason(amount_min: int = S.FRAUD_AMOUNT) -> Column:
-    return F.format_string(
-        f"type=%s + amount>{amount_min:,.0f} + newbalanceDest=0", F.col("type")
-    )
+    fixed_part = F.lit(f" + amount>{amount_min:,.0f} + newbalanceDest=0")
+    return F.concat(F.lit("type="), F.col("type"), fixed_part)
 
 
 def is_false_positive() -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tellerlake import schemas as S
 from tellerlake.functions import rules
-from tellerlake.functions.exact import money, money_sum
+from tellerlake.functions.exact import money_sum
 from tellerlake.operators.reports import distinct_accounts
 
 
@@ -26,7 +26,8 @@ def txn_key(key: Column | str = "txnId") -> Column:
     A running number would need a total order over the lake and would change whenever
     rows are added; a key from the data does neither.
     """
-    return F.format_string("TXN%06d", F.col(key) if isinstance(key, str) else key)
+    digits = (F.col(key) if isinstance(key, str) else key).cast("string")
+    return F.concat(F.lit("TXN"), F.lpad(digits, F.greatest(F.length(digits), F.lit(6)), "0"))
 
 
 def account_nodes(txns: DataFrame) -> DataFrame:
@@ -69,17 +70,17 @@ def graph_edges(txns: DataFrame, key: str = "txnId") -> DataFrame:
     nothing = F.lit(None)
     sent = F.struct(
         F.col("nameOrig").alias("startId"), txn.alias("endId"), F.lit("SENT").alias("edgeType"),
-        money("amount").alias("amount"), F.col("step").alias("timestamp"),
+        F.col("amount"), F.col("step").alias("timestamp"),
         F.col("type").alias("transactionType"),
-        nothing.cast("decimal(18,2)").alias("newbalanceDest"),
+        nothing.cast("double").alias("newbalanceDest"),
         nothing.cast("int").alias("isFraud"),
     )
     received = F.struct(
         txn.alias("startId"), F.col("nameDest").alias("endId"),
         F.lit("RECEIVED_BY").alias("edgeType"),
-        nothing.cast("decimal(18,2)").alias("amount"), nothing.cast("int").alias("timestamp"),
+        nothing.cast("double").alias("amount"), nothing.cast("int").alias("timestamp"),
         nothing.cast("string").alias("transactionType"),
-        money("newbalanceDest").alias("newbalanceDest"), F.col("isFraud").alias("isFraud"),
+        F.col("newbalanceDest"), F.col("isFraud").alias("isFraud"),
     )
     return txns.select(F.inline(F.array(sent, received)))
 

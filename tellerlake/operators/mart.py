@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tellerlake import schemas as S
 from tellerlake.functions import rules
-from tellerlake.functions.exact import money, money_mean, money_sum, percent
+from tellerlake.functions.exact import CENTS, cents, money_mean, money_sum, percent, whole_sum
 
 # A row with n types gives each of them 1/n of its totals. Counting in units of
 # 1/lcm(1..5) keeps every share a whole number, so shares add up exactly.
@@ -22,13 +22,13 @@ def _latest(value: str):
     ``max_by`` combines on the map side, so unlike a ranking window it never has to
     sort all rows of one busy customer in a single task.
     """
-    return F.max_by(value, F.struct("ingestedAt", money("amount"), value))
+    return F.max_by(value, F.struct("ingestedAt", "amount", value))
 
 
 def latest_balance(txns: DataFrame) -> DataFrame:
     """Balance after the newest transaction of each customer and step."""
     return txns.groupBy(F.col("nameOrig").alias("customerId"), "step").agg(
-        _latest("newbalanceOrig").cast("double").alias("last_balance")
+        _latest("newbalanceOrig").alias("last_balance")
     )
 
 
@@ -38,10 +38,10 @@ def txn_summary_mart(txns: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("txn_count"),
         money_sum("amount").alias("total_amount"),
         F.round(money_mean("amount"), 2).alias("avg_amount"),
-        F.max(money("amount")).cast("double").alias("max_amount"),
+        F.round(F.max("amount"), 2).alias("max_amount"),
         F.sum("isFraud").alias("fraud_count"),
         F.array_join(F.sort_array(F.collect_set("type")), ",").alias("txn_types"),
-        _latest("newbalanceOrig").cast("double").alias("last_balance"),
+        _latest("newbalanceOrig").alias("last_balance"),
     )
 
 
@@ -81,13 +81,13 @@ def transaction_summary(
         .select(
             "step", "customerId", "avg_amount", "max_amount",
             F.explode(types).alias("transaction_type"),
-            (money("total_amount") * F.col("units")).alias("amount_units"),
+            (cents("total_amount") * F.col("units")).alias("cent_units"),
             (F.col("txn_count") * F.col("units")).alias("txn_units"),
             (F.col("fraud_count") * F.col("units")).alias("fraud_units"),
         )
         .groupBy(F.trim("transaction_type").alias("transaction_type"), "step")
         .agg(
-            F.sum("amount_units").cast("double").alias("amount_units"),
+            whole_sum(F.col("cent_units")).cast("double").alias("cent_units"),
             F.sum("txn_units").alias("txn_units"),
             F.sum("fraud_units").alias("fraud_units"),
             F.round(money_mean("avg_amount"), 2).alias("avg_amount"),
@@ -98,7 +98,7 @@ def transaction_summary(
     rate = F.coalesce(percent(F.col("fraud_units"), F.col("txn_units")), F.lit(0.0))
     summary = shares.select(
         "transaction_type", "step",
-        F.round(F.col("amount_units") / SHARE_UNITS, 2).alias("total_volume"),
+        F.round(F.col("cent_units") / (SHARE_UNITS * CENTS), 2).alias("total_volume"),
         F.round(F.col("txn_units") / SHARE_UNITS).cast("bigint").alias("txn_count"),
         "avg_amount", "max_amount",
         F.round(F.col("fraud_units") / SHARE_UNITS).cast("bigint").alias("fraud_count"),

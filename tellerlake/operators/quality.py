@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tellerlake import schemas as S
 from tellerlake.functions import rules
-from tellerlake.functions.exact import money, percent, score_mean
+from tellerlake.functions.exact import money_sum, percent, score_mean
 from tellerlake.operators.graph import mule_accounts
 from tellerlake.operators.reports import distinct_accounts
 
@@ -118,7 +118,7 @@ def transaction_checks(
         equals("transaction count", row_count(), expected_rows),
         equals("distinct accounts", accounts, expected_accounts),
         equals("confirmed fraud", fraud, expected_fraud),
-        equals("total volume", F.sum(money("amount")), expected_volume, volume_tolerance),
+        equals("total volume", money_sum("amount"), expected_volume, volume_tolerance),
         equals("fraud rate pct", percent(fraud, row_count()), expected_rate, rate_tolerance),
         equals("max step", F.max("step"), expected_step),
     ]
@@ -181,7 +181,7 @@ def dormancy_checks(dormant: float | Column, severe: float | Column) -> list[Che
 def compliance_checks(volume: float | Column, fraud: float | Column, tolerance: float = 1.0) -> list[Check]:
     return [
         equals("transaction types covered", row_count(), len(S.TXN_TYPES)),
-        equals("compliance volume", F.sum(F.col("total_volume").cast("decimal(28,2)")), volume, tolerance),
+        equals("compliance volume", money_sum("total_volume"), volume, tolerance),
         equals("compliance fraud", F.sum("fraud_count"), fraud),
     ]
 

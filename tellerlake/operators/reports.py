@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tellerlake import schemas as S
 from tellerlake.functions import rules
-from tellerlake.functions.exact import money, money_mean, money_sum, percent
+from tellerlake.functions.exact import money_mean, money_sum, percent
 from tellerlake.operators.bounds import last_step, step_window
 
 CONFIRMED_FRAUD_COLUMNS = S.TRANSACTION_SCHEMA.fieldNames()[:-1]
@@ -32,7 +32,7 @@ def compliance_summary(
 ) -> DataFrame:
     """Volume, fraud and risk class per transaction type over the trailing window."""
     start, end = step_window(txns, window_steps, end_step)
-    fraud_amount = F.when(F.col("isFraud") == 1, money("amount")).otherwise(0)
+    fraud_amount = F.when(F.col("isFraud") == 1, F.col("amount")).otherwise(0.0)
     summary = (
         txns.where((F.col("step") > start) & (F.col("step") <= end))
         .groupBy(F.col("type").alias("transaction_type"))
@@ -40,7 +40,7 @@ def compliance_summary(
             F.count(F.lit(1)).alias("txn_count"),
             money_sum("amount").alias("total_volume"),
             F.round(money_mean("amount"), 2).alias("avg_amount"),
-            F.max(money("amount")).cast("double").alias("max_amount"),
+            F.round(F.max("amount"), 2).alias("max_amount"),
             F.sum("isFraud").alias("fraud_count"),
             F.sum("isFlaggedFraud").alias("system_flagged_count"),
             money_sum(fraud_amount).alias("fraud_volume"),

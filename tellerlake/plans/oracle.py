@@ -301,7 +301,7 @@ ORACLE: dict[str, str] = {
     "json_decode": sql(f"SELECT {TXN_ROW}, ingestedAt FROM s", "s"),
     "kv_json": sql("""
         SELECT nameOrig AS key, '{"nameOrig":"' || nameOrig || '","nameDest":"' || nameDest
-            || '","type":"' || type || '","amount":' || amount || ',"step":' || step
+            || '","type":"' || type || '","amount":' || amount::DOUBLE || ',"step":' || step
             || ',"flaggedAt":' || flaggedAt || '}' AS value FROM fs""", "fs"),
     "live_feed": sql("""
         SELECT step, type, amount::DOUBLE AS amount, nameOrig, nameDest,

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tellerlake import schemas as S
 from tellerlake.functions import rules
+from tellerlake.functions.exact import money_sum
 from tellerlake.operators import blend as B
 from tellerlake.operators import graph as G
 from tellerlake.operators import kpis as K
@@ -481,7 +482,7 @@ def dq_expectations(t: Tables) -> DataFrame:
     daily_rate = 100.0 * F.sum("fraud_count") / F.sum("txn_volume")
     txn_rows, customers = value(t.txns, rows), value(t.profiles, rows)
     recent, early = rolling_window(t.txns), t.txns.where(rules.step_between())
-    amount = F.sum("amount")
+    amount = money_sum("amount")
     severe = F.col("dormancy_severity") == "Severely Dormant"
     suites = [
         ("transactions", t.txns, Q.transaction_checks(
@@ -489,7 +490,7 @@ def dq_expectations(t: Tables) -> DataFrame:
             expected_rows=value(daily, F.sum("txn_volume")),
             expected_accounts=value(G.account_nodes(t.txns), rows),
             expected_fraud=value(daily, F.sum("fraud_count")),
-            expected_volume=value(daily, F.sum(F.col("total_amount").cast("decimal(28,2)"))),
+            expected_volume=value(daily, money_sum("total_amount")),
             expected_rate=value(daily, daily_rate),
             expected_step=value(daily, F.max("step")),
         )),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tellerlake import schemas as S
 from tellerlake.functions import rules
-from tellerlake.functions.exact import money
+from tellerlake.functions.exact import CENTS, cents
 
 # Which order priority and which event type stands for which transaction.
 ORDER_TYPES = {"1": "TRANSFER", "2": "CASH_OUT", "3": "PAYMENT", "4": "CASH_IN", "5": "DEBIT"}
@@ -41,58 +41,58 @@ def _lookup(key: Column, mapping: dict[str, str]) -> Column:
     return F.element_at(F.create_map(*pairs), key)
 
 
-def _epoch_millis(ts: str) -> Column:
-    """Epoch milliseconds of a zone-less timestamp read as UTC, in any session zone."""
-    days = F.datediff(F.col(ts).cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
-    clock = F.hour(ts) * 3_600_000 + F.minute(ts) * 60_000
-    millis = F.floor(F.extract(F.lit("SECOND"), F.col(ts)) * 1000).cast("bigint")
-    return days * 86_400_000 + clock + millis
+def _utc(ts: str) -> Column:
+    """A zone-less timestamp as an instant; the session runs in UTC."""
+    return F.col(ts).cast("timestamp")
+
+
+def _dollars(whole_cents: Column) -> Column:
+    return whole_cents / F.lit(float(CENTS))
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = table(spark, sf_dir, "customer").agg(F.count(F.lit(1))).scalar()
-    orders = table(spark, sf_dir, "orders")
+    """Orders as transactions. Balances are worked out in whole cents, so they are exact."""
+    pool = table(spark, sf_dir, "customer").agg(F.count(F.lit(1))).scalar()
     key, owner = F.col("o_orderkey"), F.col("o_custkey")
     day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1995-01-01").cast("date"))
-    typed = orders.select(
+    typed = table(spark, sf_dir, "orders").select(
         key.alias("txnId"),
-        "o_orderstatus",
-        "o_orderdate",
         (day + 1).alias("step"),
         _lookup(F.substring("o_orderpriority", 1, 1), ORDER_TYPES).alias("type"),
-        money("o_totalprice").alias("amount"),
+        cents("o_totalprice").alias("paid"),
         F.concat(F.when(owner % 10 == 9, "M").otherwise("C"), owner).alias("nameOrig"),
-        customers.alias("customers"),
+        ((key * 31 + 7) % pool).alias("counterparty"),
+        (F.col("o_orderstatus") == "F").alias("settled"),
+        (F.unix_millis(_utc("o_orderdate")) + key % 1000).alias("ingestedAt"),
     )
+    txn, paid, settled = F.col("txnId"), F.col("paid"), F.col("settled")
     shop = F.col("type").isin("PAYMENT", "DEBIT")
-    settled = F.col("o_orderstatus") == "F"
-    before = money(F.col("amount") + F.col("txnId") % 1000)
-    received = F.when(shop, 0).otherwise(F.col("txnId") % 5000)
-    fraud = F.col("type").isin(S.FRAUD_TYPES) & settled & (F.col("txnId") % 10 != 0)
-    large = (F.col("type") == "TRANSFER") & (F.col("amount") > 400_000)
+    before = paid + txn % 1000 * CENTS
+    after = F.when(F.col("type") == "CASH_IN", before + paid).otherwise(before - paid)
+    dest_before = F.when(shop, 0).otherwise(txn % 5000 * CENTS)
+    dest_after = F.when(shop | settled, 0).otherwise(dest_before + paid)
+    fraud = F.col("type").isin(S.FRAUD_TYPES) & settled & (txn % 10 != 0)
+    large = (F.col("type") == "TRANSFER") & (paid > 400_000 * CENTS)
     return typed.select(
-        "txnId", "step", "type", "amount", "nameOrig",
-        before.alias("oldbalanceOrg"),
-        money(
-            F.when(F.col("type") == "CASH_IN", before + F.col("amount"))
-            .otherwise(before - F.col("amount"))
-        ).alias("newbalanceOrig"),
-        F.when(shop, F.concat(F.lit("M"), F.col("txnId") % 100))
-        .otherwise(F.concat(F.lit("C"), (F.col("txnId") * 31 + 7) % F.col("customers")))
-        .alias("nameDest"),
-        money(received).alias("oldbalanceDest"),
-        money(F.when(shop | settled, 0).otherwise(received + F.col("amount"))).alias("newbalanceDest"),
+        "txnId", "step", "type", _dollars(paid).alias("amount"), "nameOrig",
+        _dollars(before).alias("oldbalanceOrg"),
+        _dollars(after).alias("newbalanceOrig"),
+        F.when(shop, F.concat(F.lit("M"), txn % 100))
+        .otherwise(F.concat(F.lit("C"), F.col("counterparty"))).alias("nameDest"),
+        _dollars(dest_before).alias("oldbalanceDest"),
+        _dollars(dest_after).alias("newbalanceDest"),
         fraud.cast("int").alias("isFraud"),
         large.cast("int").alias("isFlaggedFraud"),
-        (_epoch_millis("o_orderdate") + F.col("txnId") % 1000).alias("ingestedAt"),
+        "ingestedAt",
     )
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     catalogue = F.array(*map(F.lit, sorted(S.PRODUCTS)))
-    opened = F.format_string(
-        "%d-%02d-%02d", 2005 + key % 20, 1 + key % 12, 1 + key % 28
+    opened = F.concat_ws(
+        "-", 2005 + key % 20, F.lpad((1 + key % 12).cast("string"), 2, "0"),
+        F.lpad((1 + key % 28).cast("string"), 2, "0"),
     )
     kyc = F.when(key % 100 < 92, "verified").when(key % 100 < 96, "pending").otherwise("expired")
     channel = F.element_at(F.array(*map(F.lit, S.CHANNELS)), F.col("c_nationkey") % 5 + 1)
@@ -112,28 +112,27 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as transactions in the 12-field record, plus the event id as ``txnId``."""
-    events = table(spark, sf_dir, "events")
-    days = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
-    key = F.col("event_id")
-    base = events.select(
+    key, seen = F.col("event_id"), _utc("ts")
+    hours = F.floor((F.unix_seconds(seen) - S.STEP_EPOCH_SECONDS) / 3600)
+    base = table(spark, sf_dir, "events").select(
         key.alias("txnId"),
-        (days * 24 + F.hour("ts") + 1).cast("int").alias("step"),
+        (hours + 1).cast("int").alias("step"),
         _lookup(F.col("event_type"), EVENT_TYPES).alias("type"),
-        money(F.col("value") * 4000).alias("amount"),
+        _dollars(cents(F.col("value") * 4000)).alias("amount"),
         F.concat(F.lit("C"), F.col("user_id")).alias("nameOrig"),
-        money(F.when(key % 3 == 0, 100).otherwise(5000)).alias("newbalanceOrig"),
+        F.when(key % 3 == 0, 100.0).otherwise(5000.0).alias("newbalanceOrig"),
         F.concat(F.lit("C"), F.get_json_object("props", "$.k")).alias("nameDest"),
-        _epoch_millis("ts").alias("ingestedAt"),
+        F.unix_millis(seen).alias("ingestedAt"),
     )
-    with_dest = base.withColumn(
-        "newbalanceDest", F.when(F.col("txnId") % 2 == 0, money(F.lit(0))).otherwise(F.col("amount"))
+    settled = base.withColumn(
+        "newbalanceDest", F.when(F.col("txnId") % 2 == 0, 0.0).otherwise(F.col("amount"))
     )
     fraud = rules.fraud_rule() & (F.col("txnId") % 10 != 0)
-    return with_dest.select(
+    return settled.select(
         "txnId", "step", "type", "amount", "nameOrig",
-        money(F.col("newbalanceOrig") + F.col("amount")).alias("oldbalanceOrg"),
+        _dollars(cents("newbalanceOrig") + cents("amount")).alias("oldbalanceOrg"),
         "newbalanceOrig", "nameDest",
-        money(F.lit(0)).alias("oldbalanceDest"), "newbalanceDest",
+        F.lit(0.0).alias("oldbalanceDest"), "newbalanceDest",
         fraud.cast("int").alias("isFraud"), F.lit(0).alias("isFlaggedFraud"), "ingestedAt",
     )
 

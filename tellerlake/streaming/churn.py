@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tellerlake import schemas as S
-from tellerlake.functions.exact import money
+from tellerlake.functions.exact import CENTS, cents, whole_sum
 from tellerlake.functions.rules import event_time
 from tellerlake.operators.blend import select_present
 from tellerlake.streaming.sinks import Sinks
@@ -25,12 +25,12 @@ def _seen(kind: str) -> Column:
     return F.bool_or(F.col("type") == kind)
 
 
-def _windowed(rows: DataFrame, n: Column, amount: Column, low: Column) -> DataFrame:
+def _windowed(rows: DataFrame, n: Column, amount_cents: Column, low: Column) -> DataFrame:
     return (
         rows.groupBy(F.window("eventTime", WINDOW, SLIDE), "customerId")
         .agg(
             F.sum(n).alias("txnCount"),
-            F.sum(amount).cast("double").alias("amount"),
+            (whole_sum(amount_cents).cast("double") / CENTS).alias("amount"),
             F.sum(low).alias("lowBalanceEvents"),
             _seen("CASH_OUT").alias("hasCashOut"),
             _seen("PAYMENT").alias("hasPayment"),
@@ -63,17 +63,17 @@ def churn_windows(txns: DataFrame) -> DataFrame:
     is_low = F.coalesce(low, F.lit(0).cast("bigint"))
     events = with_event_time(txns)
     if txns.isStreaming:
-        return _windowed(events, one, money("amount"), is_low)
+        return _windowed(events, one, cents("amount"), is_low)
     hourly = (
         events.groupBy("customerId", "eventTime", "type")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(money("amount")).alias("amount"),
+            whole_sum(cents("amount")).cast("bigint").alias("cents"),
             F.sum(is_low).alias("low"),
         )
         .repartition("customerId")
     )
-    return _windowed(hourly, F.col("n"), F.col("amount"), F.col("low"))
+    return _windowed(hourly, F.col("n"), F.col("cents"), F.col("low"))
 
 
 def churn_signals(windows: DataFrame, baseline: DataFrame) -> DataFrame:
