@@ -35,8 +35,11 @@ def day_of(step: str = "step") -> Column:
     return (F.floor((F.col(step) - 1) / S.STEPS_PER_DAY) + 1).cast("int")
 
 
-def event_time(step: str = "step", epoch_seconds: int = S.STEP_EPOCH_SECONDS) -> Column:
-    return F.timestamp_seconds(F.lit(epoch_seconds) + F.col(step).cast("long") * 3600)
+def event_time(
+    step: Column | str = "step", epoch_seconds: int = S.STEP_EPOCH_SECONDS
+) -> Column:
+    steps = F.col(step) if isinstance(step, str) else step
+    return F.timestamp_seconds(F.lit(epoch_seconds) + steps.cast("bigint") * 3600)
 
 
 def step_between(lo: int = 1, hi: int = S.REPORT_WINDOW_STEPS) -> Column:

@@ -101,7 +101,8 @@ def customer_risk_blend_from(
     instead of three.
     """
     last = last_step(txns)
-    activity = clv_measures(customer_activity(txns), last)
+    totals = customer_activity(txns)
+    activity = clv_measures(totals, last, bounds_from=totals)
     fraud = {c: F.col(c) for c in fraud_measures(activity).columns}
     fraud["fraud_rate_pct"] = rules.fraud_rate(F.col("fraud_count"), F.col("txn_count"))
     idle = F.col("stepsSinceLastTxn")

@@ -23,7 +23,8 @@ def extent(df: DataFrame) -> Column:
 
     All numeric columns are read, not only the ones the caller needs: the subquery
     then has exactly the same aggregate below it as the main query, and Spark reuses
-    that shuffle instead of scanning and shuffling the table a second time.
+    that shuffle instead of scanning and shuffling the table a second time. For the
+    same reason ``df`` should only carry columns that the query goes on to use.
     """
     numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
     ends = [F.min(c).alias(f"{c}_lo") for c in numeric]
@@ -56,20 +57,26 @@ def rolling_window(
 
 def minmax_normalise(df: DataFrame, columns: Iterable[str], suffix: str = "_norm") -> DataFrame:
     """Scale columns to [0, 1] over the whole table; a constant column becomes 0."""
-    ends = extent(df)
     scaled = {}
     for c in columns:
-        lo, hi = ends[f"{c}_lo"], ends[f"{c}_hi"]
+        lo, hi = F.col(f"_ends.{c}_lo"), F.col(f"_ends.{c}_hi")
         share = F.try_divide((F.col(c) - lo).cast("double"), (hi - lo).cast("double"))
         scaled[c + suffix] = F.when(hi <= lo, 0.0).otherwise(share)
-    return df.withColumns(scaled)
+    return df.withColumn("_ends", extent(df)).withColumns(scaled).drop("_ends")
 
 
-def max_normalise(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Scale columns by their maximum (``{source: output}``); a maximum <= 0 gives 0."""
-    ends = extent(df)
+def max_normalise(
+    df: DataFrame, columns: dict[str, str], bounds_from: DataFrame | None = None
+) -> DataFrame:
+    """Scale columns by their maximum (``{source: output}``); a maximum <= 0 gives 0.
+
+    ``bounds_from`` is a narrower frame with the same rows to take the maxima from. It
+    pays off when ``df`` has costly columns that the result may not need: the maxima
+    are then a cheap aggregation of their own.
+    """
     scaled = {}
     for c, output in columns.items():
-        top = ends[f"{c}_hi"].cast("double")
+        top = F.col(f"_ends.{c}_hi").cast("double")
         scaled[output] = F.when(top <= 0, 0.0).otherwise(F.try_divide(F.col(c).cast("double"), top))
-    return df.withColumns(scaled)
+    ends = extent(df if bounds_from is None else bounds_from.select(*columns))
+    return df.withColumn("_ends", ends).withColumns(scaled).drop("_ends")

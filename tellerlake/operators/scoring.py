@@ -70,13 +70,13 @@ def clv_measures(
     last: Column,
     weights: dict[str, float] = S.CLV_WEIGHTS,
     cutoff: int = S.CLV_RECENCY_STEPS,
+    bounds_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add the lifetime-value components, score and tier to per-account activity."""
     idle = last - F.col("last_active_step")
     recency = F.when(idle > cutoff, 0.0).otherwise((cutoff - idle) / F.lit(float(cutoff)))
-    scaled = max_normalise(
-        activity, {"total_amount": "volumeScore", "txn_count": "frequencyScore"}
-    )
+    shares = {"total_amount": "volumeScore", "txn_count": "frequencyScore"}
+    scaled = max_normalise(activity, shares, bounds_from)
     return (
         scaled.withColumn("stepsSinceLastTxn", idle)
         .withColumn("diversityScore", F.col("distinct_types") / F.lit(float(len(S.TXN_TYPES))))

@@ -25,26 +25,23 @@ def _seen(kind: str) -> Column:
     return F.bool_or(F.col("type") == kind)
 
 
-def _windowed(rows: DataFrame, n: Column, amount_cents: Column, low: Column) -> DataFrame:
-    return (
-        rows.groupBy(F.window("eventTime", WINDOW, SLIDE), "customerId")
-        .agg(
-            F.sum(n).alias("txnCount"),
-            (whole_sum(amount_cents).cast("double") / CENTS).alias("amount"),
-            F.sum(low).alias("lowBalanceEvents"),
-            _seen("CASH_OUT").alias("hasCashOut"),
-            _seen("PAYMENT").alias("hasPayment"),
-            _seen("DEBIT").alias("hasDebit"),
-            F.sort_array(F.collect_set("type")).alias("txnTypes"),
-        )
-        .select(
-            "customerId",
-            F.col("window.start").alias("windowStart"),
-            F.col("window.end").alias("windowEnd"),
-            "txnCount",
-            (F.col("amount") / F.col("txnCount")).alias("windowAvgAmount"),
-            "txnTypes", "lowBalanceEvents", "hasCashOut", "hasPayment", "hasDebit",
-        )
+def _measures(n: Column, amount_cents: Column, low: Column) -> list[Column]:
+    return [
+        F.sum(n).alias("txnCount"),
+        (whole_sum(amount_cents).cast("double") / CENTS).alias("amount"),
+        F.sum(low).alias("lowBalanceEvents"),
+        _seen("CASH_OUT").alias("hasCashOut"),
+        _seen("PAYMENT").alias("hasPayment"),
+        _seen("DEBIT").alias("hasDebit"),
+        F.sort_array(F.collect_set("type")).alias("txnTypes"),
+    ]
+
+
+def _windows(measured: DataFrame, start: Column, end: Column) -> DataFrame:
+    return measured.select(
+        "customerId", start.alias("windowStart"), end.alias("windowEnd"), "txnCount",
+        (F.col("amount") / F.col("txnCount")).alias("windowAvgAmount"),
+        "txnTypes", "lowBalanceEvents", "hasCashOut", "hasPayment", "hasDebit",
     )
 
 
@@ -55,25 +52,45 @@ def churn_windows(txns: DataFrame) -> DataFrame:
     a late event still belongs to those of its windows that are open. A bounded table
     has no late events, so there the events are first added up per customer, hour and
     type and laid out by customer; the 24-fold expansion then happens after the last
-    shuffle instead of before it. A customer with a large share of all events is
-    reduced to at most five rows per hour before it is placed in one partition.
+    shuffle instead of before it. (``window`` would bring the shuffle back, because it
+    hides how its input is partitioned.) A customer with a large share of all events is
+    reduced to at most five rows per hour before it is placed in one partition. The
+    number of partitions is given, because adaptive execution would merge them by
+    their size before the expansion.
     """
-    one = F.lit(1).cast("bigint")
-    low = (F.col("newbalanceOrig") < S.LOW_BALANCE).cast("bigint")
-    is_low = F.coalesce(low, F.lit(0).cast("bigint"))
+    partitions = int(txns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    low = F.coalesce((F.col("newbalanceOrig") < S.LOW_BALANCE).cast("bigint"), F.lit(0))
     events = with_event_time(txns)
     if txns.isStreaming:
-        return _windowed(events, one, cents("amount"), is_low)
+        sliding = F.window("eventTime", WINDOW, SLIDE)
+        measured = events.groupBy(sliding, "customerId").agg(
+            *_measures(F.lit(1).cast("bigint"), cents("amount"), low)
+        )
+        return _windows(measured, F.col("window.start"), F.col("window.end"))
     hourly = (
-        events.groupBy("customerId", "eventTime", "type")
+        events.groupBy("customerId", "step", "type")
         .agg(
             F.count(F.lit(1)).alias("n"),
             whole_sum(cents("amount")).cast("bigint").alias("cents"),
-            F.sum(is_low).alias("low"),
+            F.sum(low).alias("low"),
         )
-        .repartition("customerId")
+        .repartition(partitions, "customerId")
+    )
+    # A window is named by its last step: an event is in the windows ending at its own
+    # step and at each of the 23 steps after it.
+    later = F.explode(F.sequence(F.lit(0), F.lit(S.CHURN_WINDOW_STEPS - 1)))
+    measured = (
+        hourly.select("*", later.alias("later"))
+        .withColumn("lastStep", F.col("step") + F.col("later"))
+        .groupBy("customerId", "lastStep")
+        .agg(*_measures(F.col("n"), F.col("cents"), F.col("low")))
+    )
+    after_last = F.col("lastStep").cast("bigint") + 1
+    return _windows(
+        measured,
+        event_time(after_last - S.CHURN_WINDOW_STEPS),
+        event_time(after_last),
     )
-    return _windowed(hourly, F.col("n"), F.col("cents"), F.col("low"))
 
 
 def churn_signals(windows: DataFrame, baseline: DataFrame) -> DataFrame:
