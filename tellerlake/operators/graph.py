@@ -177,16 +177,22 @@ def _ring_counts(links: DataFrame, min_shared: int) -> DataFrame:
       busier than the other. Candidates are thus found without any receiver's top
       sender, which removes a payer that dominates the graph from the join, and the
       two tops are added afterwards by looking up the single edge in question.
-    * A pair needs a fraud edge, so the join runs fraud edges against all edges.
+    * A sender counts only through a fraud edge, so senders without one, or with a
+      single receiver, are left out first, and the join runs fraud edges against all.
 
     What is left can still be uneven; adaptive execution splits those join partitions.
     """
     if min_shared < 2:
         raise ValueError("the prefix rule needs min_shared >= 2")
-    fan_out = links.groupBy("src").agg(F.count(F.lit(1)).alias("receivers"))
+    fan_out = (
+        links.groupBy("src")
+        .agg(F.count(F.lit(1)).alias("receivers"), F.max("fraud").alias("tainted"))
+        .where((F.col("receivers") > 1) & (F.col("tainted") == 1))
+        .drop("tainted")
+    )
+    active = links.join(fan_out, "src")
     tops = (
-        links.join(fan_out, "src")
-        .groupBy("dst")
+        active.groupBy("dst")
         .agg(
             F.count(F.lit(1)).alias("senders"),
             F.max(F.struct("receivers", "src", "fraud")).alias("top"),
@@ -194,7 +200,7 @@ def _ring_counts(links: DataFrame, min_shared: int) -> DataFrame:
         .where(F.col("senders") >= min_shared)
         .select("dst", F.col("top.src").alias("topSrc"), F.col("top.fraud").alias("topFraud"))
     )
-    rest = links.join(tops.select("dst", "topSrc"), "dst").where(F.col("src") != F.col("topSrc"))
+    rest = active.join(tops.select("dst", "topSrc"), "dst").where(F.col("src") != F.col("topSrc"))
 
     tainted = rest.where(F.col("fraud") == 1).select("src", F.col("dst").alias("a"))
     other = rest.select("src", F.col("dst").alias("b"), "fraud")
@@ -245,7 +251,10 @@ def fraud_rings(
     ``k=None`` returns every pair. Only the returned pairs look up their senders, and
     the ranking limit keeps at most ``samples`` of them per pair before the shuffle.
     """
-    links = paths.groupBy("src", "dst").agg(F.max("isFraud").alias("fraud"))
+    # Null ends are dropped here rather than by each join below, so that all uses of
+    # the links have the same plan and share one shuffle.
+    both_ends = F.col("src").isNotNull() & F.col("dst").isNotNull()
+    links = paths.where(both_ends).groupBy("src", "dst").agg(F.max("isFraud").alias("fraud"))
     rings = _ring_counts(links, min_shared)
     if k is not None:
         rings = rings.orderBy(F.desc("sharedSenderCount"), "mule1", "mule2").limit(k)
