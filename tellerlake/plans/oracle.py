@@ -190,14 +190,16 @@ cte("mart", f"""
     FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY nameOrig, step
             ORDER BY ingestedAt DESC, amount DESC, newbalanceOrig DESC) AS rn FROM t)
     GROUP BY nameOrig, step""", "t")
+# Whole sixtieths of a cent, so that a sum of shares that ends on half a cent is exact
+# and can be rounded up in integers.
 cte("shares", """
     SELECT customerId, step, avg_amount, max_amount, trim(kind) AS transaction_type,
-        CAST(total_amount AS DECIMAL(18,2)) * (60 // n) AS amount60, txn_count * (60 // n) AS txns60,
+        CAST(CAST(total_amount AS DECIMAL(18,2)) * 100 AS BIGINT) * (60 // n) AS cents60, txn_count * (60 // n) AS txns60,
         fraud_count * (60 // n) AS fraud60
     FROM (SELECT *, len(string_split(txn_types, ',')) AS n, unnest(string_split(txn_types, ',')) AS kind
         FROM mart)""", "mart")
 cte("summ", f"""
-    SELECT transaction_type, step, {rounded(dbl('SUM(amount60)') + ' / 60', 2)} AS total_volume,
+    SELECT transaction_type, step, CAST((2 * SUM(cents60) + 60) // 120 AS DOUBLE) / 100 AS total_volume,
         {big('ROUND(CAST(SUM(txns60) AS DECIMAL(38,6)) / 60)')} AS txn_count,
         {rounded(dbl('SUM(CAST(avg_amount AS DECIMAL(18,2)))') + ' / COUNT(*)', 2)} AS avg_amount,
         MAX(max_amount) AS max_amount,
