@@ -24,7 +24,10 @@ def _col(c: Column | str) -> Column:
 
 
 def cents(c: Column | str) -> Column:
-    """Nearest whole cent, exact for amounts below 90 trillion."""
+    """Nearest whole cent, exact for amounts below 90 trillion.
+
+    An amount that is not a number stops the job, rather than being left out of a total.
+    """
     return F.rint(_col(c) * CENTS).cast("bigint")
 
 

@@ -57,7 +57,7 @@ def _finish(joined: DataFrame, ordered: bool) -> DataFrame:
     scored = cleanse(joined).withColumn("composite_risk_score", rules.composite_risk())
     banded = scored.withColumn("risk_band", rules.risk_band(F.col("composite_risk_score")))
     blend = select_present(product_fields(banded), S.BLEND_COLUMNS)
-    return blend.orderBy(F.desc("composite_risk_score")) if ordered else blend
+    return blend.orderBy(F.desc("composite_risk_score"), "customerId") if ordered else blend
 
 
 def customer_risk_blend(

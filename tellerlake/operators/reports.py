@@ -83,7 +83,10 @@ def fraud_measures(activity: DataFrame) -> DataFrame:
 def customer_fraud_summary(txns: DataFrame, ordered: bool = True) -> DataFrame:
     """Per originating account: volume, fraud rate and number of counterparties."""
     summary = fraud_measures(customer_activity(txns))
-    return summary.orderBy(F.desc("fraud_count"), F.desc("total_amount")) if ordered else summary
+    # The id ends every customer-level order: most customers share the leading values,
+    # and a range partition cannot split rows whose sort keys are equal.
+    order = [F.desc("fraud_count"), F.desc("total_amount"), "customerId"]
+    return summary.orderBy(*order) if ordered else summary
 
 
 def dormancy_measures(
@@ -116,7 +119,7 @@ def dormancy_report(
     Merchants are left out, but they still count towards the last step of the data.
     """
     report = dormancy_measures(customer_activity(txns), last_step(txns), inactive, severe, min_txns)
-    return report.orderBy(F.desc("steps_inactive")) if ordered else report
+    return report.orderBy(F.desc("steps_inactive"), "customerId") if ordered else report
 
 
 def daily_summary(txns: DataFrame, ordered: bool = True) -> DataFrame:
