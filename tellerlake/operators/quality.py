@@ -65,11 +65,12 @@ def expectations(df: DataFrame, dataset: str, checks: Sequence[Check]) -> DataFr
     A check whose value cannot be computed, as on an empty dataset, is SKIP.
     """
     measured = df.agg(*[c.actual.cast("double").alias(f"m{i}") for i, c in enumerate(checks)])
+    wanted = [c.expected if isinstance(c.expected, Column) else F.lit(c.expected) for c in checks]
+    # Columns of their own, so that a scalar subquery occurs once and not per use.
+    measured = measured.select("*", *[w.cast("double").alias(f"e{i}") for i, w in enumerate(wanted)])
     rows = []
     for i, c in enumerate(checks):
-        actual = F.col(f"m{i}")
-        wanted = c.expected if isinstance(c.expected, Column) else F.lit(c.expected)
-        expected = wanted.cast("double")
+        actual, expected = F.col(f"m{i}"), F.col(f"e{i}")
         rows.append(
             F.struct(
                 F.lit(dataset).alias("dataset"), F.lit(c.label).alias("check"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property, partial, wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -474,47 +474,47 @@ def churn_signal_counts(t: Tables) -> DataFrame:
 
 @query
 def dq_expectations(t: Tables) -> DataFrame:
-    def value(df: DataFrame, c) -> object:
+    def value(df: DataFrame, c: Column) -> Column:
         return df.agg(c).scalar()
 
+    def values(df: DataFrame, **named: Column) -> Column:
+        return value(df, F.struct(*[c.alias(name) for name, c in named.items()]))
+
     rows = F.count(F.lit(1))
-    daily = R.daily_summary(t.txns, ordered=False)
-    daily_rate = 100.0 * F.sum("fraud_count") / F.sum("txn_volume")
-    txn_rows, customers = value(t.txns, rows), value(t.profiles, rows)
-    recent, early = rolling_window(t.txns), t.txns.where(rules.step_between())
-    amount = money_sum("amount")
+    volume, fraud = money_sum("amount"), F.sum("isFraud")
     severe = F.col("dormancy_severity") == "Severely Dormant"
+    daily = values(
+        R.daily_summary(t.txns, ordered=False),
+        rows=F.sum("txn_volume"), fraud=F.sum("fraud_count"), last=F.max("step"),
+        volume=money_sum("total_amount"),
+        rate=100.0 * F.sum("fraud_count") / F.sum("txn_volume"),
+    )
+    dormant = values(t.blend, all=F.count_if("is_dormant"), severe=F.count_if(severe))
+    recent = values(rolling_window(t.txns), volume=volume, fraud=fraud)
+    early_fraud = value(t.txns.where(rules.step_between()), fraud)
+    customers = value(t.profiles, rows)
+    accounts, nodes = value(R.distinct_accounts(t.txns), rows), value(G.account_nodes(t.txns), rows)
     suites = [
         ("transactions", t.txns, Q.transaction_checks(
-            accounts=value(R.distinct_accounts(t.txns), rows),
-            expected_rows=value(daily, F.sum("txn_volume")),
-            expected_accounts=value(G.account_nodes(t.txns), rows),
-            expected_fraud=value(daily, F.sum("fraud_count")),
-            expected_volume=value(daily, money_sum("total_amount")),
-            expected_rate=value(daily, daily_rate),
-            expected_step=value(daily, F.max("step")),
+            accounts, daily["rows"], nodes, daily["fraud"], daily["volume"], daily["rate"], daily["last"],
         )),
         ("graph", G.transaction_nodes(t.txns), Q.graph_checks(
-            accounts=value(G.account_nodes(t.txns), rows),
+            accounts=nodes,
             edges=value(G.graph_edges(t.txns), rows),
             mules=value(G.mule_accounts(t.payments), rows),
-            expected_accounts=value(R.distinct_accounts(t.txns), rows),
-            expected_rows=txn_rows,
+            expected_accounts=accounts,
+            expected_rows=value(t.txns, rows),
         )),
         ("customers", t.profiles, Q.profile_checks(
             expected_rows=customers, segments=MARKET_SEGMENTS, share=0.2, verified_share=0.92,
             avg_risk=0.495, avg_churn=0.495, avg_products=2.5,
             share_tolerance=0.02, tolerance=0.005,
         )),
-        ("dormancy", t.dormancy, Q.dormancy_checks(
-            dormant=value(t.blend, F.count_if("is_dormant")), severe=value(t.blend, F.count_if(severe))
-        )),
-        ("compliance", t.compliance, Q.compliance_checks(
-            volume=value(recent, amount), fraud=value(recent, F.sum("isFraud"))
-        )),
+        ("dormancy", t.dormancy, Q.dormancy_checks(dormant["all"], dormant["severe"])),
+        ("compliance", t.compliance, Q.compliance_checks(recent["volume"], recent["fraud"])),
         ("flagged", t.flagged, Q.flagged_checks()),
         ("blend", t.blend, Q.blend_checks(customers)),
-        ("summary", t.summary, Q.summary_checks(fraud=value(early, F.sum("isFraud")))),
+        ("summary", t.summary, Q.summary_checks(early_fraud)),
     ]
     return Q.all_results([Q.expectations(df, name, checks) for name, df, checks in suites])
 
