@@ -13,9 +13,8 @@ from tellerlake.streaming.sinks import Sinks
 def process_batch(batch: DataFrame, batch_id: int, sinks: Sinks) -> None:
     """Write the flagged rows, their alert messages and the batch metric.
 
-    The source is read once: the batch is kept while its three outputs are written.
-    Every output carries the same detection time only within one task attempt, so the
-    flagged rows are what the metric and the alerts are derived from, not each other.
+    The batch is kept while its outputs are written, so the source is read once. The
+    flagged rows are kept as well, so that rows and alerts show one detection time.
     """
     batch = batch.persist()
     try:
