@@ -5,9 +5,9 @@ from pathlib import Path
 
 import pytest
 
-import __spark_entry__ as entry_points
 from tellerlake.operators import bounds, graph, reports, scoring
 from tellerlake.operators.kpis import flag_transactions, flagged_by_type
+from tellerlake.plans.registry import QUERIES
 from tellerlake.sources.readers import read_transactions
 from tellerlake.sources.testtables import stream_transactions, transactions
 from tellerlake.sources.writers import overwrite_parquet
@@ -19,16 +19,16 @@ def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_cross_join_and_no_python(spark, name):
-    plan = physical(entry_points.queries()[name](spark, SF_DIR))
+    plan = physical(QUERIES[name](spark, SF_DIR))
     for bad in ("CartesianProduct", "NestedLoopJoin", "Python", "Pandas"):
         assert bad not in plan
 
 
 def test_windows_without_a_key_only_order_small_aggregates(spark):
     allowed = {"fraud_rate_trend", "latency_sla"}
-    for name, make in entry_points.queries().items():
+    for name, make in QUERIES.items():
         if name not in allowed:
             plan = physical(make(spark, SF_DIR))
             assert not re.search(r"Window \[[^\n]*\], \[[^\]]+\]\n", plan) or "fraud_rings" in name
