@@ -60,7 +60,7 @@ THRESHOLDS = (
     Bound("mean word length", "word_chars", "n_words", low=200, high=1200),
     Bound("symbols for each word", "n_symbols", "n_words", high=10),
     Bound("exclamation and question marks for each word", "n_marks", "n_words", high=30),
-    Bound("stop words", "n_stop_words", "n_words", low=5),
+    Bound("stop words", "n_stop_words", "n_words", low=2),
     Bound("repeated lines", "n_dup_lines", "n_lines", high=50),
     Bound("lines that end in dots", "n_dotted_lines", "n_lines", high=30),
     Bound("lines that begin with a bullet", "n_bullet_lines", "n_lines", high=90),
