@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm import line_dedup, mixing, quality_rules
+from tellerlake.llm import line_dedup, mixing, near_dedup, quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,10 +26,16 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicated(table(spark, sf_dir, "documents"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return near_dedup.verdicts(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op6_line_dedup": op6_line_dedup,
+    "op7_near_dedup": op7_near_dedup,
 }
 
 ORACLE = {
