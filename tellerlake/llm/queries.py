@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm import line_dedup, mixing, near_dedup, quality_rules
+from tellerlake.llm import line_dedup, mixing, near_dedup, quality_rules, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,15 +31,22 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.verdicts(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+    return topk.top_k(rows.where("id % 100 = 0"), rows)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op6_line_dedup": op6_line_dedup,
     "op7_near_dedup": op7_near_dedup,
+    "op9_topk_search": op9_topk_search,
 }
 
 ORACLE = {
     "op1_mixing": mixing.ORACLE,
     "op5_quality_rules": quality_rules.ORACLE,
     "op6_line_dedup": line_dedup.ORACLE,
+    "op9_topk_search": topk.ORACLE,
 }
