@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm import line_dedup, mixing, near_dedup, quality_rules, topk
+from tellerlake.llm import line_dedup, mixing, near_dedup, quality_rules, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.drop("text")
@@ -38,6 +42,7 @@ def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op4_warc": op4_warc,
     "op5_quality_rules": op5_quality_rules,
     "op6_line_dedup": op6_line_dedup,
     "op7_near_dedup": op7_near_dedup,
@@ -46,6 +51,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_mixing": mixing.ORACLE,
+    "op4_warc": warc.ORACLE,
     "op5_quality_rules": quality_rules.ORACLE,
     "op6_line_dedup": line_dedup.ORACLE,
     "op9_topk_search": topk.ORACLE,
