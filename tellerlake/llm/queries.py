@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm import line_dedup, mixing, near_dedup, quality_rules, topk, warc
+from tellerlake.llm import html_extract, line_dedup, mixing, near_dedup, quality_rules, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,11 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.verdicts(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_extract.extracted(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", "n_chars")
+
+
 def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
     return topk.top_k(rows.where("id % 100 = 0"), rows)
@@ -46,6 +51,7 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_line_dedup": op6_line_dedup,
     "op7_near_dedup": op7_near_dedup,
+    "op8_html_extract": op8_html_extract,
     "op9_topk_search": op9_topk_search,
 }
 
