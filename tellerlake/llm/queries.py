@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm import html_extract, line_dedup, mixing, near_dedup, quality_rules, topk, warc
+from tellerlake.llm import html_extract, line_dedup, mixing, near_dedup, pu_quality, quality_rules, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return pu_quality.scored(table(spark, sf_dir, "documents").select("doc_id", "text"), labels)
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
@@ -47,6 +52,7 @@ def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_quality_classifier": op2_quality_classifier,
     "op4_warc": op4_warc,
     "op5_quality_rules": op5_quality_rules,
     "op6_line_dedup": op6_line_dedup,
