@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm import html_extract, line_dedup, mixing, near_dedup, pu_quality, quality_rules, topk, warc
+from tellerlake.llm import html_extract, line_dedup, mixing, near_dedup, pieces, pu_quality, quality_rules, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,11 @@ def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows.where("id % 100 = 0"), rows)
 
 
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pieces.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", *pieces.DERIVED)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_quality_classifier": op2_quality_classifier,
@@ -59,6 +64,7 @@ QUERIES = {
     "op7_near_dedup": op7_near_dedup,
     "op8_html_extract": op8_html_extract,
     "op9_topk_search": op9_topk_search,
+    "op10_pieces": op10_pieces,
 }
 
 ORACLE = {
