@@ -14,10 +14,10 @@ right half; a pair with similarity 0.75 misses that with probability 4e-6.
    probability 1e-5) are candidates. A half with many members is cut into blocks, and the
    pairs of blocks are dealt to tasks.
 4. Links are confirmed by intersecting the full sets, and classes joined to components.
-   Not all pairs of a large group are emitted: each class names its closest candidates
-   first; in later rounds, sixteen times as many, but only those that are still in another
-   component. The rounds end when no class has a candidate left, so no link that would
-   join two components is lost.
+   The pairs of a large group are not emitted: each class first names its closest
+   candidates only. Classes that then still have a candidate in another component go to
+   their cells once more, with their sets; there every such candidate is tested, and links
+   that join components are all that comes out. So no link between components is lost.
 
 Hashes have 64 bits, that of a set names its class. Defined results: a text without words, or null, has no shingles and
 is linked with nothing; one with fewer than five words is one shingle; a null id takes part
@@ -40,13 +40,16 @@ from tellerlake.llm.shared import quoted, written
 from tellerlake.llm.shingles import shingle_sets, slices
 
 PERCENT = 75
+CELL = ["half", "key", "x", "y"]
+MEMBER = ["id", "n", "sig", *CELL[:2], "block", *CELL[2:], "label"]
 HALVES, WIDTH = 16, 2
 HASHES = 2 * HALVES * WIDTH
 AGREE = HASHES // 2
-#: Members of a block of a left half; pairs of blocks are compared in memory.
-BLOCK = 2048
-#: Candidates a class names in the first round, and the factor for each later one.
-FIRST, FACTOR = 8, 16
+#: Members of a block of a left half, and shingles of their sets together; pairs of blocks
+#: are compared in memory.
+BLOCK, BLOCK_HASHES = 2048, 4 << 20
+#: Candidates that a class names in the first round; the second tests all that are left.
+FIRST = 8
 
 _RNG = np.random.default_rng(7)
 _FLIP = _RNG.integers(0, 1 << 63, size=HASHES, dtype=np.uint64)
@@ -89,13 +92,15 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _half_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """id, half, key: 32 rows for each class; halves from 16 on are right ones."""
+    """id, n, half, key: 32 rows for each class; halves from 16 on are right ones."""
     for batch in batches:
         sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), dtype=np.uint64)  # two minhashes in one
         ids = np.repeat(batch.column("id").to_numpy(), 2 * HALVES)
         halves = np.tile(np.arange(2 * HALVES, dtype=np.int32), batch.num_rows)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids), pa.array(halves), pa.array(sig.view(np.int64))], names=["id", "half", "key"]
+            [pa.array(ids), pa.array(np.repeat(batch.column("n").to_numpy(), 2 * HALVES)), pa.array(halves),
+             pa.array(sig.view(np.int64))],
+            names=["id", "n", "half", "key"],
         )
 
 
@@ -107,7 +112,7 @@ def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[dic
             continue
         columns = {
             name: np.frombuffer(b"".join(batch.column(name).to_pylist()), dtype=np.uint32).reshape(-1, HASHES)
-            if name == "sig" else batch.column(name).to_numpy()
+            if name == "sig" else batch.column(name).to_numpy(zero_copy_only=False)
             for name in batch.schema.names
         }
         change = np.zeros(batch.num_rows - 1, dtype=bool)
@@ -128,16 +133,15 @@ def _joined(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
     return parts[0] if len(parts) == 1 else {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
 
 
-def _cell_pairs(cell: dict[str, np.ndarray], named: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Candidates (a, b, more) of one cell: of a block within itself, or across two.
-
-    A pair counts in the first left half where it agrees. Each row names its `named`
-    closest; more: it has others.
+def _cell_pairs(cell: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidates of one cell, of a block within itself or across two: places (r, o) of both
+    directions, by r and then from the closest on. A pair counts in the first left half
+    where it agrees.
     """
-    ids, n, sig, label, block = (cell[c] for c in ("id", "n", "sig", "label", "block"))
+    n, sig, label, block = (cell[c] for c in ("n", "sig", "label", "block"))
     half, across = cell["half"][0], cell["x"][0] != cell["y"][0]
     sig64 = sig.view(np.uint64)
-    for s in range(0, len(ids), 32):
+    for s in range(0, len(n), 32):
         rows = slice(s, s + 32)
         ok = (label[rows, None] != label) & (n[rows, None] * 100 >= n * PERCENT) & (n * 100 >= n[rows, None] * PERCENT)
         if across:
@@ -152,26 +156,63 @@ def _cell_pairs(cell: dict[str, np.ndarray], named: int) -> Iterator[tuple[np.nd
         agree = (sig[r] == sig[o]).sum(axis=1)
         close = agree >= AGREE
         r, o, agree = r[close], o[close], agree[close]
-        if not len(r):
+        if len(r):
+            order = np.lexsort((o, -agree, r))
+            yield r[order], o[order]
+
+
+def _closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The closest candidates of each class."""
+    for cell in _groups(batches, CELL):
+        for r, o in _cell_pairs(cell):
+            begin = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
+            take = np.arange(len(r)) - np.repeat(begin, np.diff(np.append(begin, len(r)))) < FIRST
+            a, b = cell["id"][r[take]], cell["id"][o[take]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def _undecided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members of cells that still have a candidate in another component."""
+    for cell in _groups(batches, CELL):
+        if (cell["label"] == cell["label"][0]).all():
             continue
-        order = np.lexsort((o, -agree, r))
-        r, o = r[order], o[order]
-        begin = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-        sizes = np.diff(np.append(begin, len(r)))
-        take = np.arange(len(r)) - np.repeat(begin, sizes) < named
-        a, b = ids[r[take]], ids[o[take]]
-        yield np.minimum(a, b), np.maximum(a, b), np.repeat(sizes > named, sizes)[take]
+        found = [r for r, _ in _cell_pairs(cell)]
+        if found:
+            places = np.unique(np.concatenate(found))
+            part = {c: v[places] for c, v in cell.items()}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x.tobytes() for x in part[c]], pa.binary()) if c == "sig" else pa.array(part[c]) for c in MEMBER],
+                names=MEMBER,
+            )
+
+
+def _cell_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links that join components, found by testing every candidate of a cell that could."""
+    for cell in _groups(batches, CELL):
+        parent: dict[int, int] = {}
+
+        def root(x):
+            while (up := parent.get(x, x)) != x:
+                parent[x] = parent.get(up, up)
+                x = up
+            return x
 
+        sets, label = [np.frombuffer(x, dtype=np.uint64) for x in cell["shingles"]], cell["label"].tolist()
+        links = []
+        for r, o in _cell_pairs(cell):
+            for i, j in zip(r.tolist(), o.tolist()):
+                # each pair comes in both directions
+                if i < j and (a := root(label[i])) != (b := root(label[j])) and _similar(sets[i], sets[j]):
+                    parent[max(a, b)] = min(a, b)
+                    links.append((int(cell["id"][i]), int(cell["id"][j])))
+        if links:
+            a, b = zip(*links)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-def _candidates(named: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cell in _groups(batches, ["half", "key", "x", "y"]):
-            if (cell["label"] == cell["label"][0]).all():
-                continue
-            for a, b, more in _cell_pairs(cell, named):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(more)], names=["a", "b", "more"])
 
-    return run
+def _similar(a: np.ndarray, b: np.ndarray) -> bool:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common * 100 >= PERCENT * (len(a) + len(b) - common)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,28 +227,23 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        linked = []
-        for left, right in zip(batch.column("sa"), batch.column("sb")):
-            a = np.frombuffer(left.as_buffer(), dtype=np.uint64)
-            b = np.frombuffer(right.as_buffer(), dtype=np.uint64)
-            common = len(np.intersect1d(a, b, assume_unique=True))
-            linked.append(common * 100 >= PERCENT * (len(a) + len(b) - common))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"]
-        )
+        pairs = zip(batch.column("sa"), batch.column("sb"))
+        linked = [_similar(*(np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in p)) for p in pairs]
+        kept = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"])
+        yield kept.filter(pa.array(linked, pa.bool_()))
 
 
 def _members(classes: DataFrame) -> DataFrame:
     """The classes of each shared left half, dealt to cells (x, y) of its blocks."""
-    keys = classes.select("id", "sig").mapInArrow(_half_keys, "id long, half int, key long")
-    shared = keys.groupBy("half", "key").agg(F.count("*").alias("size")).where("size > 1")
-    live = keys.join(shared, ["half", "key"])
-    left = F.collect_list(F.when(F.col("half") < HALVES, F.struct("half", "key", "size")))
+    keys = classes.mapInArrow(_half_keys, "id long, n long, half int, key long")
+    shared = keys.groupBy("half", "key").agg(F.count("*").alias("size"), F.sum("n").alias("hashes")).where("size > 1")
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("hashes") / BLOCK_HASHES)).cast("int")
+    live = keys.select("id", "half", "key").join(shared.select("half", "key", blocks.alias("blocks")), ["half", "key"])
+    left = F.collect_list(F.when(F.col("half") < HALVES, F.struct("half", "key", "blocks")))
     both = live.groupBy("id").agg(left.alias("left"), F.max("half").alias("top"))
     both = both.where(f"top >= {HALVES} and size(left) > 0")
     rows = classes.join(both, "id").select("id", "n", "sig", F.inline("left"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("p", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return rows.select(
         "id", "n", "sig", "half", "key", "block",
@@ -218,35 +254,28 @@ def _members(classes: DataFrame) -> DataFrame:
 def _linked(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """node, component of the classes that are linked with another."""
     members = written(_members(classes.select(F.col("node").alias("id"), "n", "sig")), "near-members")
-    labels, tested, sets, named = None, None, None, FIRST
-    while True:
-        if labels is None:
-            rows = members.withColumn("label", F.col("id"))
-        else:
-            marks = labels.select(F.col("node").alias("id"), "component")
-            rows = members.join(marks, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
-        cell = ["half", "key", "x", "y"]
-        rows = rows.repartition(*cell).sortWithinPartitions(*cell)
-        found = rows.mapInArrow(_candidates(named), "a long, b long, more boolean")
-        pairs = found.groupBy("a", "b").agg(F.max("more").alias("more"))
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "near-pairs")
-        more = pairs.agg(F.max("more")).head()[0]
-        if sets is None:
-            nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-            ids = written(classes.join(nodes, "node", "left_semi").select("id").distinct(), "near-ids")
-            chosen = docs.join(ids, "id", "left_semi").select("text").mapInArrow(_sets, "node long, shingles binary")
-            sets = written(chosen.dropDuplicates(["node"]), "near-sets")
-        a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-        b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-        confirmed = pairs.select("a", "b").join(a, "a").join(b, "b")
-        confirmed = written(confirmed.mapInArrow(_confirm, "a long, b long, linked boolean"), "near-links")
-        tested = confirmed if tested is None else tested.unionByName(confirmed)
-        labels = components(tested.where("linked").select("a", "b"))
-        if not more:
-            return labels
-        named *= FACTOR
+
+    def in_cells(rows):
+        return rows.repartition(*CELL).sortWithinPartitions(*CELL)
+
+    first = in_cells(members.withColumn("label", F.col("id")))
+    pairs = written(first.mapInArrow(_closest, "a long, b long").distinct(), "near-pairs")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    ids = written(classes.join(nodes, "node", "left_semi").select("id").distinct(), "near-ids")
+    chosen = docs.join(ids, "id", "left_semi").select("text").mapInArrow(_sets, "node long, shingles binary")
+    sets = written(chosen.dropDuplicates(["node"]), "near-sets")
+    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    links = written(pairs.join(a, "a").join(b, "b").mapInArrow(_confirm, "a long, b long"), "near-links")
+
+    labels = components(links)
+    marked = members.join(labels.select(F.col("node").alias("id"), "component"), "id", "left")
+    marked = marked.withColumn("label", F.coalesce("component", "id")).drop("component")
+    kinds = "id long, n long, sig binary, half int, key long, block int, x int, y int, label long"
+    undecided = written(in_cells(marked).mapInArrow(_undecided, kinds), "near-undecided")
+    with_sets = undecided.join(sets.withColumnRenamed("node", "id"), "id")
+    more = written(in_cells(with_sets).mapInArrow(_cell_links, "a long, b long"), "near-links")
+    return components(links.unionByName(more))
 
 
 def verdicts(docs: DataFrame) -> DataFrame:
