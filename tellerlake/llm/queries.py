@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm import html_extract, line_dedup, mixing, near_dedup, pieces, pu_quality, quality_rules, topk, warc
+from tellerlake.llm import html_extract, line_dedup, lm_score, mixing, near_dedup, pieces, pu_quality, quality_rules, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.scored(table(spark, sf_dir, "documents").select("doc_id", "text"), labels)
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.scored(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
@@ -58,6 +62,7 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_lm_score": op3_lm_score,
     "op4_warc": op4_warc,
     "op5_quality_rules": op5_quality_rules,
     "op6_line_dedup": op6_line_dedup,
