@@ -466,12 +466,12 @@ def scored(docs: DataFrame, subwords: Subwords | None = None) -> DataFrame:
     model = fitted(counts, [r["t"].encode().split() for r in passages if r["t"]], subwords)
 
     n_all, n_distinct = sums["n"], sums["v"]
-    words = rows.where(f"kind = {WORD}").select("chunk", "word")
-    words = words.join(totals, "word", "left").select("chunk", "word", F.coalesce("total", F.lit(0)).alias("total"))
+    words = rows.where(f"kind = {WORD}").select(F.col("chunk").alias("of_chunk"), "word")
+    words = words.join(totals, "word", "left").select("of_chunk", "word", F.coalesce("total", F.lit(0)).alias("total"))
     parts = rows.where(f"kind in ({DOC}, {LIST})").select("chunk", "kind", "doc_id", "held_out", "payload", "n")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         return _scores(left, right, model, subwords, n_all, n_distinct)
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return parts.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(run, schema)
+    return parts.groupBy("chunk").cogroup(words.groupBy("of_chunk")).applyInArrow(run, schema)
