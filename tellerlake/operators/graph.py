@@ -162,55 +162,74 @@ def money_mules(
     )
 
 
-def _ring_counts(links: DataFrame, min_shared: int) -> DataFrame:
-    """(mule1, mule2, sharedSenderCount) for receiver pairs with enough shared senders.
-
-    ``links`` has one row per (src, dst) with ``fraud`` = 1 if any payment was fraud. A
-    sender counts for a pair if its payment to either side was fraud.
+#: Fraud edges of a sender that meet its other edges in one key.
+CHUNK = 512
 
-    Joining receivers on every common sender would pair up all customers of a large
-    payer. Two exact reductions avoid that:
 
-    * Prefix rule. Give each receiver its busiest sender (most receivers, id as tie
-      break) as ``top``. If two receivers share two or more senders, at least one of
-      these is not the ``top`` of either: were both shared senders tops, each would be
-      busier than the other. Candidates are thus found without any receiver's top
-      sender, which removes a payer that dominates the graph from the join, and the
-      two tops are added afterwards by looking up the single edge in question.
-    * A sender counts only through a fraud edge, so senders without one, or with a
-      single receiver, are left out first, and the join runs fraud edges against all.
-
-    What is left can still be uneven; adaptive execution splits those join partitions.
-    """
+def _ring_candidates(links: DataFrame, min_shared: int) -> tuple[DataFrame, DataFrame]:
+    """Each receiver's costliest sender, and receiver pairs with the senders they share
+    beside these."""
     if min_shared < 2:
         raise ValueError("the prefix rule needs min_shared >= 2")
     fan_out = (
         links.groupBy("src")
-        .agg(F.count(F.lit(1)).alias("receivers"), F.max("fraud").alias("tainted"))
-        .where((F.col("receivers") > 1) & (F.col("tainted") == 1))
-        .drop("tainted")
+        .agg(F.count(F.lit(1)).alias("receivers"), F.sum("fraud").alias("tainted"))
+        .where((F.col("receivers") > 1) & (F.col("tainted") > 0))
+        .select(
+            "src", (F.col("receivers") * F.col("tainted")).alias("cost"),
+            F.ceil(F.col("tainted") / CHUNK).cast("int").alias("chunks"),
+        )
     )
     active = links.join(fan_out, "src")
     tops = (
         active.groupBy("dst")
         .agg(
             F.count(F.lit(1)).alias("senders"),
-            F.max(F.struct("receivers", "src", "fraud")).alias("top"),
+            F.max(F.struct("cost", "src", "fraud")).alias("top"),
         )
         .where(F.col("senders") >= min_shared)
         .select("dst", F.col("top.src").alias("topSrc"), F.col("top.fraud").alias("topFraud"))
     )
     rest = active.join(tops.select("dst", "topSrc"), "dst").where(F.col("src") != F.col("topSrc"))
 
-    tainted = rest.where(F.col("fraud") == 1).select("src", F.col("dst").alias("a"))
-    other = rest.select("src", F.col("dst").alias("b"), "fraud")
+    chunk = F.pmod(F.hash("dst"), F.col("chunks")).cast("int")
+    tainted = rest.where(F.col("fraud") == 1).select("src", chunk.alias("chunk"), F.col("dst").alias("a"))
+    every = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    other = rest.select("src", every.alias("chunk"), F.col("dst").alias("b"), "fraud")
     once = (F.col("a") != F.col("b")) & ((F.col("fraud") == 0) | (F.col("a") < F.col("b")))
     found = (
-        tainted.join(other, "src")
+        tainted.join(other, ["src", "chunk"])
         .where(once)
         .groupBy(F.least("a", "b").alias("mule1"), F.greatest("a", "b").alias("mule2"))
         .agg(F.count(F.lit(1)).alias("found"))
     )
+    return tops, found
+
+
+def _ring_counts(links: DataFrame, min_shared: int) -> DataFrame:
+    """(mule1, mule2, sharedSenderCount) for receiver pairs with enough shared senders.
+
+    ``links`` has one row per (src, dst) with ``fraud`` = 1 if any payment was fraud. A
+    sender counts for a pair if its payment to either side was fraud.
+
+    Joining receivers on every common sender would pair up all customers of a large
+    payer. Two exact reductions avoid that:
+
+    * Prefix rule. Give each receiver its costliest sender (most pairs of a fraud edge
+      with another edge, id as tie break) as ``top``. If two receivers share two or more
+      senders, at least one of these is not the ``top`` of either: were both shared
+      senders tops, each would be costlier than the other. Candidates are thus found
+      without any receiver's top sender, which removes a payer that dominates the graph
+      from the join, and the two tops are added afterwards by looking up the single edge
+      in question.
+    * A sender counts only through a fraud edge, so senders without one, or with a
+      single receiver, are left out first, and the join runs fraud edges against all.
+
+    A sender that stays costly is cut: its fraud edges are dealt to chunks of about
+    ``CHUNK`` edges, and each chunk meets the sender's edges in a key of its own.
+    """
+    tops, found = _ring_candidates(links, min_shared)
+
 
     def side(n: int) -> DataFrame:
         return tops.select(
