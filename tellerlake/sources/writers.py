@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_SINGLE_FILE_BYTES = 256 * 1024 * 1024
-
 
 def to_kv(df: DataFrame, *columns: str) -> DataFrame:
     """Message shape: the first column as the key, all given columns as a JSON value."""
@@ -37,38 +35,25 @@ def _filesystem(df: DataFrame, path: str):
     return hadoop_path(path).getFileSystem(context._jsc.hadoopConfiguration()), hadoop_path
 
 
-def write_single_csv(
-    df: DataFrame,
-    path: str,
-    order_by: Sequence[Column | str] = (),
-    max_bytes: int = MAX_SINGLE_FILE_BYTES,
-) -> bool:
-    """Exactly one CSV file called ``path``, for report-sized results.
+def write_single_csv(df: DataFrame, path: str, order_by: Sequence[Column | str] = ()) -> None:
+    """Exactly one CSV file called ``path``, whatever its size; rows keep their order.
 
-    The result is first staged in parallel. Only if the staged data is within
-    ``max_bytes`` do its rows go through a single writer task; otherwise ``path``
-    becomes a directory of CSV parts. Returns whether it is a single file.
+    Meant for reports: all rows go through one writer task, which sorts them where an
+    order is given. ``write_csv`` is the parallel form, and always makes a directory.
     """
     fs, hadoop_path = _filesystem(df, path)
-    staging, merged = path + "__staged", path + "__merged"
-    target = hadoop_path(path)
-    overwrite_parquet(df, staging)
+    staging, target = hadoop_path(path + "__staging"), hadoop_path(path)
+    rows = df.coalesce(1)
     try:
-        staged = df.sparkSession.read.schema(df.schema).parquet(staging)
-        staged = staged.orderBy(*order_by) if order_by else staged
-        if fs.getContentSummary(hadoop_path(staging)).getLength() > max_bytes:
-            write_csv(staged, path)
-            return False
-        write_csv(staged.coalesce(1), merged)
-        parts = [s.getPath() for s in fs.listStatus(hadoop_path(merged))]
-        only = next(p for p in parts if p.getName().startswith("part-"))
+        write_csv(rows.sortWithinPartitions(*order_by) if order_by else rows, staging.toString())
+        only = next(
+            s.getPath() for s in fs.listStatus(staging) if s.getPath().getName().startswith("part-")
+        )
         fs.delete(target, True)
         if not fs.rename(only, target):
             raise OSError(f"could not move {only} to {path}")
-        return True
     finally:
-        fs.delete(hadoop_path(staging), True)
-        fs.delete(hadoop_path(merged), True)
+        fs.delete(staging, True)
 
 
 def write_blend(blend: DataFrame, rollup: DataFrame, directory: str) -> None:

@@ -37,19 +37,26 @@ def test_partition_columns_come_back_from_directories(spark, tmp_path):
 def test_single_csv_is_one_ordered_file(spark, tmp_path):
     path = str(tmp_path / "report.csv")
     df = spark.range(1000).repartition(5)
-    assert writers.write_single_csv(df, path, [F.desc("id")]) is True
-    assert writers.write_single_csv(df, path, [F.desc("id")]) is True      # replaces itself
+    writers.write_single_csv(df, path, [F.desc("id")])
+    writers.write_single_csv(df, path, [F.desc("id")])      # replaces itself
     lines = (tmp_path / "report.csv").read_text().split()
     assert lines[0] == "id" and [int(x) for x in lines[1:]] == list(range(999, -1, -1))
     assert sorted(p.name for p in tmp_path.iterdir() if "__" in p.name) == []
     assert readers.read_report(spark, path, "id bigint").count() == 1000
 
 
-def test_large_csv_becomes_a_directory(spark, tmp_path):
+def test_single_csv_keeps_the_order_of_uneven_parts(spark, tmp_path):
     path = str(tmp_path / "big.csv")
-    assert writers.write_single_csv(spark.range(1000), path, max_bytes=10) is False
-    assert (tmp_path / "big.csv").is_dir()
-    assert readers.read_report(spark, path, "id bigint").count() == 1000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        heavy = F.when(F.col("id") < 300_000, 0).otherwise(F.col("id"))
+        df = spark.range(400_000).select("id", heavy.alias("k")).orderBy("k", "id")
+        writers.write_single_csv(df, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert (tmp_path / "big.csv").is_file()
+    lines = (tmp_path / "big.csv").read_text().split()[1:]
+    assert [int(x.split(",")[0]) for x in lines] == list(range(400_000))
 
 
 def test_customers_from_json_lines(spark, tmp_path):
