@@ -10,7 +10,7 @@ from tellerlake import schemas as S
 from tellerlake.functions.exact import CENTS, cents, whole_sum
 from tellerlake.functions.rules import event_time
 from tellerlake.operators.blend import select_present
-from tellerlake.streaming.sinks import Sinks
+from tellerlake.streaming.sinks import Sinks, kept
 
 WINDOW = f"{S.CHURN_WINDOW_STEPS} hours"
 SLIDE = "1 hours"
@@ -142,16 +142,14 @@ def churn_signal_counts(windows: DataFrame, baseline: DataFrame) -> DataFrame:
 
 
 def process_batch(batch: DataFrame, batch_id: int, sinks: Sinks) -> None:
-    batch = batch.persist()
-    try:
-        if batch.isEmpty():
+    """Alerts as messages, and as rows with their signals in one string."""
+    with kept(batch) as alerts:
+        if alerts.isEmpty():
             return
         if sinks.alerts:
-            sinks.alerts(batch, batch_id)
+            sinks.alerts(alerts, batch_id)
         if sinks.rows:
-            sinks.rows(batch.withColumn("signals", F.concat_ws("|", "signals")), batch_id)
-    finally:
-        batch.unpersist()
+            sinks.rows(alerts.withColumn("signals", F.concat_ws("|", "signals")), batch_id)
 
 
 def start_churn(

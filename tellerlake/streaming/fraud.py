@@ -7,32 +7,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tellerlake.operators.kpis import flag_transactions, fraud_batch_metric
-from tellerlake.streaming.sinks import Sinks
+from tellerlake.streaming.sinks import Sinks, kept
 
 
 def process_batch(batch: DataFrame, batch_id: int, sinks: Sinks) -> None:
     """Write the flagged rows, their alert messages and the batch metric.
 
     The batch is kept while its outputs are written, so the source is read once. The
-    flagged rows are kept as well, so that rows and alerts show one detection time.
+    flagged rows are kept as well, so that rows, alerts and the mean latency of the
+    metric show one detection time.
     """
-    batch = batch.persist()
-    try:
-        if batch.isEmpty():
+    with kept(batch) as rows:
+        if rows.isEmpty():
             return
-        flagged = flag_transactions(batch, F.current_timestamp()).persist()
-        try:
+        with kept(flag_transactions(rows, F.current_timestamp())) as flagged:
             if sinks.rows:
                 sinks.rows(flagged, batch_id)
             if sinks.alerts:
                 sinks.alerts(flagged, batch_id)
-        finally:
-            flagged.unpersist()
-        if sinks.metrics:
-            metric = fraud_batch_metric(batch, batch_id)
-            sinks.metrics(metric.withColumn("recordedAt", F.current_timestamp()), batch_id)
-    finally:
-        batch.unpersist()
+            if sinks.metrics:
+                latency = flagged.agg(F.avg("detectionLatencyMs")).scalar()
+                metric = fraud_batch_metric(rows, batch_id).withColumn("avgLatencyMs", latency)
+                sinks.metrics(metric.withColumn("recordedAt", F.current_timestamp()), batch_id)
 
 
 def start_fraud(
