@@ -65,19 +65,25 @@ def risk_tier(score: Column, cuts: tuple = S.RISK_TIER_CUTS) -> Column:
 
 
 def clv_tier(score: Column, cuts: tuple = S.CLV_TIER_CUTS) -> Column:
-    """High Value strictly above the upper cut, At Risk strictly below the lower."""
+    """High Value above the upper cut, Growth Potential from the lower one on.
+
+    Everything else is At Risk, a missing score included.
+    """
     growth, high = cuts
     return (
-        F.when(score < growth, "At Risk")
-        .when(score <= high, "Growth Potential")
-        .otherwise("High Value")
+        F.when(score > high, "High Value")
+        .when(score >= growth, "Growth Potential")
+        .otherwise("At Risk")
     )
 
 
 def risk_band(score: Column, cuts: tuple = S.RISK_BAND_CUTS) -> Column:
-    """Right-closed bins: a score equal to a cut belongs to the lower band."""
+    """Right-closed bins: a score equal to a cut belongs to the lower band.
+
+    A missing score has no band.
+    """
     low, medium = cuts
-    return F.when(score > medium, "High").when(score > low, "Medium").otherwise("Low")
+    return F.when(score > medium, "High").when(score > low, "Medium").when(score <= low, "Low")
 
 
 def compliance_class(rate_pct: Column, cuts: tuple = S.COMPLIANCE_CUTS) -> Column:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tellerlake import schemas as S
 from tellerlake.functions import rules
 from tellerlake.functions.exact import score_mean
-from tellerlake.operators.bounds import last_step
 from tellerlake.operators.reports import customer_activity, dormancy_measures, fraud_measures
 from tellerlake.operators.scoring import clv_measures
 
@@ -100,9 +99,7 @@ def customer_risk_blend_from(
     aggregate and joined once: one shuffle of the lake instead of three, and one join
     instead of three.
     """
-    last = last_step(txns)
-    totals = customer_activity(txns)
-    activity = clv_measures(totals, last, bounds_from=totals)
+    activity = clv_measures(customer_activity(txns).drop("first_active_step"))
     fraud = {c: F.col(c) for c in fraud_measures(activity).columns}
     fraud["fraud_rate_pct"] = rules.fraud_rate(F.col("fraud_count"), F.col("txn_count"))
     idle = F.col("stepsSinceLastTxn")

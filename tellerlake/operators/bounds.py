@@ -36,6 +36,11 @@ def last_step(txns: DataFrame) -> Column:
     return F.coalesce(txns.agg(F.max("step")).scalar(), F.lit(0))
 
 
+def last_active(activity: DataFrame) -> Column:
+    """The last step of the data, from activity per account."""
+    return F.coalesce(extent(activity)["last_active_step_hi"], F.lit(0))
+
+
 def step_window(
     txns: DataFrame, steps: int = S.REPORT_WINDOW_STEPS, end_step: int | None = None
 ) -> tuple[Column, Column]:
@@ -65,18 +70,10 @@ def minmax_normalise(df: DataFrame, columns: Iterable[str], suffix: str = "_norm
     return df.withColumn("_ends", extent(df)).withColumns(scaled).drop("_ends")
 
 
-def max_normalise(
-    df: DataFrame, columns: dict[str, str], bounds_from: DataFrame | None = None
-) -> DataFrame:
-    """Scale columns by their maximum (``{source: output}``); a maximum <= 0 gives 0.
-
-    ``bounds_from`` is a narrower frame with the same rows to take the maxima from. It
-    pays off when ``df`` has costly columns that the result may not need: the maxima
-    are then a cheap aggregation of their own.
-    """
+def max_normalise(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Scale columns by their maximum (``{source: output}``); a maximum <= 0 gives 0."""
     scaled = {}
     for c, output in columns.items():
         top = F.col(f"_ends.{c}_hi").cast("double")
         scaled[output] = F.when(top <= 0, 0.0).otherwise(F.try_divide(F.col(c).cast("double"), top))
-    ends = extent(df if bounds_from is None else bounds_from.select(*columns))
-    return df.withColumn("_ends", ends).withColumns(scaled).drop("_ends")
+    return df.withColumn("_ends", extent(df)).withColumns(scaled).drop("_ends")

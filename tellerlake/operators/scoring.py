@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tellerlake import schemas as S
 from tellerlake.functions import rules
 from tellerlake.functions.exact import money_mean, money_sum
-from tellerlake.operators.bounds import last_step, max_normalise, minmax_normalise, step_window
+from tellerlake.operators.bounds import extent, last_active, max_normalise, minmax_normalise, step_window
 from tellerlake.operators.reports import customer_activity
 
 
@@ -40,7 +40,7 @@ def risk_scores(
     is_cash_out = (F.col("type") == "CASH_OUT").cast("int")
     transfer_amount = F.when(F.col("type") == "TRANSFER", F.col("amount"))
     behaviour = (
-        txns.where(F.col("step") > start)
+        txns.where((F.col("step") > start) & (F.col("step") <= end))
         .groupBy(F.col("nameOrig").alias("customerId"))
         .agg(
             F.count(F.lit(1)).alias("txnCount"),
@@ -67,16 +67,17 @@ def risk_scores(
 
 def clv_measures(
     activity: DataFrame,
-    last: Column,
     weights: dict[str, float] = S.CLV_WEIGHTS,
     cutoff: int = S.CLV_RECENCY_STEPS,
-    bounds_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the lifetime-value components, score and tier to per-account activity."""
-    idle = last - F.col("last_active_step")
+    """Add the lifetime-value components, score and tier to per-account activity.
+
+    The last step and the maxima come from the activity itself, whose shuffle they share.
+    """
+    idle = last_active(activity) - F.col("last_active_step")
     recency = F.when(idle > cutoff, 0.0).otherwise((cutoff - idle) / F.lit(float(cutoff)))
     shares = {"total_amount": "volumeScore", "txn_count": "frequencyScore"}
-    scaled = max_normalise(activity, shares, bounds_from)
+    scaled = max_normalise(activity, shares)
     return (
         scaled.withColumn("stepsSinceLastTxn", idle)
         .withColumn("diversityScore", F.col("distinct_types") / F.lit(float(len(S.TXN_TYPES))))
@@ -96,7 +97,7 @@ def clv_scores(
     activity = customer_activity(txns).select(
         "customerId", "total_amount", "txn_count", "distinct_types", "last_active_step"
     )
-    scored = clv_measures(activity, last_step(txns), weights, cutoff).select(
+    scored = clv_measures(activity, weights, cutoff).select(
         "customerId", "clv_score", "clv_tier",
         "volumeScore", "frequencyScore", "diversityScore", "recencyScore",
         F.col("total_amount").alias("totalAmount"),
@@ -114,16 +115,16 @@ def customer_baseline(txns: DataFrame, rate_steps: int = S.CHURN_RATE_STEPS) ->
     The rate divides by the length of the whole history, so an account that joined
     late has a low baseline. The history includes the period being judged.
     """
-    span = txns.agg(F.max("step") - F.min("step") + 1).scalar()
+    accounts = txns.groupBy(F.col("nameOrig").alias("customerId")).agg(
+        money_mean("amount").alias("baselineAvgAmount"),
+        F.count(F.lit(1)).alias("history"),
+        F.min("step").alias("firstStep"),
+        F.max("step").alias("lastStep"),
+    )
+    ends = extent(accounts)
+    span = ends["lastStep_hi"] - ends["firstStep_lo"] + 1
     periods = F.greatest(F.lit(1), span) / F.lit(float(rate_steps))
-    return (
-        txns.groupBy(F.col("nameOrig").alias("customerId"))
-        .agg(
-            money_mean("amount").alias("baselineAvgAmount"),
-            F.count(F.lit(1)).alias("history"),
-        )
-        .select(
-            "customerId", "baselineAvgAmount",
-            (F.col("history") / periods).alias("baselineFreqPer12"),
-        )
+    return accounts.select(
+        "customerId", "baselineAvgAmount",
+        (F.col("history") / periods).alias("baselineFreqPer12"),
     )

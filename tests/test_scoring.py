@@ -15,12 +15,22 @@ def test_normalise_to_max_of_nothing_positive(spark):
     assert {r.s for r in bounds.max_normalise(df, {"v": "s"}).collect()} == {0.0}
 
 
-def test_bounds_can_come_from_a_narrower_frame(spark):
+def test_normalise_to_the_maximum(spark):
     df = spark.createDataFrame([("a", 1.0, 9), ("b", 4.0, 8)], "id string, v double, x int")
-    wide = bounds.max_normalise(df, {"v": "s"})
-    narrow = bounds.max_normalise(df, {"v": "s"}, bounds_from=df)
-    assert sorted(wide.collect()) == sorted(narrow.collect())
-    assert sorted(r.s for r in wide.collect()) == [0.25, 1.0]
+    assert sorted(r.s for r in bounds.max_normalise(df, {"v": "s"}).collect()) == [0.25, 1.0]
+
+
+def test_risk_window_ends_where_it_says(txns):
+    df = txns({"step": 300, "amount": 1.0}, {"step": 400, "amount": 2.0},
+              {"step": 500, "amount": 4.0}, {"step": 501, "amount": 8.0}, {"step": 700, "amount": 16.0})
+    row = scoring.risk_scores(df, end_step=500).first()
+    assert (row.txnCount, row.totalAmount, row.windowStartStep, row.windowEndStep) == (2, 6.0, 332, 500)
+
+
+def test_customers_without_amounts_are_at_risk(txns):
+    got = {r.customerId: r for r in scoring.clv_scores(
+        txns({"nameOrig": "C1", "amount": None}, {"nameOrig": "C2"})).collect()}
+    assert got["C1"].clv_score is None and got["C1"].clv_tier == "At Risk"
 
 
 def test_risk_without_transfers_reads_as_zero(txns):
