@@ -20,9 +20,15 @@ DEFAULTS = {
 }
 
 
-def build_session(app_name: str, **conf: str) -> SparkSession:
-    """A session named after its job, so that concurrent jobs can be told apart."""
+def build_session(app_name: str, hive: bool = False, **conf: str) -> SparkSession:
+    """A session named after its job, so that concurrent jobs can be told apart.
+
+    ``hive`` keeps tables in the cluster's metastore; without it the catalog lives as
+    long as the session.
+    """
     builder = SparkSession.builder.appName(app_name)
+    if hive:
+        builder = builder.enableHiveSupport()
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
