@@ -67,9 +67,8 @@ def transaction_summary(
 
     The mart does not say which of a row's types an amount belongs to, so totals are
     split evenly. ``avg_amount`` is the unweighted mean of the customers' means.
-    ``customers`` counts mart rows: the mart has one row per customer and step, and a
-    type occurs once in its list, so no distinct count (and no shuffle by customer)
-    is needed.
+    ``customers`` is a distinct count, so a mart that holds a customer and step twice
+    does not count the customer twice.
     """
     types = F.filter(F.split("txn_types", ","), lambda t: F.length(t) > 0)
     n = F.size(types)
@@ -92,7 +91,7 @@ def transaction_summary(
             F.sum("fraud_units").alias("fraud_units"),
             F.round(money_mean("avg_amount"), 2).alias("avg_amount"),
             F.max("max_amount").alias("max_amount"),
-            F.count("customerId").alias("customers"),
+            F.count_distinct("customerId").alias("customers"),
         )
     )
     rate = F.coalesce(percent(F.col("fraud_units"), F.col("txn_units")), F.lit(0.0))

@@ -309,6 +309,12 @@ ORACLE: dict[str, str] = {
         SELECT step, type, amount::DOUBLE AS amount, nameOrig, nameDest,
             newbalanceDest::DOUBLE AS newbalanceDest, isFraud, fraudReason, detectionLatencyMs
         FROM fs ORDER BY flaggedAt DESC, step DESC, amount DESC, nameOrig, nameDest LIMIT 250""", "fs"),
+    **{f"live_feed_{name}": sql(f"""
+        SELECT step, type, amount::DOUBLE AS amount, nameOrig, nameDest,
+            newbalanceDest::DOUBLE AS newbalanceDest, isFraud, fraudReason, detectionLatencyMs
+        FROM fs WHERE isFraud = {label}
+        ORDER BY flaggedAt DESC, step DESC, amount DESC, nameOrig, nameDest LIMIT 250""", "fs")
+       for name, label in (("confirmed", 1), ("false_positive", 0))},
     "fraud_flagged": sql(
         f"SELECT {TXN_ROW}, detectionLatencyMs, flaggedAt, fraudReason FROM fs", "fs"),
     "confirmed_fraud": sql(f"SELECT {TXN_ROW} FROM t WHERE isFraud = 1", "t"),
@@ -476,6 +482,12 @@ ORACLE: dict[str, str] = {
         SELECT nameOrig AS accountId, {TXN} AS txnId, amount::DOUBLE AS amount, step AS timestamp,
             type AS transactionType FROM t
         WHERE nameOrig IN (SELECT 'C' || c_custkey FROM customer)""", "t"),
+    "received_edges_valid": sql(f"""
+        SELECT {TXN} AS txnId, nameDest AS accountId, newbalanceDest::DOUBLE AS newbalanceDest, isFraud FROM t
+        WHERE nameDest IN (SELECT 'C' || c_custkey FROM customer)""", "t"),
+    "graph_upsert": sql(f"""
+        SELECT {TXN} AS txnId, step, type, (amount + CASE WHEN step % 2 = 0 THEN 1 ELSE 0 END)::DOUBLE AS amount, isFraud
+        FROM t WHERE step % 3 <> 0 OR step % 2 = 0""", "t"),
     "graph_inventory": sql(f"""
         SELECT (SELECT COUNT(*) FROM acc) AS accounts, COUNT(*) AS transactions,
             {FRAUD} AS fraudTransactions, COUNT(nameOrig) AS sentEdges, COUNT(nameDest) AS receivedEdges,
@@ -511,13 +523,14 @@ ORACLE: dict[str, str] = {
             COUNT(*) FILTER (n > 1) AS duplicated_keys, {big('COALESCE(SUM(n) FILTER (v IS NULL), 0)')} AS null_keys
         FROM (SELECT dataset, key, v, COUNT(*) AS n FROM (
             SELECT 'customers' AS dataset, 'customerId' AS key, customerId AS v FROM c
-            UNION ALL SELECT 'accounts', 'accountId', accountId FROM acc
+            UNION ALL SELECT 'edges', 'edge', 'SENT|' || nameOrig || '|' || {TXN} FROM t
+            UNION ALL SELECT 'edges', 'edge', 'RECEIVED_BY|' || nameDest || '|' || {TXN} FROM t
             UNION ALL SELECT 'transactions', 'txnId', {TXN} FROM t
             UNION ALL SELECT 'stream', 'nameOrig', nameOrig FROM s) GROUP BY dataset, key, v)
-        GROUP BY dataset, key""", "c", "acc", "t", "s"),
+        GROUP BY dataset, key""", "c", "t", "s"),
     "dq_orphans": sql("""
         SELECT customerId AS accountId FROM c
-        EXCEPT (SELECT nameOrig FROM s UNION SELECT nameDest FROM s)""", "c", "s"),
+        EXCEPT (SELECT nameOrig FROM t UNION SELECT nameDest FROM t)""", "c", "t"),
     "dq_mule_floor": sql("""
         SELECT 'graph' AS dataset, 'mule accounts' AS "check", COUNT(*)::DOUBLE AS actual,
             5.0::DOUBLE AS expected, CASE WHEN COUNT(*) >= 5 THEN 'PASS' ELSE 'FAIL' END AS status

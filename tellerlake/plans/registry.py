@@ -147,10 +147,24 @@ def kv_json(t: Tables) -> DataFrame:
     return to_kv(t.flagged, "nameOrig", "nameDest", "type", "amount", "step", "flaggedAt")
 
 
+def _feed(t: Tables, status: str) -> DataFrame:
+    messages = to_kv(t.flagged, *t.flagged.columns)
+    return K.live_feed(decode_flagged(messages, t.flagged.schema), status=status)
+
+
 @query
 def live_feed(t: Tables) -> DataFrame:
-    messages = to_kv(t.flagged, *t.flagged.columns)
-    return K.live_feed(decode_flagged(messages, t.flagged.schema))
+    return _feed(t, "all")
+
+
+@query
+def live_feed_confirmed(t: Tables) -> DataFrame:
+    return _feed(t, "confirmed")
+
+
+@query
+def live_feed_false_positive(t: Tables) -> DataFrame:
+    return _feed(t, "false_positive")
 
 
 # --- rules and filters ------------------------------------------------------------
@@ -415,6 +429,19 @@ def graph_edges_valid(t: Tables) -> DataFrame:
     return G.valid_edges(G.sent_edges(t.txns), known, G.transaction_nodes(t.txns))
 
 
+@query
+def received_edges_valid(t: Tables) -> DataFrame:
+    known = t.profiles.select(F.col("customerId").alias("accountId"))
+    return G.valid_edges(G.received_edges(t.txns), known, G.transaction_nodes(t.txns))
+
+
+@query
+def graph_upsert(t: Tables) -> DataFrame:
+    stored = G.transaction_nodes(t.txns.where("step % 3 <> 0"))
+    newer = G.transaction_nodes(t.txns.where("step % 2 = 0").withColumn("amount", F.col("amount") + 1))
+    return G.upsert(stored, newer, "txnId")
+
+
 @query
 def graph_inventory(t: Tables) -> DataFrame:
     return G.graph_inventory(
@@ -492,18 +519,22 @@ def dq_expectations(t: Tables) -> DataFrame:
     dormant = values(t.blend, all=F.count_if("is_dormant"), severe=F.count_if(severe))
     recent = values(rolling_window(t.txns), volume=volume, fraud=fraud)
     early_fraud = value(t.txns.where(rules.step_between()), fraud)
-    customers = value(t.profiles, rows)
-    accounts, nodes = value(R.distinct_accounts(t.txns), rows), value(G.account_nodes(t.txns), rows)
+    # Control totals come from the other end: nodes from the edges' own ids, transactions
+    # from the daily summary, customers from distinct ids.
+    customers = value(t.profiles, F.count_distinct("customerId"))
+    nodes = value(G.account_nodes(t.txns), rows)
+    edges = values(G.graph_edges(t.txns), rows=rows, accounts=F.count_distinct("accountId"))
     suites = [
         ("transactions", t.txns, Q.transaction_checks(
-            accounts, daily["rows"], nodes, daily["fraud"], daily["volume"], daily["rate"], daily["last"],
+            nodes, daily["rows"], edges["accounts"],
+            daily["fraud"], daily["volume"], daily["rate"], daily["last"],
         )),
         ("graph", G.transaction_nodes(t.txns), Q.graph_checks(
             accounts=nodes,
-            edges=value(G.graph_edges(t.txns), rows),
+            edges=edges["rows"],
             mules=value(G.mule_accounts(t.payments), rows),
-            expected_accounts=accounts,
-            expected_rows=value(t.txns, rows),
+            expected_accounts=edges["accounts"],
+            expected_rows=daily["rows"],
         )),
         ("customers", t.profiles, Q.profile_checks(
             expected_rows=customers, segments=MARKET_SEGMENTS, share=0.2, verified_share=0.92,
@@ -528,9 +559,10 @@ def dq_segment_mix(t: Tables) -> DataFrame:
 
 @query
 def dq_unique_keys(t: Tables) -> DataFrame:
+    edge_ends = G.graph_edges(t.txns).select(F.concat_ws("|", "edgeType", "accountId", "txnId").alias("edge"))
     return Q.all_results([
         Q.dq_unique(t.profiles, "customerId", "customers"),
-        Q.dq_unique(G.account_nodes(t.txns), "accountId", "accounts"),
+        Q.dq_unique(edge_ends, "edge", "edges"),
         Q.dq_unique(G.transaction_nodes(t.txns), "txnId", "transactions"),
         Q.dq_unique(t.stream, "nameOrig", "stream"),
     ])
@@ -538,7 +570,7 @@ def dq_unique_keys(t: Tables) -> DataFrame:
 
 @query
 def dq_orphans(t: Tables) -> DataFrame:
-    return Q.dq_orphans(t.profiles.select(F.col("customerId").alias("accountId")), t.stream)
+    return Q.dq_orphans(t.profiles.select(F.col("customerId").alias("accountId")), t.txns)
 
 
 @query
