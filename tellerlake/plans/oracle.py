@@ -524,7 +524,7 @@ ORACLE: dict[str, str] = {
         FROM (SELECT dataset, key, v, COUNT(*) AS n FROM (
             SELECT 'customers' AS dataset, 'customerId' AS key, customerId AS v FROM c
             UNION ALL SELECT 'edges', 'edge', 'SENT|' || nameOrig || '|' || {TXN} FROM t
-            UNION ALL SELECT 'edges', 'edge', 'RECEIVED_BY|' || nameDest || '|' || {TXN} FROM t
+            UNION ALL SELECT 'edges', 'edge', 'RECEIVED_BY|' || {TXN} || '|' || nameDest FROM t
             UNION ALL SELECT 'transactions', 'txnId', {TXN} FROM t
             UNION ALL SELECT 'stream', 'nameOrig', nameOrig FROM s) GROUP BY dataset, key, v)
         GROUP BY dataset, key""", "c", "t", "s"),

@@ -523,7 +523,8 @@ def dq_expectations(t: Tables) -> DataFrame:
     # from the daily summary, customers from distinct ids.
     customers = value(t.profiles, F.count_distinct("customerId"))
     nodes = value(G.account_nodes(t.txns), rows)
-    edges = values(G.graph_edges(t.txns), rows=rows, accounts=F.count_distinct("accountId"))
+    end = F.when(F.col("edgeType") == "SENT", F.col("startId")).otherwise(F.col("endId"))
+    edges = values(G.graph_edges(t.txns), rows=rows, accounts=F.count_distinct(end))
     suites = [
         ("transactions", t.txns, Q.transaction_checks(
             nodes, daily["rows"], edges["accounts"],
@@ -559,7 +560,7 @@ def dq_segment_mix(t: Tables) -> DataFrame:
 
 @query
 def dq_unique_keys(t: Tables) -> DataFrame:
-    edge_ends = G.graph_edges(t.txns).select(F.concat_ws("|", "edgeType", "accountId", "txnId").alias("edge"))
+    edge_ends = G.graph_edges(t.txns).select(F.concat_ws("|", "edgeType", "startId", "endId").alias("edge"))
     return Q.all_results([
         Q.dq_unique(t.profiles, "customerId", "customers"),
         Q.dq_unique(edge_ends, "edge", "edges"),
