@@ -102,6 +102,7 @@ class Pieces:
         self.fallback = min(usual, default=0.0) - BELOW
         self.store: dict[str, tuple] = {}
         self.older: dict[str, tuple] = {}
+        self.inexact: set[str] = set()
         self.ready = True
 
     def edges(self, text: str) -> tuple[list[float], list[list[tuple]]]:
@@ -184,6 +185,8 @@ class Pieces:
             done += score
             at = start
         ids.reverse()
+        if b"".join([self.bytes_of[i] for i in ids]) != text.encode():
+            self.inexact.add(text)
         return np.array(ids, dtype=np.int32).tobytes(), best, best - second
 
     def cuts(self, text: str) -> list[int]:
@@ -225,16 +228,28 @@ class Pieces:
                 sums = sorted(a + b for a in sums for b in (0.0, *distances))[:self.n_best]
         return sums[1:]
 
-    def encode(self, text: str) -> tuple[bytes, list[float]]:
-        """ids of the best segmentation as bytes, and the scores of the n best."""
+    def exact(self, texts: list[str]) -> bool:
+        """Whether decoding the parts gives them back, as was tested when they were searched.
+
+        The bytes of a text's ids are those of its parts one after the other.
+        """
+        if not self.inexact:
+            return True
+        inner = (x[a:b] for x in texts for cuts in [self.cuts(x)] for a, b in zip(cuts, cuts[1:]))
+        return self.inexact.isdisjoint(inner)
+
+    def encode(self, text: str) -> tuple[bytes, list[float], bool]:
+        """ids of the best segmentation as bytes, the scores of the n best, and whether
+        decoding gives the text back."""
         self.prepare()
         if not text:
-            return b"", [0.0]
+            return b"", [0.0], True
         part, texts, found = self.part, _PART.findall(" " + text), []
         for x in texts:
             found.append(self.store.get(x) or part(x))
         best = sum([p[1] for p in found])
-        return b"".join([p[0] for p in found]), [best, *(best - b for b in self.behind(texts, [p[2] for p in found]))]
+        nearest = self.behind(texts, [p[2] for p in found])
+        return b"".join([p[0] for p in found]), [best, *(best - b for b in nearest)], self.exact(texts)
 
     def decode(self, ids) -> str:
         self.prepare()
@@ -263,11 +278,11 @@ def encoded(docs: DataFrame, model: Pieces | None = None, text: str = "text") ->
                         bests.append(None)
                         exact.append(True)
                         continue
-                    ids, best = own.encode(value)
+                    ids, best, same = own.encode(value)
                     packed.append(ids)
                     scores.append(best[0])
                     bests.append(best)
-                    exact.append(own.decode(np.frombuffer(ids, dtype=np.int32).tolist()) == value)
+                    exact.append(same)
                 sizes = np.array([0 if p is None else len(p) // 4 for p in packed])
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 missing = pa.array([p is None for p in packed])
