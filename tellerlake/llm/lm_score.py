@@ -46,6 +46,8 @@ RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: how byte-level BPE cuts a text before it looks up its ranks.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CHUNK_BYTES = 8 << 20
+#: Documents that are cut into words at a time, and words that are scored at a time.
+SLICE_DOCS, PART_WORDS = 200, 100_000
 SAMPLE_DOCS, SAMPLE_CHARS, MOST_SAMPLED = 1000, 16_000, 1500
 
 #: Subwords with vectors of their own, and classes of those that begin a word or don't.
@@ -53,6 +55,7 @@ ROWS, CLUSTERS = 1500, 20
 WINDOW, KEY, WIDTH = 16, 8, 24
 HALF = WINDOW // 2
 STEPS, BATCH, RATE, SEED = 1000, 768, 0.01, 11
+TEST_STEPS = 50
 #: Windows scored at a time.
 STRIP = 4096
 #: Discount of word counts, and the weights of word frequencies that are tried for a text.
@@ -115,21 +118,31 @@ def _rows(chunk: str, kind: int, size: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([given.get(f.name, pa.nulls(size, f.type)) for f in _ARROW], schema=_ARROW)
 
 
-def _chunk_rows(ids: list, held: list[bool], texts: list[bytes | None], subwords: Subwords) -> Iterator[pa.RecordBatch]:
-    """A chunk's documents as places in its word list, its words with training counts, the
-    subwords of its words, and training counts of subwords."""
-    chunk = uuid.uuid4().hex
+def _places(texts: list[bytes | None], known: dict[bytes, int], ends: list[int]) -> np.ndarray:
+    """Places of the texts' words in the list `known`, which grows, and where texts end."""
     words: list[bytes] = []
-    ends = []
+    before = ends[-1] if ends else 0
     for raw in texts:
         if raw:
             words += raw.split()
-        ends.append(len(words))
+        ends.append(before + len(words))
     coded = pa.array(words, type=pa.binary()).dictionary_encode()
-    distinct = coded.dictionary.to_pylist()
+    own = [known.setdefault(w, len(known)) for w in coded.dictionary.to_pylist()]
+    return np.array(own, dtype=np.int32)[coded.indices.to_numpy()] if words else np.empty(0, dtype=np.int32)
+
+
+def _chunk_rows(ids: list, held: list[bool], texts: list[bytes | None], subwords: Subwords) -> Iterator[pa.RecordBatch]:
+    """A chunk's documents as places in its word list, its words with training counts, the
+    subwords of its words, and training counts of subwords."""
+    chunk = uuid.uuid4().hex
+    known: dict[bytes, int] = {}
+    ends, at = [], []
+    for start in range(0, len(texts), SLICE_DOCS):
+        at.append(_places(texts[start:start + SLICE_DOCS], known, ends))
+    distinct = list(known)
     hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in distinct], dtype=np.uint64).view(np.int64)
     hashes, first, place = np.unique(hashes, return_index=True, return_inverse=True)
-    at = place.astype(np.int32)[coded.indices.to_numpy()] if words else np.empty(0, dtype=np.int32)
+    at = place.astype(np.int32)[np.concatenate(at)] if distinct else np.empty(0, dtype=np.int32)
     sub, sizes = subwords.of_words([distinct[k] for k in first])
     training = np.repeat(~np.array(held), np.diff([0, *ends]))
     counts = np.bincount(at[training], minlength=len(hashes))
@@ -296,7 +309,10 @@ class Attention:
         return own[:len(ids)] + self.log_share[ids], begin[:len(ids)]
 
     def train(self, ids: np.ndarray, doc: np.ndarray) -> None:
-        """Adam on random batches of windows; the loss is the mean cross entropy."""
+        """Adam on random batches of windows; the loss is the mean cross entropy.
+
+        A tenth of the windows is set aside; the state that does best on it stays.
+        """
         x, of = self.windows(self.inputs(ids, doc), doc)
         cls = np.zeros(len(x) * HALF, dtype=np.int64)
         cls[:len(ids)] = self.cls[ids]
@@ -304,10 +320,17 @@ class Attention:
         row[:len(ids)] = self.row[ids]
         real = (of[:, HALF:] >= 0).reshape(-1)
         rng = np.random.default_rng(SEED)
+        aside = np.arange(len(x)) // 64 % 10 == 9
+        use, tests = np.flatnonzero(~aside), np.flatnonzero(aside)[:4096]
+        best, kept = np.inf, None
         first, second = ({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
+
+        def places_of(windows):
+            return (windows[:, None] * HALF + np.arange(HALF)).reshape(-1)
+
         for step in range(1, STEPS + 1):
-            pick = rng.integers(0, len(x), BATCH)
-            places = (pick[:, None] * HALF + np.arange(HALF)).reshape(-1)
+            pick = use[rng.integers(0, len(use), BATCH)]
+            places = places_of(pick)
             slopes = self._gradient(x[pick], of[pick], cls[places], row[places], real[places])
             rate = RATE * min(1.0, 2 * (1 - step / (STEPS + 1)))
             for k, g in slopes.items():
@@ -315,6 +338,21 @@ class Attention:
                 second[k] = 0.99 * second[k] + 0.01 * g * g
                 move = first[k] / (1 - 0.9 ** step) / (np.sqrt(second[k] / (1 - 0.99 ** step)) + 1e-8)
                 self.p[k] -= (rate * move).astype(np.float32)
+            if len(tests) and step % TEST_STEPS == 0:
+                at = places_of(tests)
+                loss = self._loss(x[tests], of[tests], cls[at], row[at], real[at])
+                if loss < best:
+                    best, kept = loss, {k: v.copy() for k, v in self.p.items()}
+        self.p = kept or self.p
+
+    def _loss(self, x, of, cls, row, real) -> float:
+        f = self.forward(x, of)
+        logits, h = f["logits"], f["h"].reshape(-1, WIDTH)
+        value = logits[np.arange(len(logits)), cls] - np.log(np.exp(logits).sum(axis=1))
+        for at, members in self.within(cls):
+            inner = h[at] @ self.p["inner"][members].T + self.p["inner_bias"][members]
+            value[at] += inner[np.arange(len(at)), row[at] - members.start] - np.log(np.exp(inner).sum(axis=1))
+        return float(-(value * real).sum() / max(real.sum(), 1))
 
     def _gradient(self, x, of, cls, row, real) -> dict[str, np.ndarray]:
         p, f = self.p, self.forward(x, of)
@@ -397,20 +435,36 @@ def fitted(counts: np.ndarray, passages: list[list[bytes]], subwords: Subwords)
     return model
 
 
-def _scores(docs: pa.Table, words: pa.Table, model: Attention, subwords: Subwords, n_all: int, n_distinct: int) -> pa.Table:
+def _scores(docs: pa.Table, words: pa.Table, model: Attention, n_all: int, n_distinct: int) -> pa.Table:
     """Scores of a chunk's documents."""
-    _, end, _ = subwords.encoding()
     kinds = docs.column("kind").to_numpy()
     lists = docs.filter(pa.array(kinds == LIST))
     docs = docs.filter(pa.array(kinds == DOC))
     n_words = lists.column("n")[0].as_py()
     packed = np.frombuffer(lists.column("payload")[0].as_buffer(), dtype=np.int32)
-    sizes, sub = np.append(packed[:n_words], 1).astype(np.int64), np.append(packed[n_words:], end)
+    sizes, sub = np.append(packed[:n_words], 1).astype(np.int64), np.append(packed[n_words:], len(model.cls) - 1)
     # the end is the last word; the others are in order of their hashes
     hashes, totals = words.column("word").to_numpy(), words.column("total").to_numpy()
     end_hash = np.int64(np.uint64(_END))
-    totals = np.append(totals[np.argsort(np.where(hashes == end_hash, np.iinfo(np.int64).max, hashes), kind="stable")], 0)[:n_words + 1]
+    order = np.argsort(np.where(hashes == end_hash, np.iinfo(np.int64).max, hashes), kind="stable")
+    counts = totals[order][:n_words + 1].astype(np.float64)
     places = [np.append(np.frombuffer(x.as_buffer(), dtype=np.int32), n_words) for x in docs.column("payload")]
+    n_tokens = np.array([len(x) for x in places])
+    parts = np.searchsorted(np.cumsum(n_tokens), np.arange(1, n_tokens.sum() // PART_WORDS + 1) * PART_WORDS)
+    results = []
+    for part in np.split(np.arange(len(places)), np.unique(parts)):
+        if len(part):
+            mine = [places[k] for k in part]
+            results.append(_scores_of(mine, counts, sizes, sub, model, n_all, n_distinct))
+    known, base, score = (np.concatenate(c) for c in zip(*results))
+    return pa.table({
+        "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": n_tokens, "n_known": known,
+        "train_tokens": np.full(len(places), n_all), "base_score": base, "score": score,
+    })
+
+
+def _scores_of(places, counts, sizes, sub, model: Attention, n_all: int, n_distinct: int) -> tuple[np.ndarray, ...]:
+    """Known words, base score and score of texts given as places in the word list."""
     at = np.concatenate(places).astype(np.int64)
     n_tokens = np.array([len(x) for x in places])
     first_word = np.cumsum(n_tokens) - n_tokens
@@ -423,9 +477,8 @@ def _scores(docs: pa.Table, words: pa.Table, model: Attention, subwords: Subword
     of_word = np.add.reduceat(own, first_sub, dtype=np.float64) - begin[first_sub]
     after = np.append(begin[first_sub[1:]], 0.0)
     after[first_word[1:] - 1] = 0.0
-    after[-1] = 0.0
     of_word = np.minimum(of_word + after, 0.0)
-    count = totals[at].astype(np.float64)
+    count = counts[at]
     base = np.log10((count + 1) / (n_all + n_distinct + 1))
     frequency = np.maximum(count - DISCOUNT, 0.0) / max(n_all, 1)
     spelled = np.exp(np.maximum(of_word, -700.0))
@@ -435,12 +488,7 @@ def _scores(docs: pa.Table, words: pa.Table, model: Attention, subwords: Subword
     ])
     best = mixed.max(axis=0)
     score = best + np.log10((10.0 ** (mixed - best)).mean(axis=0))
-    return pa.table({
-        "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"),
-        "n_tokens": n_tokens, "n_known": np.add.reduceat((count > 0).astype(np.int64), first_word),
-        "train_tokens": np.full(len(places), n_all), "base_score": np.add.reduceat(base, first_word),
-        "score": score,
-    })
+    return np.add.reduceat((count > 0).astype(np.int64), first_word), np.add.reduceat(base, first_word), score
 
 
 def scored(docs: DataFrame, subwords: Subwords | None = None) -> DataFrame:
@@ -471,7 +519,7 @@ def scored(docs: DataFrame, subwords: Subwords | None = None) -> DataFrame:
     parts = rows.where(f"kind in ({DOC}, {LIST})").select("chunk", "kind", "doc_id", "held_out", "payload", "n")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _scores(left, right, model, subwords, n_all, n_distinct)
+        return _scores(left, right, model, n_all, n_distinct)
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return parts.groupBy("chunk").cogroup(words.groupBy("of_chunk")).applyInArrow(run, schema)
