@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tellerlake.llm.shared import carried, quoted
 
@@ -296,8 +297,11 @@ def encoded(docs: DataFrame, model: Pieces | None = None, text: str = "text") ->
                     names=["row", *DERIVED],
                 )
 
-    kind = rows.schema["row"].dataType.simpleString()
-    schema = f"row {kind}, ids array<int>, n_pieces long, score double, best_scores array<double>, exact boolean"
+    schema = T.StructType([
+        rows.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_pieces", T.LongType()),
+        T.StructField("score", T.DoubleType()), T.StructField("best_scores", T.ArrayType(T.DoubleType())),
+        T.StructField("exact", T.BooleanType()),
+    ])
     return rows.mapInArrow(run, schema).select("row.*", *DERIVED).drop("__")
 
 
@@ -325,5 +329,5 @@ def decoded(rows: DataFrame, model: Pieces | None = None, ids: str = "ids") -> D
             texts = [None if x.as_py() is None else own.decode(x.as_py()) for x in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
 
-    kind = source.schema["row"].dataType.simpleString()
-    return source.mapInArrow(run, f"row {kind}, text string").select("row.*", "text").drop("__")
+    schema = T.StructType([source.schema["row"], T.StructField("text", T.StringType())])
+    return source.mapInArrow(run, schema).select("row.*", "text").drop("__")

@@ -4,6 +4,7 @@ import random
 
 import pytest
 from conftest import SF_DIR
+from pyspark.sql import functions as F
 
 from tellerlake.llm import pieces as P
 
@@ -75,10 +76,10 @@ def test_whole_table_round_trip(spark):
 
 def test_edges_of_tables(spark):
     long = "ab " * 200_000 + "q" * 20_000
-    df = spark.createDataFrame([(1, None, 7), (2, "", 7), (2, "", 7), (3, long, 7)], "doc_id long, text string, Score int")
+    df = spark.createDataFrame([(1, None, 7), (2, "", 7), (2, "", 7), (3, long, 7)], "doc_id long, text string, Score int").withColumn("a: b", F.lit(1))
     got = {r.doc_id: r for r in P.encoded(df).collect()}
     assert (got[1].ids, got[1].score, got[1].n_pieces, got[1].exact) == (None, None, None, True)
     assert (got[2].ids, got[2].score, got[2].best_scores) == ([], 0.0, [0.0])
     assert got[3].exact and got[3].n_pieces > 200_000
-    assert P.encoded(df).columns == ["doc_id", "text", *P.DERIVED] and P.encoded(df.limit(0)).count() == 0
+    assert P.encoded(df).columns == ["doc_id", "text", "a: b", *P.DERIVED] and P.encoded(df.limit(0)).count() == 0
     assert P.decoded(P.encoded(df)).where("doc_id = 1").first().text is None
