@@ -4,10 +4,15 @@
    and give each its subword ids (byte-level BPE, never trained here). A chunk's documents
    become places in its word list. Word counts of all training documents are summed by
    word; subword counts give the model's vocabulary and the shares inside its classes.
-2. The model is trained in numpy on a bounded sample of training passages: one attention
-   head over context windows that overlap by half, causal and within a document, then a
-   softmax over classes of subwords. Frequent subwords are classes of their own; the share
-   of a subword in its class comes from the counts of the whole corpus.
+2. The model is one attention head over context windows that overlap by half, causal and
+   within a document, then a softmax over classes of subwords. Frequent subwords have
+   vectors of their own and are grouped by what precedes them in all training text; the
+   share of another subword in its class comes from the counts of the whole corpus.
+   It is trained on every window of every training document, once: in each round the
+   tasks start from the same state, make a numpy Adam step for each batch of their windows,
+   and the mean of their states, weighted by windows, is the next round's. Rounds share out
+   the files of step 1 and grow with the root of their number, steps grow with the text.
+   A bounded sample of passages gives the state to start from, and nothing else.
 3. Chunks meet the summed counts of their words again and are scored: batched windows of 16
    places, each scoring its second half, so every subword is scored once. A word's
    probability is that of its subwords, given that a word begins, and that it ends after
@@ -17,8 +22,8 @@
    chooses its weight at a cost of less than one digit.
 
 Training documents are those whose crc32(id as text) mod 7 is not 2. What is gathered from
-them (words, subwords) covers all of them and grows with them; only the fitting sample is
-bounded: about `SAMPLE_DOCS` documents, a passage of `SAMPLE_CHARS` characters of each.
+them (words, subwords, pairs of subwords, trained windows) covers all of them and grows with
+them. `attention_score` is what the attention model gives a text without the word counts.
 
 Defined results: a null or empty text has one token, its end; a null id is a training
 document; rows that repeat an id are documents of their own; words are compared by 64-bit
@@ -29,13 +34,17 @@ an empty table gives an empty one; columns other than id and text play no part.
 from __future__ import annotations
 
 import base64
+import copy
+import math
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +57,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 CHUNK_BYTES = 8 << 20
 #: Documents that are cut into words at a time, and words that are scored at a time.
 SLICE_DOCS, PART_WORDS = 200, 100_000
+#: The passages that give the state to start from.
 SAMPLE_DOCS, SAMPLE_CHARS, MOST_SAMPLED = 1000, 16_000, 1500
 
 #: Subwords with vectors of their own, and classes of those that begin a word or don't.
@@ -56,6 +66,8 @@ WINDOW, KEY, WIDTH = 16, 8, 24
 HALF = WINDOW // 2
 STEPS, BATCH, RATE, SEED = 1000, 768, 0.01, 11
 TEST_STEPS = 50
+#: The rate of the first round over all windows, and the steps a task takes to reach it.
+ROUND_RATE, RISE = 0.01, 20
 #: Windows scored at a time.
 STRIP = 4096
 #: Discount of word counts, and the weights of word frequencies that are tried for a text.
@@ -110,7 +122,7 @@ _ARROW = pa.schema([
     ("chunk", pa.string()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("held_out", pa.bool_()),
     ("payload", pa.binary()), ("word", pa.int64()), ("n", pa.int64()),
 ])
-DOC, WORD, LIST, SUBWORD = range(4)
+DOC, WORD, LIST, SUBWORD, TRAIN = range(5)
 
 
 def _rows(chunk: str, kind: int, size: int, **columns) -> pa.RecordBatch:
@@ -158,6 +170,25 @@ def _chunk_rows(ids: list, held: list[bool], texts: list[bytes | None], subwords
     each = np.bincount(sub, weights=np.repeat(counts, sizes)).astype(np.int64) if len(sub) else np.empty(0, dtype=np.int64)
     used = np.flatnonzero(each)
     yield _rows(chunk, SUBWORD, len(used), word=pa.array(used), n=pa.array(each[used]))
+    _, end, _ = subwords.encoding()
+    for ids in _training_ids([at[s:e] for s, e, out in zip([0, *ends], ends, held) if not out], sub, sizes, end):
+        yield _rows(chunk, TRAIN, 1, payload=pa.array([ids.astype(_id_type(end)).tobytes()], pa.binary()), n=pa.array([len(ids)]))
+
+
+def _id_type(end: int) -> type:
+    return np.uint16 if end < 1 << 16 else np.int32
+
+
+def _training_ids(docs: list[np.ndarray], sub: np.ndarray, sizes: np.ndarray, end: int) -> Iterator[np.ndarray]:
+    """Subwords of all `docs` with an end behind each, some whole documents at a time."""
+    sub, sizes = np.append(sub, end), np.append(sizes, 1)
+    from_ = np.cumsum(sizes) - sizes
+    cuts = np.cumsum([len(d) + 1 for d in docs]) // PART_WORDS
+    for part in np.split(np.arange(len(docs)), np.flatnonzero(np.diff(cuts)) + 1):
+        if len(part):
+            at = np.concatenate([np.append(docs[k], len(sizes) - 1) for k in part])
+            size = sizes[at]
+            yield sub[np.repeat(from_[at] - np.cumsum(size) + size, size) + np.arange(size.sum())]
 
 
 def tokenised(docs: DataFrame, subwords: Subwords) -> DataFrame:
@@ -187,6 +218,22 @@ def _sequence(docs_sub: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndar
     return ids.astype(np.int64), np.repeat(np.arange(len(docs_sub)), [len(d) + 1 for d in docs_sub])
 
 
+class Adam:
+    """Adam for the parameters `p`, which it changes in place."""
+
+    def __init__(self, p: dict[str, np.ndarray]):
+        self.p, self.steps = p, 0
+        self.first, self.second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
+
+    def move(self, slopes: dict[str, np.ndarray], rate: float) -> None:
+        self.steps += 1
+        for k, g in slopes.items():
+            self.first[k] = 0.9 * self.first[k] + 0.1 * g
+            self.second[k] = 0.99 * self.second[k] + 0.01 * g * g
+            move = self.first[k] / (1 - 0.9 ** self.steps) / (np.sqrt(self.second[k] / (1 - 0.99 ** self.steps)) + 1e-8)
+            self.p[k] -= (rate * move).astype(np.float32)
+
+
 class Attention:
     """Embeddings, one head, and a softmax over classes and over the members of a class.
 
@@ -323,21 +370,13 @@ class Attention:
         aside = np.arange(len(x)) // 64 % 10 == 9
         use, tests = np.flatnonzero(~aside), np.flatnonzero(aside)[:4096]
         best, kept = np.inf, None
-        first, second = ({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
-
-        def places_of(windows):
-            return (windows[:, None] * HALF + np.arange(HALF)).reshape(-1)
-
+        adam, places_of = Adam(self.p), self._places_of
         for step in range(1, STEPS + 1):
             pick = use[rng.integers(0, len(use), BATCH)]
             places = places_of(pick)
             slopes = self._gradient(x[pick], of[pick], cls[places], row[places], real[places])
             rate = RATE * min(1.0, 2 * (1 - step / (STEPS + 1)))
-            for k, g in slopes.items():
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.99 * second[k] + 0.01 * g * g
-                move = first[k] / (1 - 0.9 ** step) / (np.sqrt(second[k] / (1 - 0.99 ** step)) + 1e-8)
-                self.p[k] -= (rate * move).astype(np.float32)
+            adam.move(slopes, rate)
             if len(tests) and step % TEST_STEPS == 0:
                 at = places_of(tests)
                 loss = self._loss(x[tests], of[tests], cls[at], row[at], real[at])
@@ -345,6 +384,24 @@ class Attention:
                     best, kept = loss, {k: v.copy() for k, v in self.p.items()}
         self.p = kept or self.p
 
+    @staticmethod
+    def _places_of(windows: np.ndarray) -> np.ndarray:
+        return (windows[:, None] * HALF + np.arange(HALF)).reshape(-1)
+
+    def learn(self, ids: np.ndarray, adam: Adam, rate: float, rng: np.random.Generator) -> int:
+        """Steps of `adam` over all windows of whole documents, each window once."""
+        ends = ids == len(self.cls) - 1
+        doc = np.cumsum(ends) - ends
+        x, of = self.windows(self.inputs(ids, doc), doc)
+        cls, row = np.zeros((2, len(x) * HALF), dtype=np.int32)
+        cls[:len(ids)], row[:len(ids)] = self.cls[ids], self.row[ids]
+        real = (of[:, HALF:] >= 0).reshape(-1)
+        for pick in np.array_split(rng.permutation(len(x)), -(-len(x) // BATCH)):
+            at = self._places_of(pick)
+            slopes = self._gradient(x[pick], of[pick], cls[at], row[at], real[at])
+            adam.move(slopes, rate * min(1.0, (adam.steps + 1) / RISE))
+        return len(x)
+
     def _loss(self, x, of, cls, row, real) -> float:
         f = self.forward(x, of)
         logits, h = f["logits"], f["h"].reshape(-1, WIDTH)
@@ -409,32 +466,113 @@ def _groups_of(ids: np.ndarray, vectors: np.ndarray | None, rng) -> np.ndarray:
     return near
 
 
-def _predecessors(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """What precedes each frequent id, in a few dimensions; by rank of frequency."""
-    contexts, end = 256, len(counts) - 1
+CONTEXTS = 256
+
+
+def _ranked(counts: np.ndarray) -> tuple[np.ndarray, int]:
+    """Of every id its rank among the frequent ones, or their number, and that number."""
     order = np.argsort(-counts, kind="stable")
-    order = order[(order != end) & (counts[order] > 0)][:ROWS]
+    order = order[(order != len(counts) - 1) & (counts[order] > 0)][:ROWS]
     rank = np.full(len(counts), len(order))
     rank[order] = np.arange(len(order))
+    return rank, len(order)
+
+
+def _pairs(ids: np.ndarray, rank: np.ndarray, size: int) -> np.ndarray:
+    """How often each frequent id comes behind each of the most frequent ones."""
     before, after = rank[ids[:-1]], rank[ids[1:]]
-    keep = (before < contexts) & (after < len(order))
-    table = np.bincount(after[keep] * contexts + before[keep], minlength=len(order) * contexts).reshape(-1, contexts)
+    keep = (before < min(CONTEXTS, size)) & (after < size)
+    return np.bincount(after[keep] * CONTEXTS + before[keep], minlength=size * CONTEXTS)
+
+
+def _predecessors(table: np.ndarray) -> np.ndarray:
+    """What precedes each frequent id, in a few dimensions; by rank of frequency."""
+    table = table.reshape(-1, CONTEXTS)
     expected = table.sum(axis=1, keepdims=True) * table.sum(axis=0, keepdims=True) / max(table.sum(), 1)
     gain = np.log((table + 0.5) / (expected + 0.5))
     u, s, _ = np.linalg.svd(gain, full_matrices=False)
     return u[:, :12] * s[:12]
 
 
-def fitted(counts: np.ndarray, passages: list[list[bytes]], subwords: Subwords) -> Attention:
+def _summed(rows: DataFrame, n_files: int, size: int, of_task: Callable) -> tuple[int, np.ndarray]:
+    """The sums over all tasks of what `of_task` makes of the payloads that a task reads:
+    a number, and `size` numbers. They are added in groups of tasks first, so that the
+    driver gets about the root of their number."""
+    groups = max(1, math.isqrt(n_files))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, sums = of_task(x.as_buffer() for batch in batches for x in batch.column("payload"))
+        if n:
+            yield pa.RecordBatch.from_pydict({
+                "g": pa.array([TaskContext.get().partitionId() % groups], pa.int32()), "n": pa.array([n], pa.int64()),
+                "sums": pa.array([sums.astype(np.float64).tobytes()], pa.binary()),
+            })
+
+    def add(tasks: pa.Table) -> pa.Table:
+        sums = np.zeros(size)
+        for x in tasks.column("sums"):
+            sums += np.frombuffer(x.as_buffer())
+        n = sum(tasks.column("n").to_pylist())
+        return pa.table({"n": pa.array([n], pa.int64()), "sums": pa.array([sums.tobytes()], pa.binary())})
+
+    tasks = rows.where(f"kind = {TRAIN}").select("payload").mapInArrow(run, "g int, n long, sums binary")
+    n, sums = 0, np.zeros(size)
+    for row in tasks.groupBy("g").applyInArrow(add, "n long, sums binary").toLocalIterator():
+        n += row["n"]
+        sums += np.frombuffer(row["sums"])
+    return n, sums
+
+
+def trained(rows: DataFrame, counts: np.ndarray, passages: list[list[bytes]], subwords: Subwords) -> Attention:
+    """The model after a pass over all training windows of `rows`, a written table."""
     _, end, begins = subwords.encoding()
-    ids, doc = _sequence([subwords.of_words(words)[0] for words in passages], end)
-    if len(ids) < 2:
+    kind = _id_type(end)
+    files = sorted(unquote(f) for f in rows.inputFiles())
+    rank, size = _ranked(counts)
+
+    def pairs_of(payloads: Iterator[pa.Buffer]) -> tuple[int, np.ndarray]:
+        n, table = 0, np.zeros(size * CONTEXTS, dtype=np.int64)
+        for payload in payloads:
+            ids = np.frombuffer(payload, dtype=kind)
+            n += len(ids)
+            table += _pairs(ids, rank, size)
+        return n, table
+
+    n, table = _summed(rows, len(files), size * CONTEXTS, pairs_of)
+    if n < 2 or not size:
         return Attention(counts, begins)
-    model = Attention(counts, begins, _predecessors(ids, counts))
-    model.train(ids, doc)
+    model = Attention(counts, begins, _predecessors(table))
+    ids, doc = _sequence([subwords.of_words(words)[0] for words in passages], end)
+    if len(ids) > 1:
+        model.train(ids, doc)
+    rounds = max(1, math.isqrt(len(files)) // 2)
+    for r in range(rounds):
+        share = rows.sparkSession.read.schema(rows.schema).parquet(*files[r::rounds])
+        n, state = _summed(share, len(files[r::rounds]), sum(v.size for v in model.p.values()), _round_of(model, r, rounds, kind))
+        if n:
+            model.p = _unpacked(state / n, model.p)
     return model
 
 
+def _round_of(model: Attention, r: int, rounds: int, kind: type) -> Callable:
+    rate = ROUND_RATE * (1 - r / rounds)
+
+    def learnt(payloads: Iterator[pa.Buffer]) -> tuple[int, np.ndarray]:
+        """Windows met, and so many times the state that they lead to."""
+        own, rng = copy.copy(model), np.random.default_rng([SEED, r])
+        own.p = {k: v.copy() for k, v in model.p.items()}
+        adam = Adam(own.p)
+        n = sum(own.learn(np.frombuffer(x, dtype=kind).astype(np.int64), adam, rate, rng) for x in payloads)
+        return n, n * np.concatenate([v.reshape(-1) for v in own.p.values()]).astype(np.float64)
+
+    return learnt
+
+
+def _unpacked(state: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    cuts = np.cumsum([v.size for v in like.values()])[:-1]
+    return {k: x.reshape(v.shape).astype(np.float32) for (k, v), x in zip(like.items(), np.split(state, cuts))}
+
+
 def _scores(docs: pa.Table, words: pa.Table, model: Attention, n_all: int, n_distinct: int) -> pa.Table:
     """Scores of a chunk's documents."""
     kinds = docs.column("kind").to_numpy()
@@ -456,15 +594,17 @@ def _scores(docs: pa.Table, words: pa.Table, model: Attention, n_all: int, n_dis
         if len(part):
             mine = [places[k] for k in part]
             results.append(_scores_of(mine, counts, sizes, sub, model, n_all, n_distinct))
-    known, base, score = (np.concatenate(c) for c in zip(*results))
+    known, base, score, attention = (np.concatenate(c) for c in zip(*results))
     return pa.table({
         "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": n_tokens, "n_known": known,
         "train_tokens": np.full(len(places), n_all), "base_score": base, "score": score,
+        "attention_score": attention,
     })
 
 
 def _scores_of(places, counts, sizes, sub, model: Attention, n_all: int, n_distinct: int) -> tuple[np.ndarray, ...]:
-    """Known words, base score and score of texts given as places in the word list."""
+    """Known words, base score, score and the attention model's own score of texts given as
+    places in the word list."""
     at = np.concatenate(places).astype(np.int64)
     n_tokens = np.array([len(x) for x in places])
     first_word = np.cumsum(n_tokens) - n_tokens
@@ -488,7 +628,8 @@ def _scores_of(places, counts, sizes, sub, model: Attention, n_all: int, n_disti
     ])
     best = mixed.max(axis=0)
     score = best + np.log10((10.0 ** (mixed - best)).mean(axis=0))
-    return np.add.reduceat((count > 0).astype(np.int64), first_word), np.add.reduceat(base, first_word), score
+    attention = np.add.reduceat(of_word, first_word) / np.log(10)
+    return np.add.reduceat((count > 0).astype(np.int64), first_word), np.add.reduceat(base, first_word), score, attention
 
 
 def scored(docs: DataFrame, subwords: Subwords | None = None) -> DataFrame:
@@ -508,10 +649,11 @@ def scored(docs: DataFrame, subwords: Subwords | None = None) -> DataFrame:
     for word, n in rows.where(f"kind = {SUBWORD}").groupBy("word").agg(F.sum("n")).collect():  # at most the vocabulary
         counts[word] = n
     rate = min(1.0, SAMPLE_DOCS / max(n_docs, 1))
-    chosen = docs.where(~F.col("held_out") & (F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1_000_000)) < F.lit(int(rate * 1_000_000))))
+    low = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "text"), F.lit(1 << 53)) < F.lit(int(rate * (1 << 53)))
+    chosen = docs.where(~F.col("held_out") & low)
     start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1).cast("int") + 1
     passages = chosen.select(lower_ascii(F.substr("text", start, F.lit(SAMPLE_CHARS))).alias("t")).limit(MOST_SAMPLED).collect()
-    model = fitted(counts, [r["t"].encode().split() for r in passages if r["t"]], subwords)
+    model = trained(rows, counts, [r["t"].encode().split() for r in passages if r["t"]], subwords)
 
     n_all, n_distinct = sums["n"], sums["v"]
     words = rows.where(f"kind = {WORD}").select(F.col("chunk").alias("of_chunk"), "word")
@@ -522,4 +664,5 @@ def scored(docs: DataFrame, subwords: Subwords | None = None) -> DataFrame:
         return _scores(left, right, model, n_all, n_distinct)
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    schema += ", attention_score double"
     return parts.groupBy("chunk").cogroup(words.groupBy("of_chunk")).applyInArrow(run, schema)

@@ -140,3 +140,21 @@ def test_gradient_agrees_with_differences(small):
         down = loss()
         flat[at] = keep
         assert (up - down) / (2 * step) == pytest.approx(slope.reshape(-1)[at], rel=0.05, abs=2e-4), name
+
+
+def test_training_rows_hold_every_training_document_whole(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "PART_WORDS", 500)
+    subwords = lm_score.Subwords.load()
+    _, end, _ = subwords.encoding()
+    texts = [b"a b a", None, " ".join(f"w{i}" for i in range(5000)).encode(), b"", b"held out", b"the end"]
+    rows = list(lm_score._chunk_rows(list(range(6)), [i == 4 for i in range(6)], texts, subwords))
+    got = [np.frombuffer(r.column("payload")[0].as_py(), dtype=lm_score._id_type(end)) for r in rows if r.column("kind")[0].as_py() == lm_score.TRAIN]
+    expected, _ = lm_score._sequence([subwords.of_words((t or b"").split())[0] for i, t in enumerate(texts) if i != 4], end)
+    assert len(got) > 1 and np.concatenate(got).tolist() == expected.tolist()
+
+
+def test_attention_learns_from_text_outside_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "SAMPLE_DOCS", 0)
+    df = spark.range(700).selectExpr("id AS doc_id", "repeat('red green blue black ', 250) AS text")
+    held = lm_score.scored(df.repartition(2)).where("held_out").selectExpr("sum(attention_score) / sum(n_tokens)").first()[0]
+    assert held > math.log10(0.5)  # by counts alone a word has a quarter
