@@ -11,8 +11,9 @@ least of U for what it holds of P bounds it, on rows that classifier did not see
 
 Labels are read from training rows only: those whose crc32(id as text) mod 3 is not 1.
 Trusted positives are ids with label 1 and no other label. U is taken from all training
-documents. At most `MAX_POSITIVE` and `MAX_UNLABELLED` rows, lowest hashes of their ids
-first, go to the driver for fitting; every document is scored.
+documents. At most `MAX_POSITIVE` and `MAX_UNLABELLED` rows go to the driver for fitting,
+lowest hashes of id, text and a seeded number of the row first, so that null ids and copies
+are thinned like all other rows; every document is scored.
 
 Defined results: null and empty texts have all ratios 0 and the score that belongs to
 them; without positives or training rows every score is 0.5; repeated rows give repeated
@@ -39,6 +40,9 @@ HIDDEN, STEPS, RATE, SEED = 16, 300, 0.02, 3
 #: Weight decay, and how much of the non-negative part's slack is allowed.
 DECAY, SLACK = 1e-3, 0.0
 
+#: Places in a draw are below this.
+DRAWS = 1 << 53
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -47,7 +51,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def features(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, held_out and the ratios of each text as an array."""
+    """doc_id, held_out, the ratios of each text as an array, and the row's place in a draw.
+
+    The draw is the same for the same partitions.
+    """
     t = F.col("t")
     base = docs.select(F.col(quoted(doc_id)).alias("doc_id"), F.coalesce(F.col(quoted(text)), F.lit("")).alias("t"))
     base = base.withColumns({
@@ -71,7 +78,8 @@ def features(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         (F.size(lines) - F.size(F.array_distinct(lines))) / n_lines,
         F.size(F.filter(w, lambda x: F.length(x) <= 2)) / n_words,
     ]
-    return base.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.array(*[r.cast("double") for r in ratios]).alias("x"))
+    draw = F.pmod(F.xxhash64("doc_id", "t", F.rand(SEED)), F.lit(DRAWS)).alias("draw")
+    return base.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.array(*[r.cast("double") for r in ratios]).alias("x"), draw)
 
 
 @dataclass
@@ -161,14 +169,14 @@ def fitted(p: np.ndarray, u: np.ndarray) -> Network | None:
 
 
 def _sample(rows: DataFrame, most: int) -> np.ndarray:
-    """About `most` rows, and no more: lowest hashes of their ids first.
+    """About `most` rows, and no more: the first of the draw.
 
-    A hash threshold leaves a little more than that, so what tasks send to the driver does
-    not grow with their number.
+    A threshold leaves a little more than that, so what tasks send to the driver does not
+    grow with their number.
     """
     share = min(1.0, 1.2 * most / max(rows.count(), 1))
-    low = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
-    picked = low.orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), "doc_id", "x").limit(most).select("x").toPandas()["x"]
+    low = rows.where(F.col("draw") < F.lit(int(share * DRAWS)))
+    picked = low.orderBy("draw").limit(most).select("x").toPandas()["x"]
     return np.stack([np.asarray(x) for x in picked]) if len(picked) else np.empty((0, 0))
 
 
@@ -193,4 +201,4 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
             )
 
     id_type = table.schema["doc_id"].dataType.simpleString()
-    return table.mapInArrow(run, f"doc_id {id_type}, held_out boolean, score double, predicted int")
+    return table.select("doc_id", "held_out", "x").mapInArrow(run, f"doc_id {id_type}, held_out boolean, score double, predicted int")

@@ -35,6 +35,15 @@ def test_quality_without_positives_or_rows(spark):
     assert pu_quality.scored(df.limit(0), none).count() == 0
 
 
+@pytest.mark.parametrize("same", ["NULL", "3", "7", "11"])
+def test_null_and_repeated_ids_are_thinned_like_others(spark, same):
+    df = spark.range(6000).selectExpr(
+        f"IF(id % 3 = 0, CAST({same} AS BIGINT), id + 100) AS doc_id", "IF(id % 3 = 0, 'x', repeat('word ', 50)) AS text")
+    rows = pu_quality.features(df).localCheckpoint()
+    x = pu_quality._sample(rows, 900)
+    assert len(x) == 900 and 0.25 < (x[:, 0] < 1).mean() < 0.42
+
+
 def test_risk_turns_round_below_zero():
     p, u = np.full(10, 3.0), np.full(10, -3.0)
     gp, gu = pu_quality.risk_gradient(p, u, 0.9)  # the negative part is below zero here
