@@ -9,8 +9,9 @@ Only hashes, ids and positions are shuffled; the first place of a window is a mi
 combines before the shuffle, and the join back to the places of a frequent window is one
 that adaptive execution splits. The texts move once, to meet their covered positions.
 
-Defined results: a null text stays null; a text of one or two lines has no window and stays;
-windows without any word do not count; a null id comes first in order; rows that repeat an
+Defined results: a null text stays null; a text of one or two lines has no window and stays,
+as the SQL of the query states, but with `short` all its lines are its one window, and it
+goes if a text of the same lines came before; windows without any word do not count; a null id comes first in order; rows that repeat an
 id and its text are one occurrence and get the same result; a text whose lines are all
 covered becomes empty, and its row stays; an empty table gives an empty one; all columns
 are carried, and derived names replace clashing ones.
@@ -27,10 +28,11 @@ LINES = 3
 DERIVED = ["n_lines", "n_removed"]
 
 
-def _windows(docs: DataFrame) -> DataFrame:
-    """id, text_hash, at, key: one row for each window that has a word."""
+def _windows(docs: DataFrame, short: bool) -> DataFrame:
+    """id, text_hash, span, at, key: one row for each window that has a word."""
     lines = docs.select("id", F.xxhash64("text").alias("text_hash"), F.split("text", "\n", -1).alias("lines"))
-    lines = lines.where(F.size("lines") >= LINES)
+    if not short:
+        lines = lines.where(F.size("lines") >= LINES)
     hashed = lines.select(
         "id", "text_hash",
         F.transform("lines", lambda x: F.struct(
@@ -40,6 +42,7 @@ def _windows(docs: DataFrame) -> DataFrame:
     )
     h = F.col("h")
 
+    # lines that a short text does not have are null, and hashes pass over nulls
     def window(i):
         three = [F.get(h, i + k) for k in range(LINES)]
         return F.struct(
@@ -48,16 +51,17 @@ def _windows(docs: DataFrame) -> DataFrame:
             (three[0]["has_word"] | three[1]["has_word"] | three[2]["has_word"]).alias("has_word"),
         )
 
-    found = F.filter(F.transform(F.sequence(F.lit(0), F.col("n") - LINES), window), lambda x: x["has_word"])
-    return hashed.select("id", "text_hash", F.inline(found)).drop("has_word")
+    found = F.filter(F.transform(F.sequence(F.lit(0), F.greatest(F.col("n") - LINES, F.lit(0))), window), lambda x: x["has_word"])
+    span = F.least("n", F.lit(LINES)).alias("span")
+    return hashed.select("id", "text_hash", span, F.inline(found)).drop("has_word")
 
 
-def covered(docs: DataFrame) -> DataFrame:
+def covered(docs: DataFrame, short: bool = False) -> DataFrame:
     """id, text_hash and the covered positions of each document that has any.
 
     `docs` has id and text.
     """
-    windows = _windows(docs)
+    windows = _windows(docs, short)
     repeated = (
         windows.groupBy("key")
         .agg(F.min(F.struct("id", "at")).alias("first"), F.max(F.struct("id", "at")).alias("last"))
@@ -67,15 +71,18 @@ def covered(docs: DataFrame) -> DataFrame:
     later = windows.join(repeated, F.col("key") == F.col("r_key")).where(
         ~F.struct("id", "at").eqNullSafe(F.col("first"))
     )
-    starts = later.groupBy("id", "text_hash").agg(F.collect_set("at").alias("starts"))
-    merged = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (LINES - 1)))))
+    starts = later.groupBy("id", "text_hash").agg(F.collect_set("at").alias("starts"), F.max("span").alias("span"))
+    merged = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + F.col("span") - 1))))
     return starts.select("id", "text_hash", F.sort_array(merged).alias("at"))
 
 
-def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` with later occurrences removed from the text, and the numbers of lines."""
+def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", short: bool = False) -> DataFrame:
+    """`docs` with later occurrences removed from the text, and the numbers of lines.
+
+    `short`: texts of one or two lines are compared as a whole.
+    """
     keep = carried(docs, DERIVED)
-    hits = covered(docs.select(F.col(quoted(doc_id)).alias("id"), F.col(quoted(text)).alias("text")).where(F.col("text").isNotNull()))
+    hits = covered(docs.select(F.col(quoted(doc_id)).alias("id"), F.col(quoted(text)).alias("text")).where(F.col("text").isNotNull()), short)
     rows = docs.select(
         F.struct(*[F.col(quoted(c)) for c in keep]).alias("row"),
         F.col(quoted(doc_id)).alias("id"), F.xxhash64(F.col(quoted(text))).alias("text_hash"),
@@ -99,8 +106,8 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """`docs` with shortened texts and the columns they came with."""
-    return deduplicated(docs.select(*[F.col(quoted(c)) for c in docs.columns])).select(*[F.col(quoted(c)) for c in docs.columns])
+    """`docs` with shortened texts and the columns they came with; short texts are compared too."""
+    return deduplicated(docs.select(*[F.col(quoted(c)) for c in docs.columns]), short=True).select(*[F.col(quoted(c)) for c in docs.columns])
 
 
 _SQL = """

@@ -114,3 +114,12 @@ def test_repeated_rows_are_one_occurrence(spark):
     clash = df.withColumnRenamed("lang", "N_Removed").withColumnRenamed("n_chars", "at")
     assert line_dedup.deduplicated(clash).columns == ["doc_id", "text", "source", "at", "n_lines", "n_removed"]
     assert line_dedup.without_repeats(clash).columns == clash.columns
+
+
+def test_short_texts_are_compared_as_a_whole(spark):
+    df = docs(spark, (1, "a b", "s"), (2, "a b", "s"), (3, "a b\nc", "s"), (4, "a b\nc", "s"), (5, "a b\nc\nd", "s"), (6, "", "s"), (7, "", "s"),
+              (8, "c\na b", "s"), (9, "\n", "s"), (10, "\n", "s"), (11, None, "s"))
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.deduplicated(df, short=True).collect()}
+    assert got[2] == ("", 1) and got[4] == ("", 2)
+    assert all(got[r.doc_id] == (r.text, 0) for r in df.collect() if r.doc_id not in (2, 4))
+    assert {r.doc_id: r.text for r in line_dedup.without_repeats(df).collect()} == {i: t for i, (t, _) in got.items()}
