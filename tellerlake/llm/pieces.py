@@ -9,7 +9,8 @@ bytes, at a score below all pieces.
 
 The lattice of a text falls apart wherever two characters meet that are side by side in no
 piece. Each part is searched once and kept for later occurrences, in a store of bounded
-size; the n best of a text follow from the n best of its parts.
+size; the n best of a text, ids and scores, follow from the n best of its parts. Each of its
+paths is decoded as a whole and compared with the text.
 
 Encoding is exact: decoding gives the text back, with any white space and control
 characters, and also where it holds the meta symbol that pieces use for a space.
@@ -17,7 +18,7 @@ characters, and also where it holds the meta symbol that pieces use for a space.
 The driver reads the model (its path is a parameter) and sends the pieces along; tasks work
 on their rows alone, with no shuffle. Defined results: a null text has null ids and scores
 and counts as exact; an empty text has no pieces and score 0; ties go to the path whose
-last pieces begin further left; repeated rows give repeated results; other columns are
+last pieces begin further left, and behind the best to any of the equals; repeated rows give repeated results; other columns are
 carried, and derived names replace clashing ones.
 """
 
@@ -45,7 +46,7 @@ SPACE = "▁"
 #: How far the score of byte fallback lies below that of the last piece.
 BELOW = 10.0
 
-DERIVED = ["ids", "n_pieces", "score", "best_scores", "exact"]
+DERIVED = ["ids", "n_pieces", "score", "best_scores", "best_ids", "exact"]
 
 _PART = re.compile(r" *[^ \n]+|\n| +")
 
@@ -103,7 +104,6 @@ class Pieces:
         self.fallback = min(usual, default=0.0) - BELOW
         self.store: dict[str, tuple] = {}
         self.older: dict[str, tuple] = {}
-        self.inexact: set[str] = set()
         self.ready = True
 
     def edges(self, text: str) -> tuple[list[float], list[list[tuple]]]:
@@ -186,8 +186,6 @@ class Pieces:
             done += score
             at = start
         ids.reverse()
-        if b"".join([self.bytes_of[i] for i in ids]) != text.encode():
-            self.inexact.add(text)
         return np.array(ids, dtype=np.int32).tobytes(), best, best - second
 
     def cuts(self, text: str) -> list[int]:
@@ -210,47 +208,56 @@ class Pieces:
             self.store[text] = known
         return known
 
-    def behind(self, texts: list[str], seconds: list[float]) -> list[float]:
-        """How far the next bests of a row of parts lie behind its best.
+    def others(self, text: str) -> list[tuple[float, bytes]]:
+        """The next bests of a part: how far each lies behind the best, and its ids."""
+        cuts = self.cuts(text)
+        if len(cuts) > 2:
+            inner = [text[a:b] for a, b in zip(cuts, cuts[1:])]
+            found = [self.part(x) for x in inner]
+            return self.behind(inner, found)
+        paths = self.paths(text)
+        return [(paths[0][0] - score, np.array(ids, dtype=np.int32).tobytes()) for score, ids in paths[1:]]
+
+    def behind(self, texts: list[str], found: list[tuple]) -> list[tuple[float, bytes]]:
+        """The next bests of a row of parts: how far each lies behind its best, and its ids.
 
         They depart from the best in the n - 1 parts with the nearest second bests only:
         any other part's departure has n - 1 better ones, and the best, before it.
         """
-        sums = [0.0]
-        for k in heapq.nsmallest(self.n_best - 1, range(len(texts)), key=seconds.__getitem__):
-            if seconds[k] < float("inf"):
-                cuts = self.cuts(texts[k])
-                if len(cuts) > 2:
-                    inner = [texts[k][a:b] for a, b in zip(cuts, cuts[1:])]
-                    distances = self.behind(inner, [self.part(x)[2] for x in inner])
-                else:
-                    paths = self.paths(texts[k])
-                    distances = [paths[0][0] - score for score, _ in paths[1:]]
-                sums = sorted(a + b for a in sums for b in (0.0, *distances))[:self.n_best]
-        return sums[1:]
-
-    def exact(self, texts: list[str]) -> bool:
-        """Whether decoding the parts gives them back, as was tested when they were searched.
-
-        The bytes of a text's ids are those of its parts one after the other.
-        """
-        if not self.inexact:
-            return True
-        inner = (x[a:b] for x in texts for cuts in [self.cuts(x)] for a, b in zip(cuts, cuts[1:]))
-        return self.inexact.isdisjoint(inner)
-
-    def encode(self, text: str) -> tuple[bytes, list[float], bool]:
-        """ids of the best segmentation as bytes, the scores of the n best, and whether
-        decoding gives the text back."""
+        sums: list[tuple[float, tuple]] = [(0.0, ())]
+        for k in heapq.nsmallest(self.n_best - 1, range(len(texts)), key=lambda k: found[k][2]):
+            if found[k][2] < float("inf"):
+                departures = [(0.0, ()), *((b, ((k, ids),)) for b, ids in self.others(texts[k]))]
+                sums = sorted(((a + b, x + y) for a, x in sums for b, y in departures), key=itemgetter(0))[:self.n_best]
+        best, out = [p[0] for p in found], []
+        for distance, departed in sums[1:]:
+            path = best.copy()
+            for k, ids in departed:
+                path[k] = ids
+            out.append((distance, b"".join(path)))
+        return out
+
+    def best_paths(self, text: str) -> tuple[list[bytes], list[float], bool]:
+        """ids as bytes and scores of the n best segmentations, and whether decoding the ids
+        of each gives the text back."""
         self.prepare()
         if not text:
-            return b"", [0.0], True
+            return [b""], [0.0], True
         part, texts, found = self.part, _PART.findall(" " + text), []
         for x in texts:
             found.append(self.store.get(x) or part(x))
         best = sum([p[1] for p in found])
-        nearest = self.behind(texts, [p[2] for p in found])
-        return b"".join([p[0] for p in found]), [best, *(best - b for b in nearest)], self.exact(texts)
+        nearest = self.behind(texts, found)
+        paths = [b"".join([p[0] for p in found]), *(ids for _, ids in nearest)]
+        raw, bytes_of = (" " + text).encode(), self.bytes_of.__getitem__
+        exact = all(b"".join(map(bytes_of, np.frombuffer(ids, dtype=np.int32).tolist())) == raw for ids in paths)
+        return paths, [best, *(best - b for b, _ in nearest)], exact
+
+    def encode(self, text: str) -> tuple[bytes, list[float], bool]:
+        """ids of the best segmentation as bytes, the scores of the n best, and whether
+        decoding gives the text back."""
+        paths, scores, exact = self.best_paths(text)
+        return paths[0], scores, exact
 
     def decode(self, ids) -> str:
         self.prepare()
@@ -259,8 +266,8 @@ class Pieces:
 
 
 def encoded(docs: DataFrame, model: Pieces | None = None, text: str = "text") -> DataFrame:
-    """`docs` with ids of the best segmentation, their number, the scores of the n best,
-    and whether decoding the ids gives the text back."""
+    """`docs` with ids of the best segmentation, their number, the scores and ids of the n
+    best, and whether decoding the ids of each gives the text back."""
     model = model or Pieces.load()
     keep = carried(docs, DERIVED)
     rows = docs.select(F.struct(F.lit(1).alias("__"), *[F.col(quoted(c)) for c in keep]).alias("row"), F.col(quoted(text)).alias("text"))
@@ -270,41 +277,49 @@ def encoded(docs: DataFrame, model: Pieces | None = None, text: str = "text") ->
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                packed, scores, bests, exact = [], [], [], []
+                packed, scores, bests, paths, exact = [], [], [], [], []
                 for value in part.column("text"):
                     value = value.as_py()
                     if value is None:
                         packed.append(None)
                         scores.append(None)
                         bests.append(None)
+                        paths.append(None)
                         exact.append(True)
                         continue
-                    ids, best, same = own.encode(value)
-                    packed.append(ids)
+                    found, best, same = own.best_paths(value)
+                    packed.append(found[0])
+                    paths.append(found)
                     scores.append(best[0])
                     bests.append(best)
                     exact.append(same)
-                sizes = np.array([0 if p is None else len(p) // 4 for p in packed])
-                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                missing = pa.array([p is None for p in packed])
-                ids = pa.ListArray.from_arrays(
-                    pa.array(offsets), pa.array(np.frombuffer(b"".join(p or b"" for p in packed), dtype=np.int32)), mask=missing
-                )
-                counts = pa.array(sizes.astype(np.int64), mask=np.array(missing))
+                missing = np.array([p is None for p in packed])
+                ids = _lists([p or b"" for p in packed], missing)
+                counts = pa.array(np.array([len(p or b"") // 4 for p in packed], dtype=np.int64), mask=missing)
+                each = np.concatenate([[0], np.cumsum([len(p or ()) for p in paths])]).astype(np.int32)
+                every = pa.ListArray.from_arrays(
+                    pa.array(each), _lists([x for p in paths for x in p or ()]), mask=pa.array(missing))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), ids, counts, pa.array(scores, pa.float64()),
-                     pa.array(bests, pa.list_(pa.float64())), pa.array(exact)],
+                     pa.array(bests, pa.list_(pa.float64())), every, pa.array(exact)],
                     names=["row", *DERIVED],
                 )
 
     schema = T.StructType([
         rows.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_pieces", T.LongType()),
         T.StructField("score", T.DoubleType()), T.StructField("best_scores", T.ArrayType(T.DoubleType())),
-        T.StructField("exact", T.BooleanType()),
+        T.StructField("best_ids", T.ArrayType(T.ArrayType(T.IntegerType()))), T.StructField("exact", T.BooleanType()),
     ])
     return rows.mapInArrow(run, schema).select("row.*", *DERIVED).drop("__")
 
 
+def _lists(packed: list[bytes], missing: np.ndarray | None = None) -> pa.ListArray:
+    """Packed ids as lists."""
+    offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int32)
+    values = pa.array(np.frombuffer(b"".join(packed), dtype=np.int32))
+    return pa.ListArray.from_arrays(pa.array(offsets), values, mask=None if missing is None else pa.array(missing))
+
+
 _models: dict[tuple, Pieces] = {}
 
 

@@ -83,3 +83,37 @@ def test_edges_of_tables(spark):
     assert got[3].exact and got[3].n_pieces > 200_000
     assert P.encoded(df).columns == ["doc_id", "text", "a: b", *P.DERIVED] and P.encoded(df.limit(0)).count() == 0
     assert P.decoded(P.encoded(df)).where("doc_id = 1").first().text is None
+
+
+def unpacked(paths):
+    import numpy as np
+
+    return [np.frombuffer(p, dtype=np.int32).tolist() for p in paths]
+
+
+@pytest.mark.parametrize("text", [*TEXTS, "the thonti and\nthe  heon of", "reansti", ""])
+def test_ids_of_the_n_best_are_those_of_the_search(model, text):
+    paths, scores, exact = model.best_paths(text)
+    ids = unpacked(paths)
+    assert exact and len(ids) == len(scores) and len({*map(tuple, ids)}) == len(ids)
+    assert [model.decode(x) for x in ids] == [text] * len(ids)
+    if text:
+        expected = model.paths(" " + text)
+        assert scores == pytest.approx([s for s, _ in expected]) and ids[0] == expected[0][1]
+        # equal scores may come in any order, and the last of them may be another one
+        own = {tuple(x) for x, s in zip(ids, scores) if s > scores[-1] + 1e-6}
+        assert own == {tuple(x) for s, x in expected if s > scores[-1] + 1e-6}
+
+
+def test_exactness_is_tested_on_the_ids_of_each_text():
+    own = P.Pieces.load()
+    assert own.encode("the thonti")[2]
+    last = unpacked([own.encode("the thonti")[0]])[0][-1]
+    own.bytes_of[last] = b"?"
+    assert not own.encode("the thonti")[2]
+
+
+def test_tables_have_the_ids_of_the_n_best(spark):
+    rows = P.encoded(spark.createDataFrame([(1, "the thonti"), (2, None), (3, "")], "doc_id long, text string")).collect()
+    assert len(rows[0].best_ids) == len(rows[0].best_scores) == P.N_BEST and rows[0].best_ids[0] == rows[0].ids
+    assert rows[1].best_ids is None and rows[2].best_ids == [[]]
