@@ -38,8 +38,8 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
-    DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition, IsNotNull, StringStartsWith,
-    WriterCommitMessage,
+    DataSource, DataSourceArrowWriter, DataSourceReader, EqualNullSafe, EqualTo, In, InputPartition, IsNotNull, Not,
+    StringStartsWith, WriterCommitMessage,
 )
 
 from tellerlake.llm.shared import new_path, written
@@ -165,8 +165,10 @@ def _any_records(stream, wanted, payloads: bool) -> Iterator[dict]:
 
 
 def _holds(filters: list) -> callable:
-    """A test of header columns for the pushed filters; nulls pass none, as in SQL."""
+    """A test of header columns for the pushed filters; nulls pass none, as in SQL, but Not(<=>)."""
     def one(f, row):
+        if isinstance(f, Not):
+            return row[f.child.attribute[0]] != f.child.value
         value = row[f.attribute[0]]
         if value is None:
             return False
@@ -188,6 +190,12 @@ class WarcReader(DataSourceReader):
 
     def pushFilters(self, filters):
         for f in filters:
+            if isinstance(f, Not):
+                if isinstance(f.child, EqualNullSafe) and f.child.attribute[0] in HEADERS:
+                    self.filters.append(f)
+                else:
+                    yield f
+                continue
             kinds = (EqualTo, In, IsNotNull) if f.attribute == ("payload_bytes",) else (EqualTo, In, IsNotNull, StringStartsWith)
             if isinstance(f, kinds) and f.attribute[0] in HEADERS:
                 self.filters.append(f)
@@ -350,19 +358,24 @@ def read_archive(spark: SparkSession, path: str, payload: bool = True) -> DataFr
 
 
 def archived_pages(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each record read back; sizes and digests of responses are of what was read."""
-    read = read_archive(spark, path)
-    response = F.col("record_type") == "response"
+    """A row for each record read back; sizes and digests of responses are of what was read.
 
+    Responses are read with their payloads, all other records by their headers only; both by
+    a record type that the reader gets.
+    """
     def number(column):
         return F.regexp_extract(column, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
 
-    return read.select(
-        number(F.col("record_id")).alias("page_id"),
-        F.when(response, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
-        F.when(response, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"),
-        "record_type",
-        number(F.col("refers_to")).alias("refers_to"),
+    def rows(read, size, digest):
+        return read.select(
+            number(F.col("record_id")).alias("page_id"), size.alias("payload_bytes"), digest.alias("payload_digest"),
+            "record_type", number(F.col("refers_to")).alias("refers_to"),
+        )
+
+    responses = read_archive(spark, path).where("record_type = 'response'")
+    others = read_archive(spark, path, payload=False).where("not record_type <=> 'response'")
+    return rows(responses, F.octet_length("payload").cast("long"), F.sha1("payload")).unionAll(
+        rows(others, F.col("payload_bytes"), F.col("payload_digest"))
     )
 
 

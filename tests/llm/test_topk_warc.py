@@ -111,3 +111,10 @@ def test_files_of_failed_attempts_are_not_read(spark, archive, tmp_path):
     extra = next((tmp_path / "archive").glob("*.warc.gz"))
     (tmp_path / "archive" / "part-orphan.warc.gz").write_bytes(extra.read_bytes())
     assert warc.read_archive(spark, path).count() == before
+
+
+def test_the_query_pushes_the_record_type_to_both_reads(spark, archive):
+    rows = warc.archived_pages(spark, archive[0])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchScan") == 2 and "Filter (" not in plan
+    assert rows.count() == warc.read_archive(spark, archive[0]).count() == 103
