@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm import html_extract, line_dedup, lm_score, mixing, near_dedup, pieces, pu_quality, quality_rules, topk, url_filter, warc
+from tellerlake.llm import collocations, html_extract, line_dedup, lm_score, mixing, near_dedup, pieces, pu_quality, quality_rules, topk, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", *url_filter.DERIVED)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_quality_classifier": op2_quality_classifier,
@@ -76,6 +80,7 @@ QUERIES = {
     "op9_topk_search": op9_topk_search,
     "op10_pieces": op10_pieces,
     "op12_url_filter": op12_url_filter,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE = {
@@ -85,4 +90,5 @@ ORACLE = {
     "op6_line_dedup": line_dedup.ORACLE,
     "op9_topk_search": topk.ORACLE,
     "op12_url_filter": url_filter.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }
