@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm import collocations, html_extract, line_dedup, lm_score, mixing, near_dedup, pieces, pu_quality, quality_rules, topk, url_filter, warc
+from tellerlake.llm import collocations, conversation_trie, html_extract, line_dedup, lm_score, mixing, near_dedup, pieces, pu_quality, quality_rules, topk, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,10 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *pieces.DERIVED)
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie_nodes(table(spark, sf_dir, "conversations"))
+
+
 def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judged(table(spark, sf_dir, "pages").select("page_id", "url"))
     return judged.select("page_id", *url_filter.DERIVED)
@@ -79,6 +83,7 @@ QUERIES = {
     "op8_html_extract": op8_html_extract,
     "op9_topk_search": op9_topk_search,
     "op10_pieces": op10_pieces,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_url_filter": op12_url_filter,
     "op13_collocations": op13_collocations,
 }
@@ -89,6 +94,7 @@ ORACLE = {
     "op5_quality_rules": quality_rules.ORACLE,
     "op6_line_dedup": line_dedup.ORACLE,
     "op9_topk_search": topk.ORACLE,
+    "op11_conversation_trie": conversation_trie.ORACLE,
     "op12_url_filter": url_filter.ORACLE,
     "op13_collocations": collocations.ORACLE,
 }
