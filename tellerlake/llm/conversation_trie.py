@@ -104,8 +104,8 @@ def sequences(ranked: DataFrame, convs: DataFrame, depth: int) -> DataFrame:
     """conv_id, digests, sizes, total: the first `depth` turns of every rebuilt conversation."""
     wanted = (F.col("rank") > head_length(F.col("conv_id"))) & (F.col("rank") <= depth + MOST_HEAD)
     own = ranked.where(wanted).groupBy("conv_id").agg(_in_order(F.lit(True)).alias("own"))
-    turns = F.slice(F.concat("head", F.coalesce("own", F.array().cast("array<struct<digest:binary,size:int>>"))), 1, max(depth, 1))
-    met = convs.join(own, "conv_id", "left").select("conv_id", "total", (turns if depth else F.slice(turns, 1, 0)).alias("turns"))
+    turns = F.slice(F.concat("head", F.coalesce("own", F.array().cast("array<struct<digest:binary,size:int>>"))), 1, depth)
+    met = convs.join(own, "conv_id", "left").select("conv_id", "total", turns.alias("turns"))
     return met.select("conv_id", "total", F.col("turns.digest").alias("digests"), F.col("turns.size").alias("sizes"))
 
 
@@ -377,8 +377,8 @@ def trie_nodes(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", r
     ranked = written(numbered_turns(rows), "ranked-turns")
     convs = written(rebuilt(ranked), "rebuilt")
     longest = convs.orderBy(F.desc("total"), "conv_id").select("conv_id", "h", F.size("head").alias("n_head"), "total").head(2)
-    # one turn more than the second longest has: there the longest is alone
-    depth = int(longest[1]["total"]) + 1 if len(longest) > 1 else 1
+    # one turn more than the second longest has, where the longest is alone; heads are never deeper
+    depth = max(MOST_HEAD, int(longest[1]["total"]) + 1 if len(longest) > 1 else 1)
     sorted_rows = sequences(ranked, convs, depth).repartitionByRange("digests", "conv_id").sortWithinPartitions("digests", "conv_id")
     parts = written(sorted_rows.mapInArrow(_range_rows, _PARTS), "trie-parts")
     merged = written(merged_boundary(parts), "trie-boundary")
