@@ -124,4 +124,9 @@ lines_kept AS (
   FROM {docs} d LEFT JOIN line ON d.doc_id = line.doc_id LEFT JOIN cov ON d.doc_id = cov.doc_id)
 """
 
+#: The same with texts of one or two lines, whose only window is all their lines.
+_SHORT_SQL = _SQL.replace("range(1, len(l) - 1)", "range(1, greatest(len(l) - 1, 2))").replace(
+    "l[i] || l[i + 1] || l[i + 2], '", "concat(l[i], l[i + 1], l[i + 2]), '"
+)
+
 ORACLE = f"WITH {_SQL.format(docs='documents')} SELECT * FROM lines_kept"

@@ -52,13 +52,15 @@ def quoted(name: str) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the cluster names it.
 
-    Only where `spark.checkpoint.dir` is unset, as in tests on one machine, a local
-    folder is made instead.
+    Only where `spark.checkpoint.dir` is unset and all tasks run on this machine, as in tests,
+    a local folder is made instead; on a cluster that is an error.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     app = spark.sparkContext.applicationId
     if named:
         return f"{named.rstrip('/')}/corpus-{app}"
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
     if app not in _own_dirs:
         _own_dirs[app] = tempfile.mkdtemp(prefix="corpus-")
     return f"file://{_own_dirs[app]}"
