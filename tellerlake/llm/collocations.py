@@ -42,8 +42,9 @@ TOP = 2_000
 NO_LANG = "und"
 #: A longer phrase drops a shorter one inside it from this share of its count, in percent.
 COVERING_PERCENT = 100
-#: Bytes of text whose words are held at a time; a longer text is cut between pieces.
-SLICE_BYTES = 8 << 20
+#: Bytes of text whose words are held at a time; a longer text is cut between pieces. Windows
+#: are combined within such a slice; pairs are combined over several smaller ones.
+SLICE_BYTES, PAIR_SLICE_BYTES = 4 << 20, 1 << 20
 #: Pairs of words that are combined in a task before they are passed on.
 PAIRS_HELD = 1 << 22
 #: The filter of frequent pairs has 16 bits for each of them, at most this many (16 MB).
@@ -63,10 +64,10 @@ _TABLE = bytes.maketrans(_ENDS + _UPPER, _END * len(_ENDS) + _UPPER.lower())
 
 # --- words of a slice, inside the tasks -------------------------------------------
 
-def _parts(raw: bytes) -> Iterator[bytes]:
+def _parts(raw: bytes, size: int) -> Iterator[bytes]:
     """A lower-cased text with marked ends of pieces, in parts of about a slice."""
     text, start = raw.translate(_TABLE), 0
-    while len(text) - start > SLICE_BYTES and (cut := text.find(_END, start + SLICE_BYTES)) >= 0:
+    while len(text) - start > size and (cut := text.find(_END, start + size)) >= 0:
         yield text[start:cut]
         start = cut
     yield text[start:]
@@ -103,7 +104,7 @@ class Slice:
         return pairs, keys ^ (keys >> np.uint64(31))
 
 
-def _slices(batches: Iterator[pa.RecordBatch], lang_names: list[str]) -> Iterator[Slice]:
+def _slices(batches: Iterator[pa.RecordBatch], lang_names: list[str], most: int) -> Iterator[Slice]:
     """Slices of the texts of a task; `lang_names` gets the languages as they come up."""
     numbers: dict[str, int] = {}
     held: list[tuple[bytes, int]] = []
@@ -116,10 +117,10 @@ def _slices(batches: Iterator[pa.RecordBatch], lang_names: list[str]) -> Iterato
             if lang not in numbers:
                 numbers[lang] = len(lang_names)
                 lang_names.append(lang)
-            for part in _parts(raw):
+            for part in _parts(raw, most):
                 held.append((part, numbers[lang]))
                 size += len(part)
-                if size >= SLICE_BYTES:
+                if size >= most:
                     yield Slice(held)
                     held, size = [], 0
     if held:
@@ -139,7 +140,7 @@ def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.clear()
         return pa.record_batch({"key": keys.view(np.int64), "n": n})
 
-    for part in _slices(batches, names):
+    for part in _slices(batches, names, PAIR_SLICE_BYTES):
         pairs, keys = part.pair_keys(_lang_hashes(names))
         held.append(keys[pairs])
         if sum(map(len, held)) >= PAIRS_HELD:
@@ -205,7 +206,7 @@ def window_lengths(part: Slice, frequent: np.ndarray) -> np.ndarray:
 def _window_rows(pair_filter: PairFilter):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: list[str] = []
-        for part in _slices(batches, names):
+        for part in _slices(batches, names, SLICE_BYTES):
             pairs, keys = part.pair_keys(_lang_hashes(names))
             pairs[pairs] = pair_filter.has(keys[pairs])
             lengths = window_lengths(part, pairs)

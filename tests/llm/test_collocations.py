@@ -89,14 +89,12 @@ def test_a_full_pair_filter_only_saves_less(spark):
     assert found(spark, rows, 4, 50, max_bits=64) == brute(rows, 4, 50)
 
 
-def test_slices_and_long_texts(spark, monkeypatch):
+def test_slices_and_long_texts(spark):
     rows = texts(3, 40)
     rows.append((" ".join(r[0] for r in rows if r[0]) * 20 + " end " * 500, "en"))
-    monkeypatch.setattr(C, "SLICE_BYTES", 300)
-    parts = list(C._parts(rows[-1][0].encode()))
+    parts = list(C._parts(rows[-1][0].encode(), 300))
     assert len(parts) > 20
     assert b"".join(parts) == rows[-1][0].encode().translate(C._TABLE)
-    monkeypatch.undo()
     assert found(spark, rows, 5, 100) == brute(rows, 5, 100)
 
 
