@@ -24,6 +24,18 @@ def fraud_reason(amount_min: int = S.FRAUD_AMOUNT) -> Column:
     return F.concat(F.lit("type="), F.col("type"), fixed_part)
 
 
+def type_bit(kind: str = "type") -> Column:
+    """A bit for each transaction type, so that a set of types is one whole number.
+
+    Types beyond the known ones share the remaining bits by hash; null has no bit.
+    """
+    known = len(S.TXN_TYPES)
+    bit = F.expr(f"shiftleft(1L, CAST({known} + pmod(xxhash64(`{kind}`), {63 - known}) AS INT))")
+    for position, name in enumerate(S.TXN_TYPES):
+        bit = F.when(F.col(kind) == name, F.lit(1 << position).cast("bigint")).otherwise(bit)
+    return F.when(F.col(kind).isNotNull(), bit).otherwise(F.lit(0).cast("bigint"))
+
+
 def is_false_positive() -> Column:
     """For flagged rows: the rule fired but the label says legitimate."""
     return F.col("isFraud") == 0

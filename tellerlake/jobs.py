@@ -16,6 +16,7 @@ from tellerlake import schemas as S
 from tellerlake.operators import blend, mart, reports, scoring
 from tellerlake.sources.catalog import register_table
 from tellerlake.sources.readers import read_customers, read_transactions
+from tellerlake.sources.stored import ActivityStore, update_mart
 from tellerlake.sources.writers import overwrite_parquet, write_blend, write_csv, write_single_csv
 
 Report = Callable[[DataFrame], DataFrame]
@@ -58,6 +59,35 @@ def run_blend(spark: SparkSession, customers: str, lake: str, out: str) -> None:
     write_blend(detail, blend.segment_rollup(detail), out)
 
 
+def run_mart(spark: SparkSession, lake: str, path: str, database: str) -> None:
+    """Bring the mart up to date with the lake and point its table at it."""
+    update_mart(spark, lake, path, database)
+
+
+#: Reports that stored activity is enough for.
+STORED: dict[str, Report] = {
+    "customer_fraud_summary": reports.fraud_summary_of,
+    "dormancy_report": reports.dormancy_of,
+    "clv_scores": scoring.clv_of,
+}
+
+
+def run_customers(
+    spark: SparkSession, customers: str, lake: str, store: str, out: str, database: str | None = None
+) -> list[str]:
+    """All customer reports and the blend from stored activity.
+
+    The lake is read where it changed since the last run; the reports read the stored tables.
+    """
+    kept = ActivityStore(spark, store)
+    kept.refresh(lake)
+    for name, report in STORED.items():
+        write_report(report(kept.activity()), out, name, database)
+    detail = blend.blend_of(read_customers(spark, customers), kept.activity())
+    write_blend(detail, blend.segment_rollup(detail), out)
+    return list(STORED)
+
+
 def run_summary(spark: SparkSession, out: str, mart_table: str | None = None, daily: str | None = None) -> str:
     """The transaction summary from the mart, or from the daily summary where there is no mart.
 

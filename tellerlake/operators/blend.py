@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tellerlake import schemas as S
 from tellerlake.functions import rules
 from tellerlake.functions.exact import score_mean
-from tellerlake.operators.reports import customer_activity, dormancy_measures, fraud_measures
+from tellerlake.operators.reports import customer_activity
 from tellerlake.operators.scoring import clv_measures
 
 _NUMERIC_DEFAULTS = {
@@ -26,6 +26,16 @@ _NUMERIC_DEFAULTS = {
 }
 
 
+_FRAUD_COLUMNS = [
+    "customerId", "txn_count", "total_amount", "avg_amount", "fraud_count", "unique_destinations", "last_active_step",
+]
+
+
+def core_activity(activity: DataFrame) -> DataFrame:
+    """What scores, tiers and bands are made of."""
+    return activity.drop("unique_destinations", "avg_amount")
+
+
 def select_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The given columns in the given order, without those the frame lacks."""
     return df.select([c for c in columns if c in df.columns])
@@ -99,8 +109,18 @@ def customer_risk_blend_from(
     aggregate and joined once: one shuffle of the lake instead of three, and one join
     instead of three.
     """
-    activity = clv_measures(customer_activity(txns).drop("first_active_step"))
-    fraud = {c: F.col(c) for c in fraud_measures(activity).columns}
+    return blend_of(profiles, customer_activity(txns), ordered)
+
+
+def blend_of(profiles: DataFrame, activity: DataFrame, ordered: bool = True) -> DataFrame:
+    """The blend from activity per account, computed or stored.
+
+    Without ``unique_destinations`` and ``avg_amount`` (``core_activity``) their columns are
+    missing from the blend, and no distinct count has to be made.
+    """
+    names = [c for c in _FRAUD_COLUMNS if c in activity.columns]
+    activity = clv_measures(activity.drop("first_active_step", "is_customer"))
+    fraud = {c: F.col(c) for c in names}
     fraud["fraud_rate_pct"] = rules.fraud_rate(F.col("fraud_count"), F.col("txn_count"))
     idle = F.col("stepsSinceLastTxn")
     dormant = (

@@ -18,15 +18,29 @@ from pyspark.sql import types as T
 from tellerlake import schemas as S
 
 
+def _numeric(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
+
+
+def anchored(df: DataFrame) -> DataFrame:
+    """``df`` with its numeric columns safe from pruning; no row is left out.
+
+    A report and its bounds share the shuffle below them only if they need the same columns.
+    What a reader of the report selects later must not take one away, so a filter that every
+    row passes mentions them all. Spark does not know the range of a hash and keeps it.
+    """
+    return df.where(F.hash(*_numeric(df)) >= F.lit(-(1 << 31)))
+
+
 def extent(df: DataFrame) -> Column:
     """``<col>_lo`` and ``<col>_hi`` of every numeric column, as one scalar struct.
 
     All numeric columns are read, not only the ones the caller needs: the subquery
     then has exactly the same aggregate below it as the main query, and Spark reuses
     that shuffle instead of scanning and shuffling the table a second time. For the
-    same reason ``df`` should only carry columns that the query goes on to use.
+    same reason the main query goes on from ``anchored(df)``.
     """
-    numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
+    numeric = _numeric(df)
     ends = [F.min(c).alias(f"{c}_lo") for c in numeric]
     ends += [F.max(c).alias(f"{c}_hi") for c in numeric]
     return df.agg(F.struct(*ends)).scalar()
@@ -62,6 +76,7 @@ def rolling_window(
 
 def minmax_normalise(df: DataFrame, columns: Iterable[str], suffix: str = "_norm") -> DataFrame:
     """Scale columns to [0, 1] over the whole table; a constant column becomes 0."""
+    df = anchored(df)
     scaled = {}
     for c in columns:
         lo, hi = F.col(f"_ends.{c}_lo"), F.col(f"_ends.{c}_hi")
@@ -72,6 +87,11 @@ def minmax_normalise(df: DataFrame, columns: Iterable[str], suffix: str = "_norm
 
 def max_normalise(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Scale columns by their maximum (``{source: output}``); a maximum <= 0 gives 0."""
+    return scaled_by_maximum(anchored(df), columns)
+
+
+def scaled_by_maximum(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """The same for a frame that is anchored already."""
     scaled = {}
     for c, output in columns.items():
         top = F.col(f"_ends.{c}_hi").cast("double")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tellerlake import schemas as S
 from tellerlake.functions import rules
 from tellerlake.functions.exact import money_mean, money_sum, percent
-from tellerlake.operators.bounds import last_active, step_window
+from tellerlake.operators.bounds import anchored, last_active, step_window
 
 CONFIRMED_FRAUD_COLUMNS = S.TRANSACTION_SCHEMA.fieldNames()[:-1]
 
@@ -53,24 +53,34 @@ def compliance_summary(
     return summary.orderBy(F.desc("total_volume")) if ordered else summary
 
 
+def sent(txns: DataFrame) -> DataFrame:
+    """Transactions with a sender, the only ones that reports by customer are about."""
+    return txns.where(F.col("nameOrig").isNotNull())
+
+
 def customer_activity(txns: DataFrame) -> DataFrame:
     """One row per originating account with everything the customer reports need.
 
     The customer fraud summary, lifetime value and dormancy all aggregate by the same
     key. Taking them from this frame means one scan and one shuffle of the lake;
     measures a caller does not use are pruned from the aggregation. The few types of an
-    account are collected instead of counted distinct: with one distinct count only, the
-    rows need not be expanded.
+    account are one bit each: with one distinct count only, the rows need not be expanded.
+
+    Spark reuses the shuffle for the bounds of a report (``bounds.extent``) only if both
+    plans are the same down to the scan. Rows without a sender are therefore left out
+    here, not by a join further up, and ``is_customer`` is a measure, since a filter on it
+    stays above the aggregation.
     """
-    return txns.groupBy(F.col("nameOrig").alias("customerId")).agg(
+    return sent(txns).groupBy(F.col("nameOrig").alias("customerId")).agg(
         F.count(F.lit(1)).alias("txn_count"),
         money_sum("amount").alias("total_amount"),
         F.round(money_mean("amount"), 2).alias("avg_amount"),
         F.sum("isFraud").alias("fraud_count"),
         F.count_distinct("nameDest").alias("unique_destinations"),
-        F.size(F.collect_set("type")).cast("bigint").alias("distinct_types"),
+        F.bit_count(F.bit_or(rules.type_bit())).cast("bigint").alias("distinct_types"),
         F.min("step").alias("first_active_step"),
         F.max("step").alias("last_active_step"),
+        F.max(rules.is_customer("nameOrig").cast("int")).alias("is_customer"),
     )
 
 
@@ -84,7 +94,11 @@ def fraud_measures(activity: DataFrame) -> DataFrame:
 
 def customer_fraud_summary(txns: DataFrame, ordered: bool = True) -> DataFrame:
     """Per originating account: volume, fraud rate and number of counterparties."""
-    summary = fraud_measures(customer_activity(txns))
+    return fraud_summary_of(customer_activity(txns), ordered)
+
+
+def fraud_summary_of(activity: DataFrame, ordered: bool = True) -> DataFrame:
+    summary = fraud_measures(activity)
     # The id ends every customer-level order: most customers share the leading values,
     # and a range partition cannot split rows whose sort keys are equal.
     order = [F.desc("fraud_count"), F.desc("total_amount"), "customerId"]
@@ -99,7 +113,7 @@ def dormancy_measures(
     min_txns: int = S.DORMANCY_MIN_TXNS,
 ) -> DataFrame:
     idle = last - F.col("last_active_step")
-    dormant = rules.is_customer("customerId") & (idle > inactive) & (F.col("txn_count") >= min_txns)
+    dormant = (F.col("is_customer") == 1) & (idle > inactive) & (F.col("txn_count") >= min_txns)
     return activity.where(dormant).select(
         "customerId", "last_active_step", "first_active_step", "txn_count",
         "total_amount", "avg_amount", "fraud_count",
@@ -120,7 +134,18 @@ def dormancy_report(
 
     Merchants are left out, but they still count towards the last step of the data.
     """
-    activity = customer_activity(txns).drop("unique_destinations", "distinct_types")
+    return dormancy_of(customer_activity(txns), inactive, severe, min_txns, ordered)
+
+
+def dormancy_of(
+    activity: DataFrame,
+    inactive: int = S.DORMANT_AFTER_STEPS,
+    severe: int = S.SEVERE_AFTER_STEPS,
+    min_txns: int = S.DORMANCY_MIN_TXNS,
+    ordered: bool = True,
+) -> DataFrame:
+    """The report from activity per account, computed or stored."""
+    activity = anchored(activity.drop("unique_destinations", "distinct_types"))
     report = dormancy_measures(activity, last_active(activity), inactive, severe, min_txns)
     return report.orderBy(F.desc("steps_inactive"), "customerId") if ordered else report
 

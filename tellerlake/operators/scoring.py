@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from tellerlake import schemas as S
 from tellerlake.functions import rules
 from tellerlake.functions.exact import money_mean, money_sum
-from tellerlake.operators.bounds import extent, last_active, max_normalise, minmax_normalise, step_window
-from tellerlake.operators.reports import customer_activity
+from tellerlake.operators.bounds import anchored, extent, last_active, minmax_normalise, scaled_by_maximum, step_window
+from tellerlake.operators.reports import customer_activity, sent
 
 
 def weighted_score(weights: dict[str, float], suffix: str = "") -> Column:
@@ -74,10 +74,11 @@ def clv_measures(
 
     The last step and the maxima come from the activity itself, whose shuffle they share.
     """
+    activity = anchored(activity)
     idle = last_active(activity) - F.col("last_active_step")
     recency = F.when(idle > cutoff, 0.0).otherwise((cutoff - idle) / F.lit(float(cutoff)))
     shares = {"total_amount": "volumeScore", "txn_count": "frequencyScore"}
-    scaled = max_normalise(activity, shares)
+    scaled = scaled_by_maximum(activity, shares)
     return (
         scaled.withColumn("stepsSinceLastTxn", idle)
         .withColumn("diversityScore", F.col("distinct_types") / F.lit(float(len(S.TXN_TYPES))))
@@ -94,9 +95,17 @@ def clv_scores(
     as_of: Column | None = None,
 ) -> DataFrame:
     """Lifetime value per account: volume, frequency, product diversity and recency."""
-    activity = customer_activity(txns).select(
-        "customerId", "total_amount", "txn_count", "distinct_types", "last_active_step"
-    )
+    return clv_of(customer_activity(txns), weights, cutoff, as_of)
+
+
+def clv_of(
+    activity: DataFrame,
+    weights: dict[str, float] = S.CLV_WEIGHTS,
+    cutoff: int = S.CLV_RECENCY_STEPS,
+    as_of: Column | None = None,
+) -> DataFrame:
+    """The scores from activity per account, computed or stored."""
+    activity = activity.select("customerId", "total_amount", "txn_count", "distinct_types", "last_active_step")
     scored = clv_measures(activity, weights, cutoff).select(
         "customerId", "clv_score", "clv_tier",
         "volumeScore", "frequencyScore", "diversityScore", "recencyScore",
@@ -115,12 +124,18 @@ def customer_baseline(txns: DataFrame, rate_steps: int = S.CHURN_RATE_STEPS) ->
     The rate divides by the length of the whole history, so an account that joined
     late has a low baseline. The history includes the period being judged.
     """
-    accounts = txns.groupBy(F.col("nameOrig").alias("customerId")).agg(
+    accounts = sent(txns).groupBy(F.col("nameOrig").alias("customerId")).agg(
         money_mean("amount").alias("baselineAvgAmount"),
         F.count(F.lit(1)).alias("history"),
         F.min("step").alias("firstStep"),
         F.max("step").alias("lastStep"),
     )
+    return baseline_of(accounts, rate_steps)
+
+
+def baseline_of(accounts: DataFrame, rate_steps: int = S.CHURN_RATE_STEPS) -> DataFrame:
+    """The baseline from each account's mean, number of transactions and first and last step."""
+    accounts = anchored(accounts)
     ends = extent(accounts)
     span = ends["lastStep_hi"] - ends["firstStep_lo"] + 1
     periods = F.greatest(F.lit(1), span) / F.lit(float(rate_steps))

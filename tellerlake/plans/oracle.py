@@ -343,6 +343,19 @@ ORACLE: dict[str, str] = {
             distinct_types AS distinctTypes, last_active_step AS lastActiveStep,
             idle AS stepsSinceLastTxn FROM clv""", "clv"),
     "customer_baseline": sql("SELECT * FROM base", "base"),
+    **{name: sql("""
+        SELECT * EXCLUDE (fraud_rate_pct), CAST(customerId LIKE 'C%' AS INTEGER) AS is_customer FROM act""", "act")
+       for name in ("customer_activity", "activity_merged")},
+    "activity_slices": sql(f"""
+        SELECT nameOrig AS customerId, CAST((step - 1) // 168 AS INTEGER) AS slice, COUNT(*) AS txn_count,
+            COUNT(amount) AS amounts, {big('SUM(amount * 100)')} AS total_cents, {FRAUD} AS fraud_count,
+            bit_or(CAST(CASE type WHEN 'PAYMENT' THEN 1 WHEN 'TRANSFER' THEN 2 WHEN 'CASH_OUT' THEN 4
+                WHEN 'CASH_IN' THEN 8 WHEN 'DEBIT' THEN 16 END AS BIGINT)) AS types,
+            MIN(step) AS first_active_step, MAX(step) AS last_active_step
+        FROM t GROUP BY 1, 2""", "t"),
+    "activity_counterparties": sql(
+        "SELECT DISTINCT nameOrig AS customerId, CAST((step - 1) // 168 AS INTEGER) AS slice, nameDest FROM t", "t"),
+    "baseline_merged": sql("SELECT * FROM base", "base"),
     "txn_summary_mart": sql("SELECT * FROM mart", "mart"),
     "mart_inventory": sql(f"""
         SELECT COUNT(*) AS mart_rows, COUNT(DISTINCT customerId) AS customers, MIN(step) AS min_step,

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tellerlake import schemas as S
 from tellerlake.functions import rules
 from tellerlake.functions.exact import money_sum
+from tellerlake.operators import activity as A
 from tellerlake.operators import blend as B
 from tellerlake.operators import graph as G
 from tellerlake.operators import kpis as K
@@ -96,6 +97,12 @@ class Tables:
     def blend(self) -> DataFrame:
         return B.customer_risk_blend_from(self.profiles, self.txns, ordered=False)
 
+    @cached_property
+    def core_blend(self) -> DataFrame:
+        """The blend without counterparties and mean amounts, for pages that show neither."""
+        activity = B.core_activity(R.customer_activity(self.txns))
+        return B.blend_of(self.profiles, activity, ordered=False)
+
     @cached_property
     def mart(self) -> DataFrame:
         return M.txn_summary_mart(self.txns)
@@ -249,6 +256,31 @@ def customer_baseline(t: Tables) -> DataFrame:
     return t.baseline
 
 
+@query
+def customer_activity(t: Tables) -> DataFrame:
+    return R.customer_activity(t.txns)
+
+
+@query
+def activity_slices(t: Tables) -> DataFrame:
+    return A.activity_slices(t.txns)
+
+
+@query
+def activity_counterparties(t: Tables) -> DataFrame:
+    return A.counterparties(t.txns)
+
+
+@query
+def activity_merged(t: Tables) -> DataFrame:
+    return A.merged_activity(A.activity_slices(t.txns), A.counterparties(t.txns))
+
+
+@query
+def baseline_merged(t: Tables) -> DataFrame:
+    return C.baseline_of(A.baseline_accounts(A.activity_slices(t.stream)))
+
+
 @query
 def txn_summary_mart(t: Tables) -> DataFrame:
     return t.mart
@@ -283,18 +315,18 @@ def customer_risk_blend(t: Tables) -> DataFrame:
 
 @query
 def segment_rollup(t: Tables) -> DataFrame:
-    return B.segment_rollup(t.blend)
+    return B.segment_rollup(t.core_blend)
 
 
 @query
 def customer_slice(t: Tables) -> DataFrame:
-    sliced = B.customer_slice(t.blend, ["BUILDING", "MACHINERY"], ["mobile", "web"], ["verified"])
+    sliced = B.customer_slice(t.core_blend, ["BUILDING", "MACHINERY"], ["mobile", "web"], ["verified"])
     return sliced.select("customerId", "segment", "preferred_channel", "kyc_status", "risk_band")
 
 
 @query
 def flagged_enriched(t: Tables) -> DataFrame:
-    return B.flagged_enriched(K.flag_transactions(t.txns), t.blend)
+    return B.flagged_enriched(K.flag_transactions(t.txns), t.core_blend)
 
 
 @query
@@ -309,37 +341,37 @@ def portfolio_kpis(t: Tables) -> DataFrame:
 
 @query
 def kpi_customer_360(t: Tables) -> DataFrame:
-    return K.kpi_customer_360(t.blend)
+    return K.kpi_customer_360(t.core_blend)
 
 
 @query
 def segment_bars(t: Tables) -> DataFrame:
-    return K.segment_bars(t.blend)
+    return K.segment_bars(t.core_blend)
 
 
 @query
 def churn_heatmap(t: Tables) -> DataFrame:
-    return K.churn_heatmap(t.blend)
+    return K.churn_heatmap(t.core_blend)
 
 
 @query
 def clv_tier_counts(t: Tables) -> DataFrame:
-    return K.clv_tier_counts(t.blend)
+    return K.clv_tier_counts(t.core_blend)
 
 
 @query
 def risk_churn_quadrant(t: Tables) -> DataFrame:
-    return K.risk_churn_quadrant(t.blend)
+    return K.risk_churn_quadrant(t.core_blend)
 
 
 @query
 def risk_band_counts(t: Tables) -> DataFrame:
-    return K.risk_band_counts(t.blend)
+    return K.risk_band_counts(t.core_blend)
 
 
 @query
 def top_priority_customers(t: Tables) -> DataFrame:
-    return K.top_priority_customers(t.blend)
+    return K.top_priority_customers(t.core_blend)
 
 
 # --- fraud page -------------------------------------------------------------------
@@ -516,7 +548,7 @@ def dq_expectations(t: Tables) -> DataFrame:
         volume=money_sum("total_amount"),
         rate=100.0 * F.sum("fraud_count") / F.sum("txn_volume"),
     )
-    dormant = values(t.blend, all=F.count_if("is_dormant"), severe=F.count_if(severe))
+    dormant = values(t.core_blend, all=F.count_if("is_dormant"), severe=F.count_if(severe))
     recent = values(rolling_window(t.txns), volume=volume, fraud=fraud)
     early_fraud = value(t.txns.where(rules.step_between()), fraud)
     # Control totals come from the other end: nodes from the edges' own ids, transactions
@@ -545,7 +577,7 @@ def dq_expectations(t: Tables) -> DataFrame:
         ("dormancy", t.dormancy, Q.dormancy_checks(dormant["all"], dormant["severe"])),
         ("compliance", t.compliance, Q.compliance_checks(recent["volume"], recent["fraud"])),
         ("flagged", t.flagged, Q.flagged_checks()),
-        ("blend", t.blend, Q.blend_checks(customers)),
+        ("blend", t.core_blend, Q.blend_checks(customers)),
         ("summary", t.summary, Q.summary_checks(early_fraud)),
     ]
     return Q.all_results([Q.expectations(df, name, checks) for name, df, checks in suites])
