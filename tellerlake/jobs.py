@@ -7,13 +7,18 @@ where the report is small by nature, and registers tables where a database is na
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tellerlake import schemas as S
-from tellerlake.operators import blend, mart, reports, scoring
+from tellerlake.functions import rules
+from tellerlake.functions.exact import money_sum
+from tellerlake.operators import blend, graph, mart, reports, scoring
+from tellerlake.operators import quality as Q
+from tellerlake.operators.kpis import flag_transactions
 from tellerlake.sources.catalog import register_table
 from tellerlake.sources.readers import read_customers, read_transactions
 from tellerlake.sources.stored import ActivityStore, update_mart
@@ -104,6 +109,63 @@ def run_summary(spark: SparkSession, out: str, mart_table: str | None = None, da
     return source
 
 
+def run_gated(
+    spark: SparkSession, profiles: DataFrame, txns: DataFrame, out: str,
+    profile_checks: Callable[[Column], Sequence[Q.Check]], key: str = "txnId",
+) -> DataFrame:
+    """Write the lake, the graph and the reports, and judge all of them by what was written.
+
+    Every check is measured by the write of its dataset, and what it is compared with by the
+    write of another one. No dataset is read again for a check. ``profile_checks`` gets the
+    number of customers that the blend has.
+    """
+    def store(df: DataFrame, name: str, checks: Sequence[Q.Check], partition_by: Sequence[str] = ()) -> Q.Measured:
+        return Q.measured_write(df, name, checks, lambda d: overwrite_parquet(d, f"{out}/{name}", partition_by))
+
+    def totals(**named: Column) -> list[Q.Check]:
+        return [Q.equals(label, c, 0) for label, c in named.items()]
+
+    rows = Q.row_count()
+    daily = store(reports.daily_summary(txns, ordered=False), "daily_summary", totals(
+        rows=F.sum("txn_volume"), fraud=F.sum("fraud_count"), last=F.max("step"), volume=money_sum("total_amount"),
+        rate=F.try_divide(100.0 * F.sum("fraud_count"), F.sum("txn_volume")),
+    ))
+    accounts = store(graph.account_nodes(txns), "accounts", totals(rows=rows))
+    edges = store(graph.graph_edges(txns, key), "edges", totals(rows=rows))
+    degrees = store(graph.account_degrees(spark.read.parquet(f"{out}/edges")), "degrees", totals(rows=rows))
+    mules = store(graph.mule_accounts(graph.payments(txns, key)), "mules", totals(rows=rows))
+    recent = F.when(F.col("step") > daily.value("last") - S.REPORT_WINDOW_STEPS, F.col("amount"))
+    control = Q.transaction_checks(
+        accounts.value("rows"), daily.value("rows"), degrees.value("rows"), daily.value("fraud"),
+        daily.value("volume"), daily.value("rate"), daily.value("last"),
+    )
+    lake = store(txns.select(S.TRANSACTION_SCHEMA.fieldNames()), "transactions", control + totals(
+        recent_volume=money_sum(recent), recent_fraud=F.sum(F.when(recent.isNotNull(), F.col("isFraud"))),
+        early_fraud=F.sum(F.when(rules.step_between(), F.col("isFraud"))),
+    ), ["step"])
+    severe = F.col("dormancy_severity") == "Severely Dormant"
+    detail = blend.customer_risk_blend_from(profiles, txns, ordered=False)
+    whole = store(detail, "blend", [
+        *Q.blend_checks(F.lit(None)), *totals(rows=rows, dormant=F.count_if("is_dormant"), severe=F.count_if(severe)),
+    ])
+    people = store(profiles, "customers", profile_checks(whole.value("rows")))
+    suites = [
+        Q.Measured("transactions", control, lake.values),
+        store(graph.transaction_nodes(txns, key), "graph", Q.graph_checks(
+            accounts.value("rows"), edges.value("rows"), mules.value("rows"), degrees.value("rows"), daily.value("rows"),
+        )),
+        people,
+        store(reports.dormancy_report(txns, ordered=False), "dormancy", Q.dormancy_checks(whole.value("dormant"), whole.value("severe"))),
+        store(reports.compliance_summary(txns, ordered=False), "compliance", Q.compliance_checks(
+            lake.value("recent_volume"), lake.value("recent_fraud"))),
+        store(flag_transactions(txns), "flagged", Q.flagged_checks()),
+        Q.Measured("blend", Q.blend_checks(people.value("customer documents")), whole.values),
+        store(mart.transaction_summary(mart.txn_summary_mart(txns), ordered=False), "summary",
+              Q.summary_checks(lake.value("early_fraud"))),
+    ]
+    return Q.verdicts(spark, suites)
+
+
 def _stored(spark: SparkSession, path: str, schema) -> DataFrame | None:
     try:
         return spark.read.schema(schema).parquet(path)

@@ -85,6 +85,15 @@ def graph_edges(txns: DataFrame, key: str = "txnId") -> DataFrame:
     return txns.select(F.inline(F.array(sent, received)))
 
 
+def account_degrees(edges: DataFrame) -> DataFrame:
+    """Edges that leave and reach each account, from ``graph_edges``."""
+    is_sent = F.col("edgeType") == "SENT"
+    account = F.when(is_sent, F.col("startId")).otherwise(F.col("endId"))
+    return edges.groupBy(account.alias("accountId")).agg(
+        F.count_if(is_sent).alias("sent"), F.count_if(~is_sent).alias("received")
+    )
+
+
 def payments(txns: DataFrame, key: str = "txnId") -> DataFrame:
     """Whole paths straight from transactions; no join is needed to walk them."""
     return txns.select(

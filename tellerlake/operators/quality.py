@@ -6,11 +6,11 @@ unfolded into one row per check, so adding checks does not add passes over the d
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tellerlake import schemas as S
@@ -64,7 +64,15 @@ def expectations(df: DataFrame, dataset: str, checks: Sequence[Check]) -> DataFr
 
     A check whose value cannot be computed, as on an empty dataset, is SKIP.
     """
-    measured = df.agg(*[c.actual.cast("double").alias(f"m{i}") for i, c in enumerate(checks)])
+    return _unfolded(df.agg(*_measures(checks)), dataset, checks)
+
+
+def _measures(checks: Sequence[Check]) -> list[Column]:
+    return [c.actual.cast("double").alias(f"m{i}") for i, c in enumerate(checks)]
+
+
+def _unfolded(measured: DataFrame, dataset: str, checks: Sequence[Check]) -> DataFrame:
+    """The one row of measures as one row per check."""
     wanted = [c.expected if isinstance(c.expected, Column) else F.lit(c.expected) for c in checks]
     # Columns of their own, so that a scalar subquery occurs once and not per use.
     measured = measured.select("*", *[w.cast("double").alias(f"e{i}") for i, w in enumerate(wanted)])
@@ -81,6 +89,43 @@ def expectations(df: DataFrame, dataset: str, checks: Sequence[Check]) -> DataFr
     return measured.select(F.inline(F.array(*rows)))
 
 
+@dataclass(frozen=True)
+class Measured:
+    """Checks of a dataset and the values they had while it was written."""
+
+    dataset: str
+    checks: Sequence[Check]
+    values: dict[str, float | None]
+
+    def value(self, label: str) -> Column:
+        """A measured value, to be what another dataset's check expects."""
+        names = [c.label for c in self.checks]
+        return F.lit(self.values[f"m{names.index(label)}"]).cast("double")
+
+
+def measured_write(
+    df: DataFrame, dataset: str, checks: Sequence[Check], write: Callable[[DataFrame], None]
+) -> Measured:
+    """Write ``df`` and measure its checks on the rows that pass, without another pass.
+
+    The measures are taken in the tasks that write, each of which counts once even if it has
+    to be repeated. They are aggregates without DISTINCT, as observed metrics have to be.
+    """
+    observation = Observation(dataset)
+    write(df.observe(observation, *_measures(checks)))
+    return Measured(dataset, list(checks), dict(observation.get))
+
+
+def verdicts(spark: SparkSession, writes: Sequence[Measured]) -> DataFrame:
+    """One row per check of all writes, as ``expectations`` gives them; reads no dataset."""
+    suites = []
+    for m in writes:
+        schema = ", ".join(f"m{i} double" for i in range(len(m.checks)))
+        row = tuple(m.values.get(f"m{i}") for i in range(len(m.checks)))
+        suites.append(_unfolded(spark.createDataFrame([row], schema), m.dataset, m.checks))
+    return all_results(suites)
+
+
 def skipped(spark: SparkSession, dataset: str, checks: Sequence[Check]) -> DataFrame:
     """The rows of a suite whose dataset is missing."""
     rows = [(dataset, c.label, None, None, "SKIP") for c in checks]
@@ -154,7 +199,7 @@ def profile_checks(
 ) -> list[Check]:
     checks = [
         equals("customer documents", row_count(), expected_rows),
-        equals("distinct segments", F.count_distinct("segment"), len(segments)),
+        equals("distinct segments", F.size(F.collect_set("segment")), len(segments)),
         equals(
             "verified share",
             F.try_divide(F.count_if(F.col("kyc_status") == "verified"), row_count()),

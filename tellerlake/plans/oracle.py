@@ -501,6 +501,10 @@ ORACLE: dict[str, str] = {
     "graph_upsert": sql(f"""
         SELECT {TXN} AS txnId, step, type, (amount + CASE WHEN step % 2 = 0 THEN 1 ELSE 0 END)::DOUBLE AS amount, isFraud
         FROM t WHERE step % 3 <> 0 OR step % 2 = 0""", "t"),
+    "account_degrees": sql("""
+        SELECT accountId, COUNT(*) FILTER (own) AS sent, COUNT(*) FILTER (NOT own) AS received
+        FROM (SELECT nameOrig AS accountId, true AS own FROM t UNION ALL SELECT nameDest, false FROM t)
+        GROUP BY accountId""", "t"),
     "graph_inventory": sql(f"""
         SELECT (SELECT COUNT(*) FROM acc) AS accounts, COUNT(*) AS transactions,
             {FRAUD} AS fraudTransactions, COUNT(nameOrig) AS sentEdges, COUNT(nameDest) AS receivedEdges,

@@ -474,6 +474,11 @@ def graph_upsert(t: Tables) -> DataFrame:
     return G.upsert(stored, newer, "txnId")
 
 
+@query
+def account_degrees(t: Tables) -> DataFrame:
+    return G.account_degrees(G.graph_edges(t.txns))
+
+
 @query
 def graph_inventory(t: Tables) -> DataFrame:
     return G.graph_inventory(

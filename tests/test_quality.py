@@ -1,6 +1,11 @@
 from pyspark.sql import functions as F
 
+from tellerlake import jobs
 from tellerlake.operators import quality as Q
+from tellerlake.plans.registry import MARKET_SEGMENTS, QUERIES
+from tellerlake.sources import testtables
+from tellerlake.sources.readers import read_transactions
+from conftest import SF_DIR
 
 
 def statuses(df):
@@ -69,3 +74,32 @@ def test_orphans_and_mule_floor(spark, txns):
     assert [r.accountId for r in Q.dq_orphans(pool, df).collect()] == ["C7"]
     nothing = spark.createDataFrame([], "src string, dst string, amount double, isFraud int")
     assert Q.dq_mule_floor(nothing).first().status == "FAIL"
+
+
+def test_checks_are_measured_by_the_write(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2.0), (2, 4.0), (3, None)], "k int, v double")
+    checks = [Q.equals("rows", Q.row_count(), 3), Q.equals("mean", F.avg("v"), 9), Q.every_row("no null", F.col("v") > 0),
+              Q.at_least("floor", F.max("k"), 3), Q.equals("constant", F.lit(5), 5)]
+    m = Q.measured_write(df, "d", checks, lambda d: d.repartition(3).write.parquet(str(tmp_path / "d")))
+    assert spark.read.parquet(str(tmp_path / "d")).count() == 3
+    assert sorted(Q.verdicts(spark, [m]).collect()) == sorted(Q.expectations(df, "d", checks).collect())
+    assert m.value("rows") is not None
+    none = Q.measured_write(df.limit(0), "d", checks[:2], lambda d: d.write.parquet(str(tmp_path / "e")))
+    assert statuses(Q.verdicts(spark, [none])) == {"rows": "FAIL", "mean": "SKIP"}
+
+
+def test_gated_job_judges_what_it_writes(spark, tmp_path):
+    txns, people = testtables.transactions(spark, SF_DIR), testtables.customers(spark, SF_DIR)
+
+    def profile_checks(customers):
+        return Q.profile_checks(
+            expected_rows=customers, segments=MARKET_SEGMENTS, share=0.2, verified_share=0.92, avg_risk=0.495,
+            avg_churn=0.495, avg_products=2.5, share_tolerance=0.02, tolerance=0.005)
+
+    results = jobs.run_gated(spark, people, txns, str(tmp_path), profile_checks)
+    expected = {(r.dataset, r.check): r[2:] for r in QUERIES["dq_expectations"](spark, SF_DIR).collect()}
+    found = {(r.dataset, r.check): r[2:] for r in results.collect()}
+    assert len(found) == 35 and found == expected
+    plan = results._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "Scan parquet" not in plan
+    assert read_transactions(spark, str(tmp_path / "transactions")).count() == txns.count()
