@@ -131,16 +131,17 @@ def latency_sla(flagged: DataFrame, sla_ms: int = S.LATENCY_SLA_MS) -> DataFrame
     )
 
 
-def live_feed(flagged: DataFrame, n: int = 250, status: str = "all") -> DataFrame:
+def live_feed(flagged: DataFrame, n: int = 250, status: str = "all", also: Sequence[str] = ()) -> DataFrame:
     """Newest flagged rows. Only the n rows that are shown are ever ordered and kept.
 
-    Rows without a detection time are ordered by step and amount instead.
+    Rows without a detection time are ordered by step and amount instead. ``also`` names
+    columns to show besides those of the feed.
     """
     order = [F.desc("step"), F.desc("amount"), "nameOrig", "nameDest"]
     if "flaggedAt" in flagged.columns:
         order = [F.desc("flaggedAt"), *order]
     newest = flagged.where(rules.confirmation(status)).orderBy(*order).limit(n)
-    return select_present(newest, S.FEED_COLUMNS)
+    return select_present(newest, [*S.FEED_COLUMNS, *also])
 
 
 def fraud_batch_metric(batch: DataFrame, batch_id: int) -> DataFrame:

@@ -35,25 +35,60 @@ def _filesystem(df: DataFrame, path: str):
     return hadoop_path(path).getFileSystem(context._jsc.hadoopConfiguration()), hadoop_path
 
 
+def _part_number(path) -> int:
+    return int(path.getName().split("-")[1].split(".")[0])
+
+
 def write_single_csv(df: DataFrame, path: str, order_by: Sequence[Column | str] = ()) -> None:
     """Exactly one CSV file called ``path``, whatever its size; rows keep their order.
 
-    Meant for reports: all rows go through one writer task, which sorts them where an
-    order is given. ``write_csv`` is the parallel form, and always makes a directory.
+    The rows are computed, sorted and written by all tasks, as parts in the order of the
+    report; the parts are then joined behind a header line on the file system. HDFS does that
+    by moving blocks. Elsewhere the bytes are copied one part after the other, in a buffer;
+    ``write_csv``, which always makes a directory, is the form without this step.
     """
     fs, hadoop_path = _filesystem(df, path)
-    staging, target = hadoop_path(path + "__staging"), hadoop_path(path)
-    rows = df.coalesce(1)
+    staging, target = f"{path}__staging", hadoop_path(path)
+    rows = df.orderBy(*order_by) if order_by else df
     try:
-        write_csv(rows.sortWithinPartitions(*order_by) if order_by else rows, staging.toString())
-        only = next(
-            s.getPath() for s in fs.listStatus(staging) if s.getPath().getName().startswith("part-")
-        )
+        rows.write.mode("overwrite").csv(f"{staging}/rows")
+        write_csv(df.sparkSession.createDataFrame([], df.schema).coalesce(1), f"{staging}/head")
+        parts = []
+        for name in ("head", "rows"):
+            found = [s.getPath() for s in fs.listStatus(hadoop_path(f"{staging}/{name}"))]
+            parts += sorted((p for p in found if p.getName().startswith("part-")), key=_part_number)
+        _join_files(df, fs, parts)
         fs.delete(target, True)
-        if not fs.rename(only, target):
-            raise OSError(f"could not move {only} to {path}")
+        if not fs.rename(parts[0], target):
+            raise OSError(f"could not move {parts[0]} to {path}")
+    finally:
+        fs.delete(hadoop_path(staging), True)
+
+
+def _join_files(df: DataFrame, fs, parts: list) -> None:
+    """Append all other files to the first."""
+    context = df.sparkSession.sparkContext
+    jvm, first, rest = context._jvm, parts[0], parts[1:]
+    if fs.getScheme() == "hdfs" and rest:
+        others = context._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(rest))
+        for i, p in enumerate(rest):
+            others[i] = p
+        fs.concat(first, others)
+        return
+    whole = first.suffix("-joined")
+    out = fs.create(whole, True)
+    try:
+        for part in parts:
+            source = fs.open(part)
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
+            finally:
+                source.close()
     finally:
-        fs.delete(staging, True)
+        out.close()
+    fs.delete(first, False)
+    if not fs.rename(whole, first):
+        raise OSError(f"could not move {whole} to {first}")
 
 
 def write_blend(blend: DataFrame, rollup: DataFrame, directory: str) -> None:

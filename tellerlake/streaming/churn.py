@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,6 +16,7 @@ from tellerlake.streaming.sinks import Sinks, kept
 
 WINDOW = f"{S.CHURN_WINDOW_STEPS} hours"
 SLIDE = "1 hours"
+BASELINE_SCHEMA = "customerId string, baselineAvgAmount double, baselineFreqPer12 double"
 
 
 def with_event_time(txns: DataFrame, watermark: str = S.CHURN_WATERMARK) -> DataFrame:
@@ -154,22 +157,83 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: Sinks) -> None:
 
 def start_churn(
     stream: DataFrame,
-    baseline: DataFrame,
+    baseline: DataFrame | Baselines,
     sinks: Sinks,
     checkpoint: str,
     trigger: str = "10 seconds",
     once: bool = False,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Start the job. The baseline is fixed at start, so pass a stored table of it."""
-    alerts = build_alerts(churn_windows(stream), baseline, as_of=F.current_timestamp())
+    """Start the job.
+
+    A baseline given as a frame is fixed at start, so pass a stored table of it. With
+    ``Baselines`` every batch takes the version that is newest when it begins: the finished
+    windows are joined with it inside the batch.
+    """
+    windows = churn_windows(stream)
+    now = F.current_timestamp()
+    if isinstance(baseline, Baselines):
+        result = windows
+
+        def write(df: DataFrame, n: int) -> None:
+            with kept(df) as finished:
+                if not finished.isEmpty():
+                    process_batch(build_alerts(finished, baseline.newest(), as_of=now), n, sinks)
+    else:
+        result = build_alerts(windows, baseline, as_of=now)
+
+        def write(df: DataFrame, n: int) -> None:
+            process_batch(df, n, sinks)
+
     when = {"availableNow": True} if once else {"processingTime": trigger}
-    writer = alerts.writeStream.outputMode("append")
-    writer = writer.foreachBatch(lambda df, n: process_batch(df, n, sinks))
+    writer = result.writeStream.outputMode("append").foreachBatch(write)
     writer = writer.option("checkpointLocation", checkpoint).trigger(**when)
     return (writer.queryName(name) if name else writer).start()
 
 
+@dataclass(frozen=True)
+class Baselines:
+    """Versions of the baseline under a path, ``version=<n>/``; the newest complete one counts.
+
+    A version is complete when Spark has marked it, after its last file. Versions are never
+    changed, so a batch that reads one is not disturbed by the next; older ones than the last
+    ``keep`` go when another is published.
+    """
+
+    spark: SparkSession
+    path: str
+    keep: int = 3
+
+    def _filesystem(self):
+        context = self.spark.sparkContext
+        hadoop_path = context._jvm.org.apache.hadoop.fs.Path
+        return hadoop_path(self.path).getFileSystem(context._jsc.hadoopConfiguration()), hadoop_path
+
+    def versions(self) -> list[int]:
+        fs, hadoop_path = self._filesystem()
+        folder = hadoop_path(self.path)
+        names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+        numbers = [int(n.split("=")[1]) for n in names if n.startswith("version=")]
+        return sorted(n for n in numbers if fs.exists(hadoop_path(f"{self.path}/version={n}/_SUCCESS")))
+
+    def publish(self, baseline: DataFrame) -> int:
+        """Store another version; its number."""
+        versions = self.versions()
+        number = versions[-1] + 1 if versions else 0
+        baseline.write.mode("overwrite").parquet(f"{self.path}/version={number}")
+        fs, hadoop_path = self._filesystem()
+        for old in versions[: max(0, len(versions) + 1 - self.keep)]:
+            fs.delete(hadoop_path(f"{self.path}/version={old}"), True)
+        return number
+
+    def newest(self) -> DataFrame:
+        """The newest version; without any, a baseline of no customer, which fires nothing."""
+        versions = self.versions()
+        if not versions:
+            return self.spark.createDataFrame([], BASELINE_SCHEMA)
+        return self.spark.read.schema(BASELINE_SCHEMA).parquet(f"{self.path}/version={versions[-1]}")
+
+
 def stored_baseline(baseline: DataFrame, path: str) -> DataFrame:
     """Write the baseline and read it back.
 

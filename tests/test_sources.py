@@ -45,6 +45,20 @@ def test_single_csv_is_one_ordered_file(spark, tmp_path):
     assert readers.read_report(spark, path, "id bigint").count() == 1000
 
 
+def test_single_csv_is_written_by_all_tasks(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "wide.csv")
+    joined = []
+    join = writers._join_files
+    monkeypatch.setattr(writers, "_join_files", lambda df, fs, parts: joined.append(len(parts)) or join(df, fs, parts))
+    text = F.concat(F.lit('q"uo,te\n'), "id")
+    writers.write_single_csv(spark.range(5_000, numPartitions=6).select("id", text.alias("a b")), path)
+    assert joined == [7]  # a header and six parts
+    back = spark.read.option("header", True).option("multiLine", True).schema("id long, `a b` string").csv(path)
+    assert back.count() == 5_000 and (tmp_path / "wide.csv").read_text().count("a b") == 1
+    writers.write_single_csv(spark.range(0), path)
+    assert (tmp_path / "wide.csv").read_text() == "id\n"
+
+
 def test_single_csv_keeps_the_order_of_uneven_parts(spark, tmp_path):
     path = str(tmp_path / "big.csv")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")

@@ -107,6 +107,66 @@ def test_churn_stream_equals_batch_over_many_batches(spark, history, tmp_path):
     assert spark.read.parquet(rows).count() == 325
 
 
+def test_a_running_stream_takes_the_newest_baseline(spark, txns, tmp_path):
+    """Two windows of one kind, finished in different batches, before and after a new version."""
+    versions = churn.Baselines(spark, str(tmp_path / "baselines"), keep=2)
+    assert versions.newest().isEmpty() and versions.newest().columns == ["customerId", "baselineAvgAmount", "baselineFreqPer12"]
+    base = customer_baseline(txns({"nameOrig": "C1"}))
+    versions.publish(base.select("customerId", F.lit(1.0).alias("baselineAvgAmount"), F.lit(0.0).alias("baselineFreqPer12")))
+    source = tmp_path / "in"
+    source.mkdir()
+
+    def feed(number, *rows):
+        (source / f"{number}.json").write_text("\n".join(txns(*rows).toJSON().collect()))
+
+    rows = str(tmp_path / "rows")
+    start = lambda: churn.start_churn(
+        stream_of(spark, str(source)), versions, Sinks(rows=batch_parquet(rows)), str(tmp_path / "ck"), once=True)
+    # draining balances and no purchases fire in every window; the mean only against a high baseline
+    out = {"nameOrig": "C1", "type": "CASH_OUT", "newbalanceOrig": 1.0, "amount": 10.0}
+    feed(0, *[{**out, "step": 10}] * 3, {"step": 100, "nameOrig": "C2"})
+    drain(start())
+    first = spark.read.parquet(rows)
+    assert first.count() == 24 and first.where("signals LIKE '%SPEND%'").isEmpty()
+    assert versions.publish(versions.newest().withColumn("baselineAvgAmount", F.lit(1000.0))) == 1
+    feed(1, *[{**out, "step": 200}] * 3, {"step": 300, "nameOrig": "C2"})
+    drain(start())
+    later = spark.read.parquet(rows).where(F.col("windowStart") > first.agg(F.max("windowStart")).first()[0])
+    assert later.where("signals LIKE '%SPEND%' AND baselineAvgAmount = 1000").count() == 24
+    for _ in range(3):
+        versions.publish(base)
+    assert versions.versions() == [3, 4]
+
+
+def test_a_baseline_can_change_while_the_stream_runs(spark, txns, tmp_path):
+    versions = churn.Baselines(spark, str(tmp_path / "baselines"))
+    used = []
+    sinks = Sinks(rows=lambda df, n: used.append({r[0] for r in df.select("baselineAvgAmount").distinct().collect()}))
+    source = tmp_path / "in"
+    source.mkdir()
+
+    def feed(number, step):
+        out = {"nameOrig": "C1", "type": "CASH_OUT", "newbalanceOrig": 1.0, "amount": 10.0, "step": step}
+        staged = tmp_path / f"{number}.json"
+        staged.write_text("\n".join(txns(out, out, out, {"step": step + 90, "nameOrig": "C2"}).toJSON().collect()))
+        staged.rename(source / staged.name)
+
+    def publish(mean):
+        versions.publish(spark.createDataFrame([("C1", mean, 0.0)], churn.BASELINE_SCHEMA))
+
+    publish(1.0)
+    feed(0, 10)
+    query = churn.start_churn(stream_of(spark, str(source)), versions, sinks, str(tmp_path / "ck"), trigger="0 seconds")
+    try:
+        query.processAllAvailable()
+        publish(2.0)
+        feed(1, 200)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert used == [{1.0}, {2.0}]
+
+
 def test_batch_windows_equal_plain_sliding_windows(history):
     fast = churn.churn_windows(history)
     plain = (
