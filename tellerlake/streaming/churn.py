@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -163,14 +164,15 @@ def start_churn(
     trigger: str = "10 seconds",
     once: bool = False,
     name: str | None = None,
+    windows_of: Callable[[DataFrame], DataFrame] = churn_windows,
 ) -> StreamingQuery:
-    """Start the job.
+    """Start the job; ``windows_of`` may be ``keyed.churn_windows_by_customer``.
 
     A baseline given as a frame is fixed at start, so pass a stored table of it. With
     ``Baselines`` every batch takes the version that is newest when it begins: the finished
     windows are joined with it inside the batch.
     """
-    windows = churn_windows(stream)
+    windows = windows_of(stream)
     now = F.current_timestamp()
     if isinstance(baseline, Baselines):
         result = windows

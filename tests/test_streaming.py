@@ -3,6 +3,7 @@
 import json
 import os
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from tellerlake.operators import kpis
 from tellerlake.operators.scoring import customer_baseline
 from tellerlake.sources.readers import decode_transactions, message_files, read_transactions
 from tellerlake.sources.testtables import messages, stream_transactions
-from tellerlake.streaming import churn, fraud
+from tellerlake.streaming import churn, fraud, keyed
 from tellerlake.streaming.lake import land_stream, replay, replay_messages
 from tellerlake.streaming.sinks import Sinks, batch_messages, batch_parquet
 from conftest import SF_DIR
@@ -82,7 +83,11 @@ def test_a_retried_batch_replaces_itself(spark, history, tmp_path):
     assert spark.read.parquet(metrics).count() == 1
 
 
-def test_churn_stream_equals_batch_over_many_batches(spark, history, tmp_path):
+WINDOWS = [churn.churn_windows, keyed.churn_windows_by_customer]
+
+
+@pytest.mark.parametrize("windows_of", WINDOWS)
+def test_churn_stream_equals_batch_over_many_batches(spark, history, tmp_path, windows_of):
     end = history.agg(F.max("step")).first()[0]
     # A sentinel far in the future moves the watermark past every real window.
     sentinel = history.limit(1).withColumn("step", F.lit(end + 500)).withColumn("nameOrig", F.lit("C_END"))
@@ -92,10 +97,13 @@ def test_churn_stream_equals_batch_over_many_batches(spark, history, tmp_path):
     rows, alerts, checkpoint = (str(tmp_path / n) for n in ("rows", "alerts", "ck"))
     sinks = Sinks(rows=batch_parquet(rows), alerts=batch_messages(alerts))
     start = lambda: churn.start_churn(
-        stream_of(spark, source), baseline, sinks, checkpoint, once=True
+        stream_of(spark, source), baseline, sinks, checkpoint, once=True, windows_of=windows_of
     )
     query = drain(start())
     assert len([p for p in query.recentProgress if p["numInputRows"]]) >= 6
+    customers = history.select("nameOrig").distinct().count()
+    kept = max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress)
+    assert kept <= customers + 1 if windows_of is WINDOWS[1] else kept > 10 * customers, kept
 
     expected = churn.build_alerts(churn.churn_windows(history), baseline)
     expected = expected.withColumn("signals", F.concat_ws("|", "signals"))
@@ -178,7 +186,7 @@ def test_batch_windows_equal_plain_sliding_windows(history):
     assert same(fast, plain, plain.columns)
 
 
-def run_steps(spark, txns, tmp_path, batches):
+def run_steps(spark, txns, tmp_path, batches, windows_of=churn.churn_windows):
     """Feed one file per list of rows and return the finished windows of customer C1."""
     source = tmp_path / "in"
     source.mkdir()
@@ -188,7 +196,7 @@ def run_steps(spark, txns, tmp_path, batches):
         os.utime(source / f"{i}.json", (1_700_000_000 + i, 1_700_000_000 + i))
     out = str(tmp_path / "out")
     query = (
-        churn.churn_windows(stream_of(spark, str(source))).writeStream.format("parquet")
+        windows_of(stream_of(spark, str(source))).writeStream.format("parquet")
         .outputMode("append").option("path", out).option("checkpointLocation", str(tmp_path / "ck"))
         .trigger(availableNow=True).start()
     )
@@ -199,7 +207,8 @@ def run_steps(spark, txns, tmp_path, batches):
     ).collect()}
 
 
-def test_watermark_keeps_late_rows_for_open_windows_only(spark, txns, tmp_path):
+@pytest.mark.parametrize("windows_of", WINDOWS)
+def test_watermark_keeps_late_rows_for_open_windows_only(spark, txns, tmp_path, windows_of):
     got = run_steps(spark, txns, tmp_path, [
         [{"step": 100}],
         [{"step": 99}],                      # one hour late: within the two hours
@@ -207,13 +216,36 @@ def test_watermark_keeps_late_rows_for_open_windows_only(spark, txns, tmp_path):
         [{"step": 130, "nameOrig": "C2"}],   # rows are filtered one batch after that
         [{"step": 101}, {"step": 126}],      # windows up to 128 are closed for both
         [{"step": 900, "nameOrig": "C_END"}],
-    ])
+    ], windows_of)
     assert got[100] == 1 and got[101] == 2 and got[123] == 2 and got[124] == 1
     assert got.get(125) is None              # only the dropped row at 101 was in it
     assert 128 not in got and got[129] == 1  # the row at 126 still counts in open windows
     assert got[131] == 2 and got[150] == 2 and got[151] == 1
 
 
+def test_keyed_windows_shuffle_each_event_once(spark, txns, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "0.json").write_text("\n".join(txns({"step": 5}, {"step": 5}, {"step": 40, "nameOrig": "C2"}).toJSON().collect()))
+    query = keyed.churn_windows_by_customer(stream_of(spark, str(source))).writeStream.format("noop").trigger(
+        availableNow=True).option("checkpointLocation", str(tmp_path / "ck")).start()
+    drain(query)
+    plan = query._jsq.explainInternal(False) if hasattr(query._jsq, "explainInternal") else ""
+    assert "Expand" not in plan and "Generate" not in plan
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) == 2
+
+
+def test_amounts_and_types_of_panes():
+    panes = {}
+    events = pd.DataFrame({"hour": [3, 3, 4, 4], "cents": [100, None, 7, 8], "low": [1, 0, 0, 1], "type": ["B", None, "A", "B"]})
+    keyed.add_events(panes, events)
+    assert panes == {3: [2, 100, 1, 1, ["B"]], 4: [2, 15, 2, 1, ["A", "B"]]}
+    ends = dict(keyed.ended_windows(panes, None, 27))
+    assert ends == {4: [2, 100, 1, 1, ["B"]], **{e: [4, 115, 3, 2, ["A", "B"]] for e in range(5, 28)}}
+    assert [e for e, _ in keyed.ended_windows(panes, 26, 100)] == [27, 28]
+    assert keyed.next_end(panes, 0) == 4 and keyed.next_end(panes, 10) == 11
+
+
 def test_signals(txns):
     one_visit = {"nameOrig": "C1", "step": 10, "newbalanceOrig": 9000.0}
     drained = [{"nameOrig": "C2", "step": 10, "type": "CASH_OUT", "newbalanceOrig": b} for b in (0.0, 499.99)]
