@@ -1,4 +1,4 @@
-"""Runnable batch jobs: lake in, reports out.
+"""Runnable jobs: lake in, reports out; messages in, flagged rows and alerts out.
 
 Each job reads its inputs, writes its reports as Parquet, adds one CSV file of each
 where the report is small by nature, and registers tables where a database is named.
@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tellerlake import schemas as S
 from tellerlake.functions import rules
@@ -20,9 +21,12 @@ from tellerlake.operators import blend, graph, mart, reports, scoring
 from tellerlake.operators import quality as Q
 from tellerlake.operators.kpis import flag_transactions
 from tellerlake.sources.catalog import register_table
-from tellerlake.sources.readers import read_customers, read_transactions
+from tellerlake.sources.readers import decode_transactions, read_customers, read_transactions
 from tellerlake.sources.stored import ActivityStore, update_mart
 from tellerlake.sources.writers import overwrite_parquet, write_blend, write_csv, write_single_csv
+from tellerlake.streaming.churn import Baselines, start_churn
+from tellerlake.streaming.fraud import start_fraud
+from tellerlake.streaming.sinks import Sinks, batch_messages, batch_parquet
 
 Report = Callable[[DataFrame], DataFrame]
 
@@ -175,6 +179,35 @@ def _stored(spark: SparkSession, path: str, schema) -> DataFrame | None:
         raise
 
 
+def stream_fraud(
+    spark: SparkSession, messages: DataFrame, out: str, checkpoint: str, once: bool = False
+) -> StreamingQuery:
+    """The fraud job on decoded messages: flagged rows, alert messages and batch metrics."""
+    sinks = Sinks(
+        rows=batch_parquet(f"{out}/flagged"), alerts=batch_messages(f"{out}/alerts"), metrics=batch_parquet(f"{out}/metrics")
+    )
+    return start_fraud(decode_transactions(messages), sinks, checkpoint, once=once, name="fraud")
+
+
+def stream_churn(
+    spark: SparkSession, messages: DataFrame, lake: str, baselines: str, out: str, checkpoint: str, once: bool = False
+) -> StreamingQuery:
+    """The churn job on decoded messages, against the baseline of the lake.
+
+    A baseline is published at the start if there is none; ``refresh_baseline`` publishes
+    later ones, which the running stream takes up.
+    """
+    versions = Baselines(spark, baselines)
+    if not versions.versions():
+        refresh_baseline(spark, lake, baselines)
+    sinks = Sinks(rows=batch_parquet(f"{out}/churn"), alerts=batch_messages(f"{out}/churn_alerts"))
+    return start_churn(decode_transactions(messages), versions, sinks, checkpoint, once=once, name="churn")
+
+
+def refresh_baseline(spark: SparkSession, lake: str, baselines: str) -> int:
+    return Baselines(spark, baselines).publish(history_baseline(spark, lake))
+
+
 def history_baseline(spark: SparkSession, lake: str) -> DataFrame:
     """Baseline of the stored history; empty, with the same columns, before there is any."""
     txns = _stored(spark, lake, S.TRANSACTION_SCHEMA)

@@ -124,13 +124,15 @@ cte("comp", f"""
             {rate('SUM(isFraud)', 'COUNT(*)')} AS fraud_rate_pct,
             ANY_VALUE(ws) AS window_start_step, ANY_VALUE(mx) AS window_end_step
         FROM t, mx WHERE step > ws AND step <= mx GROUP BY type)""", "t", "mx")
-cte("act", f"""
+ACTIVITY = f"""
     SELECT nameOrig AS customerId, COUNT(*) AS txn_count, {TOTAL} AS total_amount,
         {MEAN_2} AS avg_amount, {FRAUD} AS fraud_count,
         {rate('SUM(isFraud)', 'COUNT(*)')} AS fraud_rate_pct,
         COUNT(DISTINCT nameDest) AS unique_destinations, COUNT(DISTINCT type) AS distinct_types,
         MIN(step) AS first_active_step, MAX(step) AS last_active_step
-    FROM t GROUP BY nameOrig""", "t")
+    FROM {{source}} GROUP BY nameOrig"""
+cte("act", ACTIVITY.format(source="t"), "t")
+cte("stream_act", ACTIVITY.format(source="s"), "s")
 cte("dorm", """
     SELECT customerId, last_active_step, first_active_step, txn_count, total_amount, avg_amount,
         fraud_count, mx AS dataset_max_step, mx - last_active_step AS steps_inactive,
@@ -182,14 +184,16 @@ cte("base", f"""
         COUNT(*) / (greatest(1, (SELECT MAX(step) - MIN(step) + 1 FROM s)) / 12.0::DOUBLE)
             AS baselineFreqPer12
     FROM s GROUP BY nameOrig""", "s")
-cte("mart", f"""
+MART = f"""
     SELECT nameOrig AS customerId, step, COUNT(*) AS txn_count, {TOTAL} AS total_amount,
         {MEAN_2} AS avg_amount, {dbl('MAX(amount)')} AS max_amount, {FRAUD} AS fraud_count,
         string_agg(DISTINCT type, ',' ORDER BY type) AS txn_types,
         {dbl('MAX(CASE WHEN rn = 1 THEN newbalanceOrig END)')} AS last_balance
     FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY nameOrig, step
-            ORDER BY ingestedAt DESC, amount DESC, newbalanceOrig DESC) AS rn FROM t)
-    GROUP BY nameOrig, step""", "t")
+            ORDER BY ingestedAt DESC, amount DESC, newbalanceOrig DESC) AS rn FROM {{source}})
+    GROUP BY nameOrig, step"""
+cte("mart", MART.format(source="t"), "t")
+cte("stream_mart", MART.format(source="s"), "s")
 # Whole sixtieths of a cent, so that a sum of shares that ends on half a cent is exact
 # and can be rounded up in integers.
 cte("shares", """
@@ -305,18 +309,19 @@ ORACLE: dict[str, str] = {
         SELECT nameOrig AS key, '{"nameOrig":"' || nameOrig || '","nameDest":"' || nameDest
             || '","type":"' || type || '","amount":' || amount::DOUBLE || ',"step":' || step
             || ',"flaggedAt":' || flaggedAt || '}' AS value FROM fs""", "fs"),
-    "live_feed": sql("""
+    **{name: sql("""
         SELECT step, type, amount::DOUBLE AS amount, nameOrig, nameDest,
             newbalanceDest::DOUBLE AS newbalanceDest, isFraud, fraudReason, detectionLatencyMs
-        FROM fs ORDER BY flaggedAt DESC, step DESC, amount DESC, nameOrig, nameDest LIMIT 250""", "fs"),
+        FROM fs ORDER BY flaggedAt DESC, step DESC, amount DESC, nameOrig, nameDest LIMIT 250""", "fs")
+       for name in ("live_feed", "newest_feed")},
     **{f"live_feed_{name}": sql(f"""
         SELECT step, type, amount::DOUBLE AS amount, nameOrig, nameDest,
             newbalanceDest::DOUBLE AS newbalanceDest, isFraud, fraudReason, detectionLatencyMs
         FROM fs WHERE isFraud = {label}
         ORDER BY flaggedAt DESC, step DESC, amount DESC, nameOrig, nameDest LIMIT 250""", "fs")
        for name, label in (("confirmed", 1), ("false_positive", 0))},
-    "fraud_flagged": sql(
-        f"SELECT {TXN_ROW}, detectionLatencyMs, flaggedAt, fraudReason FROM fs", "fs"),
+    **{name: sql(f"SELECT {TXN_ROW}, detectionLatencyMs, flaggedAt, fraudReason FROM fs", "fs")
+       for name in ("fraud_flagged", "folded_batches")},
     "confirmed_fraud": sql(f"SELECT {TXN_ROW} FROM t WHERE isFraud = 1", "t"),
     "event_time": sql(
         "SELECT txnId, step, TIMESTAMP '2024-01-01' + to_hours(step) AS eventTime FROM s", "s"),
@@ -343,9 +348,10 @@ ORACLE: dict[str, str] = {
             distinct_types AS distinctTypes, last_active_step AS lastActiveStep,
             idle AS stepsSinceLastTxn FROM clv""", "clv"),
     "customer_baseline": sql("SELECT * FROM base", "base"),
-    **{name: sql("""
-        SELECT * EXCLUDE (fraud_rate_pct), CAST(customerId LIKE 'C%' AS INTEGER) AS is_customer FROM act""", "act")
-       for name in ("customer_activity", "activity_merged")},
+    **{name: sql(f"""
+        SELECT * EXCLUDE (fraud_rate_pct), CAST(customerId LIKE 'C%' AS INTEGER) AS is_customer FROM {source}""", source)
+       for name, source in (("customer_activity", "act"), ("activity_merged", "act"), ("stored_activity", "stream_act"))},
+    "stored_mart": sql("SELECT * FROM stream_mart", "stream_mart"),
     "activity_slices": sql(f"""
         SELECT nameOrig AS customerId, CAST((step - 1) // 168 AS INTEGER) AS slice, COUNT(*) AS txn_count,
             COUNT(amount) AS amounts, {big('SUM(amount * 100)')} AS total_cents, {FRAUD} AS fraud_count,
@@ -488,9 +494,12 @@ ORACLE: dict[str, str] = {
             CAST(NULL AS INTEGER) AS isFraud FROM t
         UNION ALL SELECT {TXN}, nameDest, 'RECEIVED_BY', NULL, NULL, NULL, newbalanceDest::DOUBLE,
             isFraud FROM t""", "t"),
-    "graph_paths": sql("""
+    **{name: sql("""
         SELECT txn AS txnId, src, dst, amount::DOUBLE AS amount, step, type,
-            newbalanceDest::DOUBLE AS newbalanceDest, isFraud FROM e""", "e"),
+            newbalanceDest::DOUBLE AS newbalanceDest, isFraud FROM e""", "e")
+       for name in ("graph_paths", "stored_graph_paths")},
+    "graph_upsert_all": sql(f"""
+        SELECT {TXN} AS txnId, step, type, (amount + isFraud)::DOUBLE AS amount, isFraud FROM t""", "t"),
     "graph_edges_valid": sql(f"""
         SELECT nameOrig AS accountId, {TXN} AS txnId, amount::DOUBLE AS amount, step AS timestamp,
             type AS transactionType FROM t
@@ -618,6 +627,6 @@ def _checks() -> str:
     return "\nUNION ALL ".join(selects)
 
 
-ORACLE["dq_expectations"] = sql(
+ORACLE["dq_gated"] = ORACLE["dq_expectations"] = sql(
     _checks(), "t", "daily", "acc", "mules", "c", "dorm", "blend", "comp", "mx", "fs", "summ"
 )

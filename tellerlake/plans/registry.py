@@ -25,10 +25,15 @@ from tellerlake.operators import quality as Q
 from tellerlake.operators import reports as R
 from tellerlake.operators import scoring as C
 from tellerlake.operators.bounds import max_normalise, minmax_normalise, rolling_window
+from tellerlake import jobs
+from tellerlake.session import work_path
 from tellerlake.sources import testtables as tables
+from tellerlake.sources.feed import newest_feed
+from tellerlake.sources.graph_store import GraphStore
 from tellerlake.sources.readers import decode_flagged, decode_transactions
-from tellerlake.sources.writers import to_kv
-from tellerlake.streaming import churn
+from tellerlake.sources.stored import ActivityStore, read_mart, update_mart
+from tellerlake.sources.writers import overwrite_parquet, to_kv
+from tellerlake.streaming import churn, compaction
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -534,6 +539,72 @@ def churn_signal_counts(t: Tables) -> DataFrame:
     return churn.churn_signal_counts(t.windows, t.baseline)
 
 
+# --- stored results ---------------------------------------------------------------
+
+def _lake(t: Tables) -> str:
+    """The stream's transactions as a lake by step."""
+    path = work_path(t.spark, "lake")
+    rows = t.stream.select(S.TRANSACTION_SCHEMA.fieldNames()).hint("rebalance", "step")
+    overwrite_parquet(rows, path, ["step"])
+    return path
+
+
+@query
+def stored_mart(t: Tables) -> DataFrame:
+    """The mart as it is kept beside a lake."""
+    lake, path = _lake(t), work_path(t.spark, "mart")
+    update_mart(t.spark, lake, path)
+    return read_mart(t.spark, path)
+
+
+@query
+def stored_activity(t: Tables) -> DataFrame:
+    store = ActivityStore(t.spark, work_path(t.spark, "activity"))
+    store.refresh(_lake(t))
+    return store.activity()
+
+
+@query
+def stored_graph_paths(t: Tables) -> DataFrame:
+    """Paths of a graph that was loaded in two overlapping parts."""
+    store = GraphStore(t.spark, work_path(t.spark, "graph"), buckets=8)
+    store.load(t.txns.where("amount < 250000"))
+    store.load(t.txns)
+    return store.paths()
+
+
+@query
+def graph_upsert_all(t: Tables) -> DataFrame:
+    """All transactions as stored, and all frauds among them again with another amount."""
+    frauds = t.txns.where("isFraud = 1").withColumn("amount", F.col("amount") + 1)
+    return G.upsert(G.transaction_nodes(t.txns), G.transaction_nodes(frauds), "txnId")
+
+
+def _flagged_batches(t: Tables) -> tuple[str, str]:
+    """Flagged rows in eight stored batches, in the order of detection, and their schema."""
+    path = work_path(t.spark, "flagged")
+    batches = t.flagged.repartitionByRange(8, "flaggedAt").withColumns(
+        {"run": F.lit("first"), "batch_id": F.spark_partition_id()}
+    )
+    batches.write.partitionBy("run", "batch_id").parquet(path)
+    return path, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in t.flagged.schema)
+
+
+@query
+def folded_batches(t: Tables) -> DataFrame:
+    """Stored batches after they were folded and the small files removed."""
+    path, schema = _flagged_batches(t)
+    compaction.fold(t.spark, path, schema, "first")
+    compaction.remove_folded(t.spark, path, older_than_ms=0)
+    return compaction.read_batches(t.spark, path, schema).drop("run", "batch_id")
+
+
+@named("newest_feed")
+def newest_feed_rows(t: Tables) -> DataFrame:
+    path, schema = _flagged_batches(t)
+    return newest_feed(t.spark, path, schema, first_files=2)
+
+
 # --- data quality -----------------------------------------------------------------
 
 @query
@@ -614,3 +685,15 @@ def dq_orphans(t: Tables) -> DataFrame:
 @query
 def dq_mule_floor(t: Tables) -> DataFrame:
     return Q.dq_mule_floor(t.payments)
+
+
+@query
+def dq_gated(t: Tables) -> DataFrame:
+    """The checks of a job that writes lake, graph and reports, from its own writes."""
+    def profile_checks(customers: Column) -> list[Q.Check]:
+        return Q.profile_checks(
+            expected_rows=customers, segments=MARKET_SEGMENTS, share=0.2, verified_share=0.92,
+            avg_risk=0.495, avg_churn=0.495, avg_products=2.5, share_tolerance=0.02, tolerance=0.005,
+        )
+
+    return jobs.run_gated(t.spark, t.profiles, t.txns, work_path(t.spark, "gated"), profile_checks)

@@ -8,6 +8,9 @@ merges what turned out to be small.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -32,3 +35,23 @@ def build_session(app_name: str, hive: bool = False, **conf: str) -> SparkSessio
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+_own_dirs: dict[str, str] = {}
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A new path for stored intermediate tables, in the folder ``spark.checkpoint.dir`` names.
+
+    Driver and executors have to share it. Only where it is unset and all tasks run on this
+    machine a local folder is made instead.
+    """
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        master, app = spark.sparkContext.master, spark.sparkContext.applicationId
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        if app not in _own_dirs:
+            _own_dirs[app] = tempfile.mkdtemp(prefix="tellerlake-")
+        base = f"file://{_own_dirs[app]}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -1,13 +1,18 @@
 """Jobs on a temporary lake, outputs read back."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tellerlake import jobs
 from tellerlake import schemas as S
 from tellerlake.operators import reports
-from tellerlake.sources.readers import read_report, read_transactions
+from tellerlake.operators.kpis import flag_transactions
+from tellerlake.sources import testtables
+from tellerlake.sources.readers import message_files, read_report, read_transactions
 from tellerlake.sources.testtables import customers, transactions
 from tellerlake.sources.writers import overwrite_parquet
+from tellerlake.streaming.churn import build_alerts, churn_windows
+from tellerlake.streaming.lake import replay_messages
 from conftest import SF_DIR
 
 
@@ -58,3 +63,26 @@ def test_missing_history_and_feed_are_empty(spark, lake, tmp_path):
     assert jobs.history_baseline(spark, gone).isEmpty()
     assert jobs.history_baseline(spark, gone).columns == jobs.history_baseline(spark, lake).columns
     assert jobs.stored_feed(spark, gone, "step int").isEmpty()
+
+
+def test_stream_jobs_on_message_files(spark, lake, tmp_path):
+    history = testtables.stream_transactions(spark, SF_DIR).select(S.TRANSACTION_SCHEMA.fieldNames())
+    end = history.agg(F.max("step")).first()[0]
+    last = history.limit(1).withColumn("type", F.lit("PAYMENT")).withColumn("step", F.lit(end + 500)).withColumn("nameOrig", F.lit("C_END"))
+    feed, past = str(tmp_path / "messages"), str(tmp_path / "past")
+    replay_messages(history.unionByName(last).orderBy("step")).coalesce(1).write.text(feed)
+    overwrite_parquet(history.coalesce(1), past, ["step"])
+    out, bases = str(tmp_path / "out"), str(tmp_path / "bases")
+
+    fraud = jobs.stream_fraud(spark, message_files(spark, feed), out, str(tmp_path / "ck1"), once=True)
+    fraud.awaitTermination(120)
+    expected = flag_transactions(history)
+    assert spark.read.parquet(f"{out}/flagged").count() == expected.count() == spark.read.json(f"{out}/alerts").count()
+    assert spark.read.parquet(f"{out}/metrics").agg(F.sum("flaggedCount")).first()[0] == expected.count()
+
+    churning = jobs.stream_churn(spark, message_files(spark, feed), past, bases, out, str(tmp_path / "ck2"), once=True)
+    churning.awaitTermination(120)
+    assert fraud.exception() is None and churning.exception() is None
+    alerts = build_alerts(churn_windows(history), jobs.history_baseline(spark, past))
+    assert spark.read.parquet(f"{out}/churn").count() == alerts.count()
+    assert jobs.refresh_baseline(spark, past, bases) == 1
