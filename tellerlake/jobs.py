@@ -116,6 +116,7 @@ def run_summary(spark: SparkSession, out: str, mart_table: str | None = None, da
 def run_gated(
     spark: SparkSession, profiles: DataFrame, txns: DataFrame, out: str,
     profile_checks: Callable[[Column], Sequence[Q.Check]], key: str = "txnId",
+    lake_by: Sequence[str] = ("step",),
 ) -> DataFrame:
     """Write the lake, the graph and the reports, and judge all of them by what was written.
 
@@ -146,7 +147,7 @@ def run_gated(
     lake = store(txns.select(S.TRANSACTION_SCHEMA.fieldNames()), "transactions", control + totals(
         recent_volume=money_sum(recent), recent_fraud=F.sum(F.when(recent.isNotNull(), F.col("isFraud"))),
         early_fraud=F.sum(F.when(rules.step_between(), F.col("isFraud"))),
-    ), ["step"])
+    ), lake_by)
     severe = F.col("dormancy_severity") == "Severely Dormant"
     detail = blend.customer_risk_blend_from(profiles, txns, ordered=False)
     whole = store(detail, "blend", [

@@ -696,4 +696,4 @@ def dq_gated(t: Tables) -> DataFrame:
             avg_risk=0.495, avg_churn=0.495, avg_products=2.5, share_tolerance=0.02, tolerance=0.005,
         )
 
-    return jobs.run_gated(t.spark, t.profiles, t.txns, work_path(t.spark, "gated"), profile_checks)
+    return jobs.run_gated(t.spark, t.profiles, t.txns, work_path(t.spark, "gated"), profile_checks, lake_by=())
