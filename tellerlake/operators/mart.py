@@ -12,8 +12,10 @@ from tellerlake.functions import rules
 from tellerlake.functions.exact import CENTS, cents, money_mean, money_sum, percent, whole_sum
 
 # A row with n types gives each of them 1/n of its totals. Counting in units of
-# 1/lcm(1..5) keeps every share a whole number, so shares add up exactly.
-SHARE_UNITS = math.lcm(*range(1, len(S.TXN_TYPES) + 1))
+# 1/lcm(1..10) keeps every share a whole number, so shares add up exactly. That leaves room
+# for as many new types as there are known ones.
+MOST_TYPES = 2 * len(S.TXN_TYPES)
+SHARE_UNITS = math.lcm(*range(1, MOST_TYPES + 1))
 
 
 def _latest(value: str):
@@ -72,7 +74,7 @@ def transaction_summary(
     """
     types = F.filter(F.split("txn_types", ","), lambda t: F.length(t) > 0)
     n = F.size(types)
-    whole = F.assert_true(n <= len(S.TXN_TYPES), "more transaction types than the share unit allows")
+    whole = F.assert_true(n <= MOST_TYPES, "more transaction types than the share unit allows")
     units = F.when(whole.isNull(), (SHARE_UNITS / n).cast("int"))
     shares = (
         mart.where(F.length("txn_types") > 0)

@@ -53,3 +53,11 @@ def test_customer_count_equals_distinct_count(spark, txns):
            for r in mart.transaction_summary(mart.txn_summary_mart(df)).collect()}
     plain = df.groupBy("type", "step").agg(F.count_distinct("nameOrig").alias("n")).collect()
     assert got == {(r.type, r.step): r.n for r in plain}
+
+
+def test_new_types_share_a_row_too(spark, txns):
+    kinds = ["PAYMENT", "TRANSFER", "CASH_OUT", "CASH_IN", "DEBIT", "FEE", "REFUND"]
+    rows = mart.txn_summary_mart(txns(*[{"type": k, "amount": 7.0} for k in kinds]))
+    found = mart.transaction_summary(rows).collect()
+    assert sorted(r.transaction_type for r in found) == sorted(kinds)
+    assert {(r.total_volume, r.txn_count) for r in found} == {(7.0, 1)}
