@@ -24,11 +24,11 @@ def search(spark, rows, k=10):
     return sorted(tuple(r) for r in topk.top_k(df.where("id % 10 = 0"), df, k).collect())
 
 
-@pytest.mark.parametrize("block", [None, 40])
-def test_search_agrees_with_brute_force(spark, monkeypatch, block):
-    if block:
-        monkeypatch.setattr(topk, "ROW_BLOCK", block)
-        monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+@pytest.mark.parametrize("rows_of_block", [None, 40])
+def test_search_agrees_with_brute_force(spark, monkeypatch, rows_of_block):
+    if rows_of_block:
+        monkeypatch.setattr(topk, "ROW_BYTES", rows_of_block * 64 * 8)
+        monkeypatch.setattr(topk, "QUERY_BYTES", 3 * 64 * 8)
     rng = np.random.default_rng(0)
     centres = rng.normal(size=(4, 64))
     vectors = {i: (centres[i % 4] + rng.normal(scale=0.3, size=64)).tolist() for i in range(220)}
@@ -44,18 +44,52 @@ def test_search_of_unusual_vectors(spark):
     assert search(spark, [(0, [1.0]), (0, [1.0]), (1, [1.0]), (1, [1.0])]) == [(0, 1, 1, 1048576), (0, 2, 1, 1048576)]
 
 
+def test_search_of_many_components(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, (rng.normal(size=600 - i) * np.geomspace(1, 0.01, 600 - i)).tolist()) for i in range(60)]
+    assert search(spark, rows) == brute(dict(rows), range(0, 60, 10))
+
+
+def test_huge_components_and_saturated_scores(spark):
+    rows = [(i, [(-1.0) ** i * 1e300, 1.0]) for i in range(25)]
+    limit = (1 << 63) - 1
+    want = []
+    for q in (0, 10, 20):
+        scores = sorted((limit if i % 2 else -limit, i) for i in range(25) if i != q)
+        want += [(q, r + 1, i, limit) for r, i in enumerate(sorted(i for _, i in scores if i % 2 == 0)[:10])]
+    assert search(spark, rows) == want
+    lows = [(i, [-1e300 if i % 10 else 1e300 * (1 + i), 0.0]) for i in range(1, 31)]
+    got = search(spark, [r for r in lows if r[0] % 10 or r[0] == 10])
+    assert got == [(10, r + 1, i, -limit - 1) for r, i in enumerate(i for i in range(1, 12) if i != 10)]
+
+
 def test_bounds_are_never_below_the_score():
     rng = np.random.default_rng(1)
     q, x = np.floor(rng.normal(size=(20, 50)) * 1000), np.floor(rng.normal(size=(30, 50)) * 1000)
+    axes = topk.fitted_axes(x)
+    a, b = topk.rotated(q, axes), topk.rotated(x, axes)
+    assert a @ b.T == pytest.approx(q @ x.T, abs=1e-6)
     last = None
-    for level in topk.LEVELS:
-        (qm, qd), (xm, xd) = topk._statistics(q, level), topk._statistics(x, level)
+    for level in (*topk.LEVELS, topk.FINE):
+        (qm, qd), (xm, xd) = topk.statistics(a, level), topk.statistics(b, level)
+        for got, want in zip(topk.coarser(*topk.statistics(a, topk.FINE), level), (qm, qd)):
+            assert got == pytest.approx(want, abs=1e-6)
         bound = qm @ xm.T + qd @ xd.T
         assert (bound >= q @ x.T - 1e-3).all()
         assert last is None or (bound <= last + 1e-3).all()
         last = bound
 
 
+def test_bounds_leave_few_pairs_of_clustered_vectors(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 8)) @ rng.normal(size=(8, 64))
+    rows = [(i, (centres[i % 40] + rng.normal(scale=0.05, size=64)).tolist()) for i in range(1200)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    left = dict(topk.survivors(df.where("id % 10 = 0"), df).collect())
+    assert left[0] == 120 * 1200 and all(left[k + 1] <= left[k] for k in range(5))
+    assert left[3] < left[0] / 2 and left[5] < left[0] / 20
+
+
 PAGES = "page_id long, url string, html string"
 
 
