@@ -2,19 +2,20 @@
 
 Components are rotated first, onto the axes along which a bounded sample of rows varies
 most, largest first; a rotation changes no inner product. A rotated vector is cut into
-segments of equal length. By Cauchy and Schwarz,
+segments. By Cauchy and Schwarz,
 
     q . x  <=  sum over segments of  len * mean(q) * mean(x) + len * dev(q) * dev(x),
 
 so a few statistics bound a score from above (for vectors of known length this is the
 lower bound of their distance), and the products of the means alone are its estimate.
 
-1. Statistics of 16 segments travel, not vectors. Every pair of a query block and a row
+1. Statistics of 16 segments travel, not vectors: the 8 leading components alone, then the
+   rest in 8 equal parts. Every pair of a query block and a row
    block names its k likeliest rows for each query. The k likeliest of all are scored
    exactly, and the lowest of these scores is the query's floor.
 2. The same statistics, from 1 segment over 4 to 16, give up every pair whose bound is below
    the floor. Only rows that are left for some query of a block are sent to it as vectors.
-3. There 32 segments are tried, then the exact sum over the leading half of the components
+3. There 32 equal segments are tried, then the exact sum over the leading half of the components
    with 16 segments for the rest; the survivors get exact scores in whole numbers. Each block
    returns its own best k for each query; the best of these are the result.
 
@@ -83,24 +84,35 @@ def rotated(x: np.ndarray, axes: np.ndarray) -> np.ndarray:
     return np.pad(y, ((0, 0), (0, -y.shape[1] % (2 * FINE))))
 
 
-def statistics(y: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
+def equal(width: int, segments: int) -> np.ndarray:
+    return np.full(segments, width // segments)
+
+
+def leading(width: int) -> np.ndarray:
+    """Lengths of the segments that travel: one component each, then the rest in equal parts."""
+    alone = LEVELS[-1] // 2
+    return np.concatenate([np.ones(alone, dtype=int), equal(width - alone, LEVELS[-1] - alone)])
+
+
+def statistics(y: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Means and deviations of the segments, both times the root of the length."""
-    parts = y.reshape(len(y), segments, y.shape[1] // segments)
-    root = np.sqrt(parts.shape[2])
-    return parts.mean(axis=2) * root, parts.std(axis=2) * root
+    starts = np.cumsum(lengths) - lengths
+    means = np.add.reduceat(y, starts, axis=1) / np.sqrt(lengths)
+    squares = np.add.reduceat(y * y, starts, axis=1)
+    return means, np.sqrt(np.maximum(squares - means ** 2, 0.0))
 
 
-def coarser(means: np.ndarray, devs: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
+def coarser(means: np.ndarray, devs: np.ndarray, lengths: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
     """The same statistics of fewer, longer segments."""
-    size = means.shape[1] // segments
-    sums = means.reshape(len(means), segments, size).sum(axis=2) / np.sqrt(size)
-    squares = (means ** 2 + devs ** 2).reshape(len(means), segments, size).sum(axis=2)
+    starts = np.arange(0, len(lengths), len(lengths) // segments)
+    sums = np.add.reduceat(means * np.sqrt(lengths), starts, axis=1) / np.sqrt(np.add.reduceat(lengths, starts))
+    squares = np.add.reduceat(means ** 2 + devs ** 2, starts, axis=1)
     return sums, np.sqrt(np.maximum(squares - sums ** 2, 0.0))
 
 
 def _slack(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """More than a bound of each query can lose by rounding, from statistics of all pairs."""
-    return 1e-9 * (1 + np.sqrt((q ** 2).sum(axis=1)) * np.sqrt((x ** 2).sum(axis=1).max(initial=0.0)))
+    return 1e-7 * (1 + np.sqrt((q ** 2).sum(axis=1)) * np.sqrt((x ** 2).sum(axis=1).max(initial=0.0)))
 
 
 def _exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -135,12 +147,12 @@ def likeliest(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> Iterator[tup
 
 
 @np.errstate(over="ignore", invalid="ignore")  # what overflows is kept
-def left_by_statistics(queries: pd.DataFrame, rows: pd.DataFrame, counts=None) -> np.ndarray:
+def left_by_statistics(queries: pd.DataFrame, rows: pd.DataFrame, lengths: np.ndarray, counts=None) -> np.ndarray:
     """Keys of the rows that some query's floor does not rule out; pairs by level are counted."""
     (qm, qd), (xm, xd) = _halves(queries["s"]), _halves(rows["s"])
     slack = _slack(np.hstack([qm, qd]), np.hstack([xm, xd]))
     ids, floors = rows["id"].to_numpy(), queries["floor"].to_numpy(dtype=float, na_value=-np.inf)
-    levels = [(coarser(qm, qd, n), coarser(xm, xd, n)) for n in LEVELS]
+    levels = [(coarser(qm, qd, lengths, n), coarser(xm, xd, lengths, n)) for n in LEVELS]
     wanted = np.zeros(len(rows), dtype=bool)
     for one, query in enumerate(queries["id"].to_numpy()):
         left = np.flatnonzero(ids != query)
@@ -159,8 +171,8 @@ def best_of_block(q_ids, q, floors, x_ids, x, axes, k: int = K, counts=None):
     x_ids, x = x_ids[order], x[order]
     a, b = rotated(q, axes), rotated(x, axes)
     slack, half = _slack(a, b), a.shape[1] // 2
-    (am, ad), (bm, bd) = statistics(a, FINE), statistics(b, FINE)
-    (rm, rd), (sm, sd) = (statistics(y[:, half:], FINE // 2) for y in (a, b))
+    (am, ad), (bm, bd) = (statistics(y, equal(y.shape[1], FINE)) for y in (a, b))
+    (rm, rd), (sm, sd) = (statistics(y[:, half:], equal(half, FINE // 2)) for y in (a, b))
     found = []
     for start in range(0, len(q), _STRIP):
         means = am[start:start + _STRIP] @ bm.T
@@ -195,7 +207,8 @@ def _prepared(df: DataFrame, width: int, axes: np.ndarray) -> DataFrame:
     """key, id, v and packed statistics s of each vector, written, so that keys stay as they are."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            packed = np.hstack(statistics(rotated(_matrix(batch["v"], width), axes), LEVELS[-1]))
+            y = rotated(_matrix(batch["v"], width), axes)
+            packed = np.hstack(statistics(y, leading(y.shape[1])))
             yield pd.DataFrame({"id": batch["id"], "v": batch["v"], "s": list(packed)})
 
     rows = df.select("id", "v").mapInPandas(run, "id long, v array<double>, s array<double>")
@@ -219,6 +232,7 @@ class Search:
         fit_rows = max(1, min(FIT_ROWS, ROW_BYTES // (8 * self.width)))
         sample = rows.orderBy(F.xxhash64("id", "v"), "id", "v").limit(fit_rows).toPandas()
         self.axes = fitted_axes(_matrix(sample["v"], self.width))
+        self.lengths = leading(rotated(np.zeros((1, self.width)), self.axes).shape[1])
         self.queries = _prepared(queries, self.width, self.axes)
         self.rows = _prepared(rows, self.width, self.axes)
         tasks = rows.sparkSession.sparkContext.defaultParallelism
@@ -267,10 +281,12 @@ class Search:
 
     def left(self, floors: DataFrame) -> DataFrame:
         """key and qb: which rows each query block gets as vectors."""
+        lengths = self.lengths
+
         def pair(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
             if not len(queries) or not len(rows):
                 return pd.DataFrame({"key": pd.Series(dtype="int64"), "qb": pd.Series(dtype="int32")})
-            keys = left_by_statistics(queries, rows)
+            keys = left_by_statistics(queries, rows, lengths)
             return pd.DataFrame({"key": keys, "qb": np.full(len(keys), queries["qb"].iloc[0], dtype="int32")})
 
         return self._dealt(floors, "qb", "id", "s", "floor").cogroup(self._dealt(self.rows, "rb", "id", "key", "s")).applyInPandas(
@@ -298,15 +314,16 @@ class Search:
 
 def survivors(queries: DataFrame, rows: DataFrame, k: int = K) -> DataFrame:
     """level and pairs: how many pairs of a query and a row are left after 1, 4, 16 and 32
-    segments and after the exact leading half; level 0 has all pairs."""
+    segments and after the exact leading half; level 0 has all pairs. Here every row is sent to
+    every block, so the last two say what these bounds leave of all pairs."""
     search = Search(queries, rows, k)
-    floors, width, axes = search.floors(), search.width, search.axes
+    floors, width, axes, lengths = search.floors(), search.width, search.axes, search.lengths
 
     def pair(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         first, last = np.zeros(len(LEVELS), dtype=np.int64), np.zeros(2, dtype=np.int64)
         if len(queries) and len(rows):
             lowest = queries["floor"].to_numpy(dtype=float, na_value=-np.inf)
-            left_by_statistics(queries, rows, first)
+            left_by_statistics(queries, rows, lengths, first)
             best_of_block(queries["id"].to_numpy(), _matrix(queries["v"], width), lowest,
                           rows["id"].to_numpy(), _matrix(rows["v"], width), axes, k, last)
         counts = np.concatenate([[len(queries) * len(rows)], first, last])
