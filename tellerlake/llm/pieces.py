@@ -42,6 +42,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
 #: Parts kept for later occurrences in each of two generations, and their most characters.
 STORE, STORED_CHARS = 350_000, 48
+#: Ids that are decoded at a time.
+DECODED = 1 << 16
 SPACE = "▁"
 #: How far the score of byte fallback lies below that of the last piece.
 BELOW = 10.0
@@ -101,6 +103,9 @@ class Pieces:
                 node[""] = (i, score)
                 if score > -1e6:
                     usual.append(score)
+        self.by_id = np.array(self.bytes_of, dtype=object)
+        # a text may be cut before its spaces only if no piece crosses there
+        self.cut_at_spaces = not any("\n" in pair or pair[1] == " " != pair[0] for pair in self.together)
         self.fallback = min(usual, default=0.0) - BELOW
         self.store: dict[str, tuple] = {}
         self.older: dict[str, tuple] = {}
@@ -225,8 +230,9 @@ class Pieces:
         any other part's departure has n - 1 better ones, and the best, before it.
         """
         sums: list[tuple[float, tuple]] = [(0.0, ())]
-        for k in heapq.nsmallest(self.n_best - 1, range(len(texts)), key=lambda k: found[k][2]):
-            if found[k][2] < float("inf"):
+        gaps = [p[2] for p in found]
+        for k in heapq.nsmallest(self.n_best - 1, range(len(texts)), key=gaps.__getitem__):
+            if gaps[k] < float("inf"):
                 departures = [(0.0, ()), *((b, ((k, ids),)) for b, ids in self.others(texts[k]))]
                 sums = sorted(((a + b, x + y) for a, x in sums for b, y in departures), key=itemgetter(0))[:self.n_best]
         best, out = [p[0] for p in found], []
@@ -243,14 +249,19 @@ class Pieces:
         self.prepare()
         if not text:
             return [b""], [0.0], True
-        part, texts, found = self.part, _PART.findall(" " + text), []
-        for x in texts:
-            found.append(self.store.get(x) or part(x))
-        best = sum([p[1] for p in found])
+        part, known, padded = self.part, self.store.get, " " + text
+        if self.cut_at_spaces:
+            texts = _PART.findall(padded)
+        else:
+            cuts = self.cuts(padded)
+            texts = [padded[a:b] for a, b in zip(cuts, cuts[1:])]
+        found = [known(x) or part(x) for x in texts]
+        ids, scores, _ = zip(*found)
+        best = sum(scores)
         nearest = self.behind(texts, found)
-        paths = [b"".join([p[0] for p in found]), *(ids for _, ids in nearest)]
-        raw, bytes_of = (" " + text).encode(), self.bytes_of.__getitem__
-        exact = all(b"".join(map(bytes_of, np.frombuffer(ids, dtype=np.int32).tolist())) == raw for ids in paths)
+        paths = [b"".join(ids), *(ids for _, ids in nearest)]
+        raw = (" " + text).encode()
+        exact = all(self.joined(np.frombuffer(ids, dtype=np.int32)) == raw for ids in paths)
         return paths, [best, *(best - b for b, _ in nearest)], exact
 
     def encode(self, text: str) -> tuple[bytes, list[float], bool]:
@@ -259,10 +270,13 @@ class Pieces:
         paths, scores, exact = self.best_paths(text)
         return paths[0], scores, exact
 
+    def joined(self, ids: np.ndarray) -> bytes:
+        """The bytes of a row of pieces, looked up many at a time."""
+        return b"".join([b for k in range(0, len(ids), DECODED) for b in self.by_id[ids[k:k + DECODED]].tolist()])
+
     def decode(self, ids) -> str:
         self.prepare()
-        bytes_of = self.bytes_of
-        return b"".join([bytes_of[i] for i in ids]).decode("utf-8", "replace")[1:]
+        return self.joined(np.asarray(ids, dtype=np.int64)).decode("utf-8", "replace")[1:]
 
 
 def encoded(docs: DataFrame, model: Pieces | None = None, text: str = "text") -> DataFrame:

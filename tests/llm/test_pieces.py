@@ -117,3 +117,16 @@ def test_tables_have_the_ids_of_the_n_best(spark):
     rows = P.encoded(spark.createDataFrame([(1, "the thonti"), (2, None), (3, "")], "doc_id long, text string")).collect()
     assert len(rows[0].best_ids) == len(rows[0].best_scores) == P.N_BEST and rows[0].best_ids[0] == rows[0].ids
     assert rows[1].best_ids is None and rows[2].best_ids == [[]]
+
+
+def test_a_piece_across_a_space_is_found():
+    model = P.Pieces(["▁", "a", "b", "a▁b", "c\n", "\n", "c"], [-2.0, -1.0, -1.0, -0.5, -0.25, -3.0, -1.5], ["piece"] * 7)
+    for text in ("a b", "a ba b", "ac\nb", "c\n a b"):
+        _, best, exact = model.best_paths(text)
+        assert exact and best == pytest.approx(brute(model, text, P.N_BEST))
+    assert not model.cut_at_spaces
+
+
+def test_the_given_model_is_cut_at_spaces(model):
+    model.prepare()
+    assert model.cut_at_spaces
