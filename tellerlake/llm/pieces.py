@@ -85,7 +85,7 @@ class Pieces:
         if self.ready:
             return
         self.trie: dict = {}
-        self.bytes_of: list[bytes] = [b""] * len(self.pieces)
+        self.bytes_of = [b""] * len(self.pieces)
         self.byte_ids = [0] * 256
         self.together: set[str] = set()
         usual = []
@@ -103,7 +103,7 @@ class Pieces:
                 node[""] = (i, score)
                 if score > -1e6:
                     usual.append(score)
-        self.by_id = np.array(self.bytes_of, dtype=object)
+        self.bytes_of = np.array(self.bytes_of, dtype=object)
         # a text may be cut before its spaces only if no piece crosses there
         self.cut_at_spaces = not any("\n" in pair or pair[1] == " " != pair[0] for pair in self.together)
         self.fallback = min(usual, default=0.0) - BELOW
@@ -272,7 +272,7 @@ class Pieces:
 
     def joined(self, ids: np.ndarray) -> bytes:
         """The bytes of a row of pieces, looked up many at a time."""
-        return b"".join([b for k in range(0, len(ids), DECODED) for b in self.by_id[ids[k:k + DECODED]].tolist()])
+        return b"".join([b for k in range(0, len(ids), DECODED) for b in self.bytes_of[ids[k:k + DECODED]].tolist()])
 
     def decode(self, ids) -> str:
         self.prepare()
