@@ -167,3 +167,51 @@ def test_attention_learns_from_text_outside_the_sample(spark, monkeypatch):
     df = spark.range(700).selectExpr("id AS doc_id", "repeat('red green blue black ', 250) AS text")
     held = lm_score.scored(df.repartition(2)).where("held_out").selectExpr("sum(attention_score) / sum(n_tokens)").first()[0]
     assert held > math.log10(0.5)  # by counts alone a word has a quarter
+
+
+def test_chunks_get_back_only_sums_that_other_chunks_add_to(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "CHUNK_BYTES", 20_000)
+    df = spark.range(400).selectExpr(
+        "id AS doc_id", "concat('every ', repeat('common word ', 30), 'own', id, ' a', id % 200, repeat(' x', 200)) AS text").coalesce(1)
+    docs = df.selectExpr("doc_id", "text", "coalesce(crc32(cast(cast(doc_id AS STRING) AS BINARY)) % 7 = 2, false) AS held_out")
+    rows = lm_score.tokenised(docs, lm_score.Subwords.load()).localCheckpoint()
+    got = lm_score.summed_words(rows).collect()
+    counts = collections.Counter(w for r in df.collect() if crc(r.doc_id, 7) != 2 for w in tokens(r.text))
+    chunks = collections.defaultdict(lambda: collections.defaultdict(int))
+    for r in rows.where(f"kind = {lm_score.WORD}").collect():
+        chunks[r.word][r.chunk, r.place] += r.n
+    expected = {(c, p, sum(each.values())) for each in chunks.values() for (c, p), n in each.items() if sum(each.values()) > n}
+    back = [(r.chunk, r.place, r.total) for r in got if r.chunk is not None]
+    assert sum(r.known for r in got) == len(counts) and len(back) == len(set(back)) and set(back) == expected
+    assert 0 < len(back) < sum(map(len, chunks.values())) / 2
+    scores = {r.doc_id: r for r in lm_score.scored(df).collect()}
+    n, v = sum(counts.values()), len(counts)
+    for r in df.collect():
+        words = tokens(r.text)
+        assert scores[r.doc_id].n_known == sum(counts[w] > 0 for w in words)
+        assert scores[r.doc_id].base_score == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in words))
+
+
+def test_places_of_frequent_words_are_small():
+    texts = [b"a b c d e f b z", b"z z b", b""]
+    rows = list(lm_score._chunk_rows([1, 2, 3], [False] * 3, texts, lm_score.Subwords.load()))
+    docs = next(r for r in rows if r.column("kind")[0].as_py() == lm_score.DOC)
+    at = [lm_score._of_planes(zlib.decompress(x.as_buffer())) for x in docs.column("payload")]
+    assert [len(x) for x in at] == [8, 3, 0] and sorted(at[1].tolist()) in ([0, 0, 1], [0, 1, 1])
+    big = np.array([0, 255, 256, 70_000, 2**31 - 1], dtype=np.int32)
+    assert lm_score._of_planes(lm_score._planes(big)).tolist() == big.tolist()
+
+
+def test_large_logits_have_finite_slopes(small):
+    model, ids, doc, _ = small
+    x, of = model.windows(model.inputs(ids, doc), doc)
+    n = len(x) * lm_score.HALF
+    cls, row, real = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64), (of[:, lm_score.HALF:] >= 0).reshape(-1)
+    cls[:len(ids)], row[:len(ids)] = model.cls[ids], model.row[ids]
+    expected = model._gradient(x, of, cls, row, real)
+    for name in ("bias", "inner_bias"):
+        model.p[name] += np.float32(500)
+    got = model._gradient(x, of, cls, row, real)
+    for name in ("bias", "inner_bias"):
+        model.p[name] -= np.float32(500)
+    assert all(np.allclose(got[k], expected[k], atol=1e-3) for k in expected)
