@@ -4,7 +4,9 @@ Nodes and edges each are a directory of ``bucket=<n>/`` directories, by a hash o
 ``merge`` first drops updates that are stored already; only the buckets of the others are
 read and replaced (dynamic partition overwrite, which moves finished files in at its commit).
 Applying the same updates again therefore writes nothing. Buckets spread by hash, so no key
-or account makes one larger than the others; more buckets make smaller rewrites.
+or account makes one larger than the others; more buckets make smaller rewrites. Large buckets
+are written by several tasks, so their number does not bound how many work; the first rows of
+a table are written as they come, once.
 """
 
 from __future__ import annotations
@@ -62,8 +64,12 @@ class BucketedTable:
         # each decided once, since the rewrite must not see its own result
         folder = f"{self.path}/updates-{uuid.uuid4().hex}"
         fs, hadoop_path = self._filesystem()
+        wanted = G.upsert(None, updates.select(columns), self.key).select("*", self._bucket())
+        if not fs.exists(hadoop_path(self._data)):
+            self._replace(wanted)
+            return self._stored().count()
         try:
-            wanted = self._kept(G.upsert(None, updates.select(columns), self.key).select("*", self._bucket()), f"{folder}/wanted")
+            wanted = self._kept(wanted, f"{folder}/wanted")
             stored = self._stored_in(wanted)
             same = wanted["bucket"] == stored["bucket"]
             for c in columns:
@@ -72,14 +78,17 @@ class BucketedTable:
             n = fresh.count()
             if n:
                 before = self._stored_in(fresh).select(*columns)
-                merged = G.upsert(before, fresh.select(columns), self.key).select("*", self._bucket())
-                merged.repartition("bucket").write.mode("overwrite").option(
-                    "partitionOverwriteMode", "dynamic"
-                ).partitionBy("bucket").parquet(self._data)
+                self._replace(G.upsert(before, fresh.select(columns), self.key).select("*", self._bucket()))
             return n
         finally:
             fs.delete(hadoop_path(folder), True)
 
+    def _replace(self, rows: DataFrame) -> None:
+        """Writes whole buckets."""
+        rows.hint("rebalance", "bucket").write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("bucket").parquet(self._data)
+
     def _kept(self, df: DataFrame, path: str) -> DataFrame:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)

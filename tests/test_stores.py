@@ -177,3 +177,21 @@ def test_only_touched_buckets_are_read_and_rewritten(spark, tmp_path):
     assert table.read().where("id = 'k7'").collect() == [("k7", 2, "x")] and table.read().count() == 400
     assert rows(table.read()) == rows(G.upsert(table.read(), update, "id"))
     assert [p.name for p in tmp_path.iterdir()] == ["buckets-8"]
+
+
+def test_first_rows_are_written_once_and_large_buckets_by_several_tasks(spark, tmp_path, monkeypatch):
+    table = BucketedTable(spark, str(tmp_path), "id long, v long", ("id",), buckets=2)
+    updates = spark.range(200_000).selectExpr("id", "hash(id) AS v")
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "200k")
+    try:
+        with monkeypatch.context() as first:
+            first.setattr(BucketedTable, "_kept", None)  # nothing is kept beside the buckets
+            assert table.merge(updates.union(updates)) == 200_000
+        assert all(len([f for f in files(tmp_path) if f"bucket={n}/" in f]) > 1 for n in range(2))
+        assert table.merge(updates.where("id < 10").selectExpr("id", "v + 1 AS v")) == 10
+    finally:
+        spark.conf.unset(size)
+    assert rows(table.read()) == rows(updates.selectExpr("id", "v + IF(id < 10, 1, 0) AS v"))
+    empty = BucketedTable(spark, str(tmp_path / "e"), "id long, v long", ("id",), buckets=2)
+    assert empty.merge(updates.limit(0)) == 0 and empty.read().isEmpty() and empty.merge(updates.limit(5)) == 5
