@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tellerlake.llm.components import components
+from tellerlake.llm.components import components, joined_components
 from tellerlake.llm.shared import quoted, written
 from tellerlake.llm.shingles import shingle_sets, slices
 
@@ -187,24 +187,36 @@ def _undecided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cell_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links that join components, found by testing every candidate of a cell that could."""
-    for cell in _groups(batches, CELL):
-        parent: dict[int, int] = {}
-
-        def root(x):
-            while (up := parent.get(x, x)) != x:
-                parent[x] = parent.get(up, up)
-                x = up
-            return x
+    """The components that links join, found by testing every candidate of a cell that could.
 
-        sets, label = [np.frombuffer(x, dtype=np.uint64) for x in cell["shingles"]], cell["label"].tolist()
+    A member's set is marked once, and its candidates' shingles are looked up together.
+    """
+    for cell in _groups(batches, CELL):
+        label = cell["label"] = cell["label"].copy()  # grows together while the pairs are made
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in cell["shingles"]]
+        size = np.array([len(x) for x in sets])
+        start = np.cumsum(size) - size
+        distinct, codes = np.unique(np.concatenate(sets), return_inverse=True)
+        mark = np.zeros(len(distinct), dtype=bool)
         links = []
         for r, o in _cell_pairs(cell):
-            for i, j in zip(r.tolist(), o.tolist()):
+            cuts = np.flatnonzero(r[1:] != r[:-1]) + 1
+            for i, others in zip(r[np.append(0, cuts)], np.split(o, cuts)):
                 # each pair comes in both directions
-                if i < j and (a := root(label[i])) != (b := root(label[j])) and _similar(sets[i], sets[j]):
-                    parent[max(a, b)] = min(a, b)
-                    links.append((int(cell["id"][i]), int(cell["id"][j])))
+                others = others[(others > i) & (label[others] != label[i])]
+                if not len(others):
+                    continue
+                own, n = codes[start[i]:start[i] + size[i]], size[others]
+                from_ = np.cumsum(n) - n
+                mark[own] = True
+                met = mark[codes[np.repeat(start[others] - from_, n) + np.arange(n.sum())]]
+                mark[own] = False
+                common = np.add.reduceat(met, from_, dtype=np.int64)
+                for j in others[common * 100 >= PERCENT * (size[i] + n - common)]:
+                    a, b = sorted((int(label[i]), int(label[j])))
+                    if a != b:
+                        label[label == b] = a
+                        links.append((a, b))
         if links:
             a, b = zip(*links)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -273,9 +285,11 @@ def _linked(classes: DataFrame, docs: DataFrame) -> DataFrame:
     marked = marked.withColumn("label", F.coalesce("component", "id")).drop("component")
     kinds = "id long, n long, sig binary, half int, key long, block int, x int, y int, label long"
     undecided = written(in_cells(marked).mapInArrow(_undecided, kinds), "near-undecided")
+    if undecided.isEmpty():
+        return labels
     with_sets = undecided.join(sets.withColumnRenamed("node", "id"), "id")
     more = written(in_cells(with_sets).mapInArrow(_cell_links, "a long, b long"), "near-links")
-    return components(links.unionByName(more))
+    return labels if more.isEmpty() else joined_components(labels, more)
 
 
 def verdicts(docs: DataFrame) -> DataFrame:

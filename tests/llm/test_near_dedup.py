@@ -126,3 +126,45 @@ def test_components_of_a_path_and_a_star(spark, n):
     random.Random(n).shuffle(edges)
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(n + 1)}, **{1000 + i: 1000 for i in range(n + 1)}}
+
+
+def test_stars_are_not_rewired_again(spark, monkeypatch):
+    tables = []
+    monkeypatch.setattr(components, "written", lambda df, name: tables.append(name) or df)
+    edges = spark.createDataFrame([(1, k) for k in range(2, 40)], "a long, b long")
+    assert {r.component for r in components.components(edges).collect()} == {1} and len(tables) == 1
+
+
+def test_components_joined_by_edges_between_them(spark):
+    known = spark.createDataFrame([(1, 1), (5, 1), (2, 2), (7, 2), (3, 3), (4, 3)], "node long, component long")
+    more = spark.createDataFrame([(2, 1), (9, 8), (9, 2)], "a long, b long")
+    got = components.joined_components(known, more).collect()
+    assert sorted(map(tuple, got)) == [(1, 1), (2, 1), (3, 3), (4, 3), (5, 1), (7, 1), (8, 1), (9, 1)]
+
+
+def test_a_cell_is_not_tested_pair_by_pair(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    rng, size, pool = np.random.default_rng(1), 100, np.arange(1, 129, dtype=np.uint64)
+    sets = [np.sort(rng.choice(pool, size, replace=False)) for _ in range(150)]
+    calls, similar = [], near_dedup._similar
+    monkeypatch.setattr(near_dedup, "_similar", lambda a, b: calls.append(1) or similar(a, b))
+    one = lambda v, kind: pa.array([v] * len(sets), kind)
+    batch = pa.RecordBatch.from_pydict({
+        "id": pa.array(range(150), pa.int64()), "n": one(size, pa.int64()), "sig": one(bytes(4 * near_dedup.HASHES), pa.binary()),
+        "half": one(0, pa.int32()), "key": one(0, pa.int64()), "block": one(0, pa.int32()), "x": one(0, pa.int32()),
+        "y": one(0, pa.int32()), "label": pa.array(range(150), pa.int64()), "shingles": pa.array([s.tobytes() for s in sets]),
+    })
+    links = [(a, b) for out in near_dedup._cell_links(iter([batch])) for a, b in zip(*(c.to_pylist() for c in out.columns))]
+    assert len(calls) < 150
+
+    def groups(pairs):
+        label = list(range(150))
+        for a, b in pairs:
+            low, high = sorted((label[a], label[b]))
+            label = [low if x == high else x for x in label]
+        return label
+
+    linked = [(a, b) for a in range(150) for b in range(a) if similar(sets[a], sets[b])]
+    assert linked and groups(links) == groups(linked)
