@@ -24,7 +24,7 @@ carried, and derived names replace clashing ones.
 
 from __future__ import annotations
 
-import heapq
+import gc
 import re
 from bisect import insort
 from collections.abc import Iterator
@@ -32,6 +32,7 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,8 +43,10 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
 #: Parts kept for later occurrences in each of two generations, and their most characters.
 STORE, STORED_CHARS = 350_000, 48
-#: Ids that are decoded at a time.
-DECODED = 1 << 16
+#: Characters of new parts, and bytes of texts, that are searched at once.
+AT_ONCE, SLICE_BYTES = 1 << 17, 1 << 21
+#: Parts whose next bests are kept.
+NEXT_BESTS = 50_000
 SPACE = "▁"
 #: How far the score of byte fallback lies below that of the last piece.
 BELOW = 10.0
@@ -84,7 +87,7 @@ class Pieces:
         """Look-up tables, made once in each process."""
         if self.ready:
             return
-        self.trie: dict = {}
+        trie: dict = {}
         self.bytes_of = [b""] * len(self.pieces)
         self.byte_ids = [0] * 256
         self.together: set[str] = set()
@@ -97,18 +100,20 @@ class Pieces:
                 plain = piece.replace(SPACE, " ")
                 self.bytes_of[i] = plain.encode()
                 self.together.update(plain[k - 1:k + 1] for k in range(1, len(plain)))
-                node = self.trie
+                node = trie
                 for character in plain:
                     node = node.setdefault(character, {})
                 node[""] = (i, score)
                 if score > -1e6:
                     usual.append(score)
-        self.bytes_of = np.array(self.bytes_of, dtype=object)
+        self.trie = _packed(trie)
+        self.steps = _Steps(self.trie)
         # a text may be cut before its spaces only if no piece crosses there
         self.cut_at_spaces = not any("\n" in pair or pair[1] == " " != pair[0] for pair in self.together)
         self.fallback = min(usual, default=0.0) - BELOW
         self.store: dict[str, tuple] = {}
         self.older: dict[str, tuple] = {}
+        self.next_bests: dict[str, list] = {}
         self.ready = True
 
     def edges(self, text: str) -> tuple[list[float], list[list[tuple]]]:
@@ -120,15 +125,16 @@ class Pieces:
         for i in range(n):
             base, node = alpha[i], trie
             for j in range(i, n):
-                node = node.get(text[j])
-                if node is None:
+                entry = node.get(text[j])
+                if entry is None:
                     break
-                found = node.get("")
-                if found:
-                    piece, score = found
+                node, piece, score = entry
+                if piece >= 0:
                     ends[j + 1].append((i, piece, score))
                     if base + score > alpha[j + 1]:
                         alpha[j + 1] = base + score
+                if node is None:
+                    break
             if not ends[i + 1] or ends[i + 1][-1][0] != i:
                 ends[i + 1].append((i, -1, fallback))
                 if base + fallback > alpha[i + 1]:
@@ -193,20 +199,117 @@ class Pieces:
         ids.reverse()
         return np.array(ids, dtype=np.int32).tobytes(), best, best - second
 
+    def firsts(self, texts: list[str]) -> list[tuple]:
+        """`first` of many short texts at once: the same search, a step of all texts at a time."""
+        if not texts:
+            return []
+        size = np.array([len(t) for t in texts])
+        last = np.cumsum(size + 1) - 1  # positions of all texts lie in a row, one more than characters
+        begin = last - size
+        at = np.arange(last[-1] + 1)
+        of = np.repeat(np.arange(len(texts)), size + 1)
+        codes = np.frombuffer("\0".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+
+        start, node, parts = np.delete(at, last), 0, []
+        alone = np.ones(len(at), dtype=bool)
+        for depth in range(int(size.max())):
+            stop = start + depth
+            inside = stop < last[of[start]]
+            start, stop, node = start[inside], stop[inside], node if depth == 0 else node[inside]
+            found, row = self.steps.find(node, codes[stop])
+            start, stop = start[found], stop[found]
+            piece, node = self.steps.piece[row], self.steps.child[row]
+            whole = piece >= 0
+            if depth == 0:
+                alone[start[whole]] = False
+            parts.append((start[whole], stop[whole] + 1, piece[whole], self.steps.score[row[whole]]))
+            more = node >= 0
+            start, node = start[more], node[more]
+            if not len(start):
+                break
+        alone[last] = False
+        bare = np.flatnonzero(alone)
+        parts.append((bare, bare + 1, np.full(len(bare), -1), np.full(len(bare), self.fallback)))
+        src, dst, piece, score = (np.concatenate(c) for c in zip(*parts))
+        place = dst - begin[of[dst]]
+        order = np.argsort((place * len(at) + dst) * (STORED_CHARS + 1) - (dst - src), kind="stable")
+        src, dst, piece, score, place = src[order], dst[order], piece[order], score[order], place[order]
+
+        # forward: edges by the place where they end, then by text, then by start
+        groups = np.flatnonzero(np.append(True, dst[1:] != dst[:-1]))
+        edges = np.zeros(len(at), dtype=np.int64)
+        edges[dst[groups]] = groups
+        degree = np.bincount(dst, minlength=len(at))
+        alpha = np.zeros(len(at))
+        by_place = np.searchsorted(place, np.arange(1, int(size.max()) + 2))
+        by_group = np.searchsorted(groups, by_place)
+        for k in range(len(by_place) - 1):
+            s, e = by_place[k], by_place[k + 1]
+            own = groups[by_group[k]:by_group[k + 1]]
+            alpha[dst[own]] = np.maximum.reduceat(alpha[src[s:e]] + score[s:e], own - s)
+
+        # backward: the leftmost of the best edges is taken, the others are departures
+        best, second, done = alpha[last], np.full(len(texts), -np.inf), np.zeros(len(texts))
+        here, active, taken = last.copy(), np.flatnonzero(size > 0), []
+        while len(active):
+            n = degree[here[active]]
+            from_ = np.cumsum(n) - n
+            flat = np.repeat(edges[here[active]] - from_, n) + np.arange(n.sum())
+            text = np.repeat(active, n)
+            value = done[text] + score[flat] + alpha[src[flat]]
+            chosen = np.minimum.reduceat(np.where(value >= best[text], np.arange(len(flat)), len(flat)), from_)
+            value[chosen] = -np.inf
+            second[active] = np.maximum(second[active], np.maximum.reduceat(value, from_))
+            edge = flat[chosen]
+            taken.append((active, piece[edge]))
+            done[active] += score[edge]
+            here[active] = src[edge]
+            active = active[here[active] > begin[active]]
+        text, ids = (np.concatenate(c)[::-1] for c in zip(*taken))  # from the first piece on
+        order = np.argsort(text, kind="stable")
+        packed = ids[order].astype(np.int32).tobytes()
+        ends = (np.cumsum(np.bincount(text, minlength=len(texts))) * 4).tolist()
+        out = [(packed[a:b], x, y) for a, b, x, y in zip([0, *ends], ends, best.tolist(), (best - second).tolist())]
+        for k in np.unique(text[ids < 0]).tolist():  # pieces that are written as bytes
+            out[k] = self.first(texts[k])
+        return out
+
+    def learn(self, texts: set[str]) -> None:
+        """Puts the parts among `texts` that are not stored into the store, all at once."""
+        new = [t for t in texts.difference(self.store) if t not in self.older and len(t) <= STORED_CHARS]
+        inner = {t: [t[a:b] for a, b in zip(cuts, cuts[1:])] for t in new for cuts in [self.cuts(t)]}
+        wholes = {x for found in inner.values() for x in found}.difference(self.store)
+        wholes = [x for x in wholes if x not in self.older]
+        for start, stop in _runs(np.array([len(x) for x in wholes], dtype=np.int64), AT_ONCE):
+            for x, known in zip(wholes[start:stop], self.firsts(wholes[start:stop])):
+                self.kept(x, known)
+        for t, found in inner.items():
+            if len(found) > 1:
+                self.part(t, found)
+
     def cuts(self, text: str) -> list[int]:
         """0, the places where no piece can cross, and the length."""
         together = self.together
         return [0, *[k for k in range(1, len(text)) if text[k - 1:k + 1] not in together], len(text)]
 
-    def part(self, text: str) -> tuple:
+    def part(self, text: str, inner: list[str] | None = None) -> tuple:
         known = self.store.get(text) or self.older.get(text)
         if not known:
-            cuts = self.cuts(text)
-            if len(cuts) > 2:
-                found = [self.part(text[a:b]) for a, b in zip(cuts, cuts[1:])]
+            if inner is None:
+                cuts = self.cuts(text)
+                inner = [text[a:b] for a, b in zip(cuts, cuts[1:])]
+            if len(inner) > 1:
+                found = [self.whole(x) for x in inner]
                 known = b"".join([p[0] for p in found]), sum([p[1] for p in found]), min([p[2] for p in found])
             else:
-                known = self.first(text)
+                return self.whole(text)
+        return self.kept(text, known)
+
+    def whole(self, text: str) -> tuple:
+        """A part that pieces can cross everywhere."""
+        return self.kept(text, self.store.get(text) or self.older.get(text) or self.first(text))
+
+    def kept(self, text: str, known: tuple) -> tuple:
         if len(text) <= STORED_CHARS:
             if len(self.store) >= STORE:
                 self.older, self.store = self.store, {}
@@ -215,13 +318,20 @@ class Pieces:
 
     def others(self, text: str) -> list[tuple[float, bytes]]:
         """The next bests of a part: how far each lies behind the best, and its ids."""
-        cuts = self.cuts(text)
-        if len(cuts) > 2:
-            inner = [text[a:b] for a, b in zip(cuts, cuts[1:])]
-            found = [self.part(x) for x in inner]
-            return self.behind(inner, found)
-        paths = self.paths(text)
-        return [(paths[0][0] - score, np.array(ids, dtype=np.int32).tobytes()) for score, ids in paths[1:]]
+        found = self.next_bests.get(text)
+        if found is None:
+            cuts = self.cuts(text)
+            if len(cuts) > 2:
+                inner = [text[a:b] for a, b in zip(cuts, cuts[1:])]
+                found = self.behind(inner, [self.part(x) for x in inner])
+            else:
+                paths = self.paths(text)
+                found = [(paths[0][0] - score, np.array(ids, dtype=np.int32).tobytes()) for score, ids in paths[1:]]
+            if len(text) <= STORED_CHARS:
+                if len(self.next_bests) >= NEXT_BESTS:
+                    self.next_bests.clear()
+                self.next_bests[text] = found
+        return found
 
     def behind(self, texts: list[str], found: list[tuple]) -> list[tuple[float, bytes]]:
         """The next bests of a row of parts: how far each lies behind its best, and its ids.
@@ -231,7 +341,11 @@ class Pieces:
         """
         sums: list[tuple[float, tuple]] = [(0.0, ())]
         gaps = [p[2] for p in found]
-        for k in heapq.nsmallest(self.n_best - 1, range(len(texts)), key=gaps.__getitem__):
+        near = range(len(texts))
+        if 0 < self.n_best - 1 < len(gaps):
+            every = np.array(gaps)
+            near = np.flatnonzero(every <= np.partition(every, self.n_best - 2)[self.n_best - 2]).tolist()
+        for k in sorted(near, key=gaps.__getitem__)[:self.n_best - 1]:
             if gaps[k] < float("inf"):
                 departures = [(0.0, ()), *((b, ((k, ids),)) for b, ids in self.others(texts[k]))]
                 sums = sorted(((a + b, x + y) for a, x in sums for b, y in departures), key=itemgetter(0))[:self.n_best]
@@ -246,23 +360,41 @@ class Pieces:
     def best_paths(self, text: str) -> tuple[list[bytes], list[float], bool]:
         """ids as bytes and scores of the n best segmentations, and whether decoding the ids
         of each gives the text back."""
-        self.prepare()
-        if not text:
-            return [b""], [0.0], True
-        part, known, padded = self.part, self.store.get, " " + text
+        [(paths, scores)] = self.n_bests_of([text])
+        return paths, scores, self.spelled([text], [paths])[0]
+
+    def split(self, text: str) -> list[str]:
+        """A text that is not empty as a row of parts."""
+        padded = " " + text
         if self.cut_at_spaces:
-            texts = _PART.findall(padded)
-        else:
-            cuts = self.cuts(padded)
-            texts = [padded[a:b] for a, b in zip(cuts, cuts[1:])]
+            return _PART.findall(padded)
+        cuts = self.cuts(padded)
+        return [padded[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def n_bests_of(self, texts: list[str]) -> list[tuple[list[bytes], list[float]]]:
+        """ids as bytes and scores of the n best segmentations of each text."""
+        self.prepare()
+        rows = [self.split(t) if t else [] for t in texts]
+        self.learn({x for row in rows for x in row})
+        return [self.n_best_of(row) for row in rows]
+
+    def n_best_of(self, texts: list[str]) -> tuple[list[bytes], list[float]]:
+        """ids as bytes and scores of the n best segmentations of a row of parts."""
+        if not texts:
+            return [b""], [0.0]
+        part, known = self.part, self.store.get
         found = [known(x) or part(x) for x in texts]
         ids, scores, _ = zip(*found)
         best = sum(scores)
         nearest = self.behind(texts, found)
         paths = [b"".join(ids), *(ids for _, ids in nearest)]
-        raw = (" " + text).encode()
-        exact = all(self.joined(np.frombuffer(ids, dtype=np.int32)) == raw for ids in paths)
-        return paths, [best, *(best - b for b, _ in nearest)], exact
+        return paths, [best, *(best - b for b, _ in nearest)]
+
+    def spelled(self, texts: list[str], paths: list[list[bytes]]) -> list[bool]:
+        """Whether decoding the ids of each path of a text gives the text back."""
+        table = pa.array(self.bytes_of, pa.large_binary())
+        return [all(_joined(table, np.frombuffer(x, dtype=np.int32)) == raw for x in found)
+                for found, raw in zip(paths, ((" " + t).encode() if t else b"" for t in texts))]
 
     def encode(self, text: str) -> tuple[bytes, list[float], bool]:
         """ids of the best segmentation as bytes, the scores of the n best, and whether
@@ -270,68 +402,127 @@ class Pieces:
         paths, scores, exact = self.best_paths(text)
         return paths[0], scores, exact
 
-    def joined(self, ids: np.ndarray) -> bytes:
-        """The bytes of a row of pieces, looked up many at a time."""
-        return b"".join([b for k in range(0, len(ids), DECODED) for b in self.bytes_of[ids[k:k + DECODED]].tolist()])
-
     def decode(self, ids) -> str:
         self.prepare()
-        return self.joined(np.asarray(ids, dtype=np.int64)).decode("utf-8", "replace")[1:]
-
-
-def encoded(docs: DataFrame, model: Pieces | None = None, text: str = "text") -> DataFrame:
+        table = pa.array(self.bytes_of, pa.large_binary())
+        return bytes(_joined(table, np.asarray(ids, dtype=np.int64))).decode("utf-8", "replace")[1:]
+
+
+def _joined(table: pa.Array, ids: np.ndarray) -> pa.Buffer | bytes:
+    """The bytes of a row of pieces, which lie one behind the other once they are looked up."""
+    return (table.take(pa.array(ids)).buffers()[2] if len(ids) else None) or b""
+
+
+def _runs(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Where runs of about `most` in all begin and end."""
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // most)) + 1
+    bounds = [0, *cuts.tolist(), len(sizes)]
+    return list(zip(bounds, bounds[1:]))
+
+
+class _Steps:
+    """The steps of a trie as a hash table: from a node by a character to id, score and node."""
+
+    def __init__(self, trie: dict):
+        keys, piece, score, child, nodes = [], [], [], [], [trie]
+        for number, node in enumerate(nodes):  # grows meanwhile
+            for character, (below, i, x) in node.items():
+                keys.append(number << 21 | ord(character))
+                piece.append(i)
+                score.append(x)
+                child.append(len(nodes) if below else -1)
+                if below:
+                    nodes.append(below)
+        self.piece, self.child = np.array(piece, dtype=np.int64), np.array(child, dtype=np.int64)
+        self.score = np.array(score, dtype=np.float64)
+        self.bits = max(4, (4 * len(keys)).bit_length())
+        self.keys, self.row = np.full(1 << self.bits, -1), np.zeros(1 << self.bits, dtype=np.int64)
+        keys = np.array(keys, dtype=np.int64)
+        slot, left = self._slot(keys), np.arange(len(keys))
+        while len(left):  # who finds its slot free takes it, the last of several; the others go on to the next
+            free = left[self.keys[slot[left]] < 0]
+            self.keys[slot[free]], self.row[slot[free]] = keys[free], free
+            left = left[self.keys[slot[left]] != keys[left]]
+            slot[left] = (slot[left] + 1) & (1 << self.bits) - 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, node: np.ndarray | int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which steps there are, and the rows of these."""
+        keys = np.asarray(node) << 21 | codes
+        slot = self._slot(keys)
+        met = self.keys[slot]
+        while len(other := np.flatnonzero((met != keys) & (met >= 0))):
+            slot[other] = (slot[other] + 1) & (1 << self.bits) - 1
+            met[other] = self.keys[slot[other]]
+        found = np.flatnonzero(met >= 0)
+        return found, self.row[slot[found]]
+
+
+def _packed(node: dict) -> dict[str, tuple]:
+    """A trie with one look-up for a character: what follows or None, and id (or -1) and score."""
+    return {c: (_packed(x) or None, *x.get("", (-1, 0.0))) for c, x in node.items() if c}
+
+
+def encoded(docs: DataFrame, model: Pieces | None = None, text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """`docs` with ids of the best segmentation, their number, the scores and ids of the n
-    best, and whether decoding the ids of each gives the text back."""
+    best, and whether decoding the ids of each gives the text back.
+
+    `carry`: the columns of `docs` that come along; all, if not given.
+    """
     model = model or Pieces.load()
-    keep = carried(docs, DERIVED)
+    keep = carried(docs if carry is None else docs.select(*[quoted(c) for c in carry]), DERIVED)
     rows = docs.select(F.struct(F.lit(1).alias("__"), *[F.col(quoted(c)) for c in keep]).alias("row"), F.col(quoted(text)).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _own(model)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                packed, scores, bests, paths, exact = [], [], [], [], []
-                for value in part.column("text"):
-                    value = value.as_py()
-                    if value is None:
-                        packed.append(None)
-                        scores.append(None)
-                        bests.append(None)
-                        paths.append(None)
-                        exact.append(True)
-                        continue
-                    found, best, same = own.best_paths(value)
-                    packed.append(found[0])
-                    paths.append(found)
-                    scores.append(best[0])
-                    bests.append(best)
-                    exact.append(same)
-                missing = np.array([p is None for p in packed])
-                ids = _lists([p or b"" for p in packed], missing)
-                counts = pa.array(np.array([len(p or b"") // 4 for p in packed], dtype=np.int64), mask=missing)
-                each = np.concatenate([[0], np.cumsum([len(p or ()) for p in paths])]).astype(np.int32)
-                every = pa.ListArray.from_arrays(
-                    pa.array(each), _lists([x for p in paths for x in p or ()]), mask=pa.array(missing))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), ids, counts, pa.array(scores, pa.float64()),
-                     pa.array(bests, pa.list_(pa.float64())), every, pa.array(exact)],
-                    names=["row", *DERIVED],
-                )
+        collects = gc.isenabled()
+        gc.disable()  # nothing here refers to itself, and a pass over the store's many tuples takes long
+        try:
+            for batch in batches:
+                size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+                for start, stop in _runs(size.astype(np.int64), SLICE_BYTES):
+                    yield _segmented(own, batch.slice(start, stop - start))
+        finally:
+            if collects:
+                gc.enable()
 
     schema = T.StructType([
-        rows.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_pieces", T.LongType()),
+        rows.schema["row"], T.StructField("n_pieces", T.LongType()),
         T.StructField("score", T.DoubleType()), T.StructField("best_scores", T.ArrayType(T.DoubleType())),
         T.StructField("best_ids", T.ArrayType(T.ArrayType(T.IntegerType()))), T.StructField("exact", T.BooleanType()),
     ])
-    return rows.mapInArrow(run, schema).select("row.*", *DERIVED).drop("__")
-
-
-def _lists(packed: list[bytes], missing: np.ndarray | None = None) -> pa.ListArray:
+    first = F.get("best_ids", F.lit(0)).alias("ids")
+    return rows.mapInArrow(run, schema).select("row.*", first, *DERIVED[1:]).drop("__")
+
+
+def _segmented(own: Pieces, part: pa.RecordBatch) -> pa.RecordBatch:
+    """row and the derived columns, without the ids of the best path, which lie in `best_ids`."""
+    texts = part.column("text").to_pylist()
+    missing = np.array([t is None for t in texts])
+    given = [t for t in texts if t is not None]
+    found = own.n_bests_of(given)
+    same = own.spelled(given, [paths for paths, _ in found])
+    each = iter(zip(found, same))
+    rows = [(((), None), True) if t is None else next(each) for t in texts]
+    paths, bests, exact = [p for (p, _), _ in rows], [b for (_, b), _ in rows], [e for _, e in rows]
+    counts = np.array([len(p[0]) // 4 if p else 0 for p in paths], dtype=np.int64)
+    offsets = np.concatenate([[0], np.cumsum([len(p) for p in paths])]).astype(np.int32)
+    every = pa.ListArray.from_arrays(pa.array(offsets), _lists([x for p in paths for x in p]), mask=pa.array(missing))
+    return pa.RecordBatch.from_arrays(
+        [part.column("row"), pa.array(counts, mask=missing), pa.array([b and b[0] for b in bests], pa.float64()),
+         pa.array(bests, pa.list_(pa.float64())), every, pa.array(exact)],
+        names=["row", *DERIVED[1:]],
+    )
+
+
+def _lists(packed: list[bytes]) -> pa.ListArray:
     """Packed ids as lists."""
     offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int32)
     values = pa.array(np.frombuffer(b"".join(packed), dtype=np.int32))
-    return pa.ListArray.from_arrays(pa.array(offsets), values, mask=None if missing is None else pa.array(missing))
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
 
 
 _models: dict[tuple, Pieces] = {}

@@ -130,3 +130,28 @@ def test_a_piece_across_a_space_is_found():
 def test_the_given_model_is_cut_at_spaces(model):
     model.prepare()
     assert model.cut_at_spaces
+
+
+def test_parts_searched_at_once_are_as_one_by_one(model):
+    model.prepare()
+    rng = random.Random(4)
+    texts = {"".join(rng.choice("thearnoisx é.漢😀▁&") for _ in range(rng.randrange(1, 20))) for _ in range(600)}
+    texts = sorted(texts | {"a", "\x00", "the", " thonti", "q" * P.STORED_CHARS})
+    assert model.firsts(texts) == [model.first(t) for t in texts] and model.firsts([]) == []
+
+
+def test_new_parts_of_many_texts_are_searched_together(monkeypatch):
+    texts = [f"nor{i % 50} thonti{i}, of.{i * 7}" for i in range(300)]
+    expected = [P.Pieces.load().best_paths(t)[:2] for t in texts[:20]]
+    own, calls = P.Pieces.load(), []
+    first = own.first
+    monkeypatch.setattr(own, "first", lambda text: calls.append(text) or first(text))
+    got = own.n_bests_of(texts)
+    assert got[:20] == expected and not calls
+    assert all(own.spelled(texts, [paths for paths, _ in got]))
+
+
+def test_columns_that_do_not_come_along(spark):
+    df = spark.createDataFrame([(1, "the thonti", 3), (2, None, 4)], "doc_id long, text string, x int")
+    rows = P.encoded(df, carry=["doc_id"])
+    assert rows.columns == ["doc_id", *P.DERIVED] and [r.ids is None for r in rows.orderBy("doc_id").collect()] == [False, True]
