@@ -25,9 +25,9 @@ carried, and derived names replace clashing ones.
 from __future__ import annotations
 
 import gc
-import re
+import sys
 from bisect import insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from operator import itemgetter
 
 import numpy as np
@@ -44,7 +44,7 @@ N_BEST = 4
 #: Parts kept for later occurrences in each of two generations, and their most characters.
 STORE, STORED_CHARS = 350_000, 48
 #: Characters of new parts, and bytes of texts, that are searched at once.
-AT_ONCE, SLICE_BYTES = 1 << 17, 1 << 21
+AT_ONCE, SLICE_BYTES = 1 << 17, 1 << 20
 #: Parts whose next bests are kept.
 NEXT_BESTS = 50_000
 SPACE = "▁"
@@ -53,8 +53,6 @@ BELOW = 10.0
 
 DERIVED = ["ids", "n_pieces", "score", "best_scores", "best_ids", "exact"]
 
-_PART = re.compile(r" *[^ \n]+|\n| +")
-
 
 class Pieces:
     """Vocabulary and scores of a model, and the search on its lattices."""
@@ -108,8 +106,17 @@ class Pieces:
                     usual.append(score)
         self.trie = _packed(trie)
         self.steps = _Steps(self.trie)
-        # a text may be cut before its spaces only if no piece crosses there
+        # whether no piece crosses into a space, so that parts are at most a word and its spaces
         self.cut_at_spaces = not any("\n" in pair or pair[1] == " " != pair[0] for pair in self.together)
+        # the same pairs as bits, by the numbers of their characters
+        characters = sorted({c for pair in self.together for c in pair})
+        self.number = np.zeros(sys.maxunicode + 1, dtype=np.uint16)
+        self.number[[ord(c) for c in characters]] = np.arange(1, len(characters) + 1)
+        self.base = len(characters) + 1
+        bits = np.zeros(self.base * self.base, dtype=bool)
+        pairs = np.array([[ord(c) for c in pair] for pair in self.together], dtype=np.int64).reshape(-1, 2)
+        bits[self.number[pairs[:, 0]].astype(np.int64) * self.base + self.number[pairs[:, 1]]] = True
+        self.bits = np.packbits(bits, bitorder="little")
         self.fallback = min(usual, default=0.0) - BELOW
         self.store: dict[str, tuple] = {}
         self.older: dict[str, tuple] = {}
@@ -274,9 +281,9 @@ class Pieces:
             out[k] = self.first(texts[k])
         return out
 
-    def learn(self, texts: set[str]) -> None:
+    def learn(self, texts: list[str]) -> None:
         """Puts the parts among `texts` that are not stored into the store, all at once."""
-        new = [t for t in texts.difference(self.store) if t not in self.older and len(t) <= STORED_CHARS]
+        new = [t for t in texts if t not in self.store and t not in self.older and len(t) <= STORED_CHARS]
         inner = {t: [t[a:b] for a, b in zip(cuts, cuts[1:])] for t in new for cuts in [self.cuts(t)]}
         wholes = {x for found in inner.values() for x in found}.difference(self.store)
         wholes = [x for x in wholes if x not in self.older]
@@ -323,7 +330,10 @@ class Pieces:
             cuts = self.cuts(text)
             if len(cuts) > 2:
                 inner = [text[a:b] for a, b in zip(cuts, cuts[1:])]
-                found = self.behind(inner, [self.part(x) for x in inner])
+                parts = [self.part(x) for x in inner]
+                best = [p[0] for p in parts]
+                found = [(distance, b"".join([departed.get(k, ids) for k, ids in enumerate(best)])) for distance, departed in
+                         ((d, dict(x)) for d, x in self.departures(inner.__getitem__, np.array([p[2] for p in parts])))]
             else:
                 paths = self.paths(text)
                 found = [(paths[0][0] - score, np.array(ids, dtype=np.int32).tobytes()) for score, ids in paths[1:]]
@@ -333,29 +343,22 @@ class Pieces:
                 self.next_bests[text] = found
         return found
 
-    def behind(self, texts: list[str], found: list[tuple]) -> list[tuple[float, bytes]]:
-        """The next bests of a row of parts: how far each lies behind its best, and its ids.
+    def departures(self, text_of: Callable[[int], str], gaps: np.ndarray) -> list[tuple[float, tuple]]:
+        """The next bests of a row of parts: how far each lies behind its best, and the numbers and
+        ids of the parts that differ. `gaps`: how far each part's second best lies behind.
 
         They depart from the best in the n - 1 parts with the nearest second bests only:
         any other part's departure has n - 1 better ones, and the best, before it.
         """
         sums: list[tuple[float, tuple]] = [(0.0, ())]
-        gaps = [p[2] for p in found]
-        near = range(len(texts))
-        if 0 < self.n_best - 1 < len(gaps):
-            every = np.array(gaps)
-            near = np.flatnonzero(every <= np.partition(every, self.n_best - 2)[self.n_best - 2]).tolist()
-        for k in sorted(near, key=gaps.__getitem__)[:self.n_best - 1]:
+        near, most = np.arange(len(gaps)), self.n_best - 1
+        if 0 < most < len(gaps):
+            near = np.flatnonzero(gaps <= np.partition(gaps, most - 1)[most - 1])
+        for k in near[np.argsort(gaps[near], kind="stable")][:most].tolist():
             if gaps[k] < float("inf"):
-                departures = [(0.0, ()), *((b, ((k, ids),)) for b, ids in self.others(texts[k]))]
-                sums = sorted(((a + b, x + y) for a, x in sums for b, y in departures), key=itemgetter(0))[:self.n_best]
-        best, out = [p[0] for p in found], []
-        for distance, departed in sums[1:]:
-            path = best.copy()
-            for k, ids in departed:
-                path[k] = ids
-            out.append((distance, b"".join(path)))
-        return out
+                own = [(0.0, ()), *((b, ((k, ids),)) for b, ids in self.others(text_of(k)))]
+                sums = sorted(((a + b, x + y) for a, x in sums for b, y in own), key=itemgetter(0))[:self.n_best]
+        return sums[1:]
 
     def best_paths(self, text: str) -> tuple[list[bytes], list[float], bool]:
         """ids as bytes and scores of the n best segmentations, and whether decoding the ids
@@ -363,32 +366,60 @@ class Pieces:
         [(paths, scores)] = self.n_bests_of([text])
         return paths, scores, self.spelled([text], [paths])[0]
 
-    def split(self, text: str) -> list[str]:
-        """A text that is not empty as a row of parts."""
-        padded = " " + text
-        if self.cut_at_spaces:
-            return _PART.findall(padded)
-        cuts = self.cuts(padded)
-        return [padded[a:b] for a, b in zip(cuts, cuts[1:])]
+    def parts_of(self, texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The parts of all texts, each behind a space, cut wherever no piece can cross, and how
+        many each text has."""
+        joined = "".join([" " + t for t in texts])
+        codes = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        number = self.number[codes].astype(np.int64)
+        pair = number[:-1] * self.base + number[1:]
+        cut = np.ones(len(codes), dtype=bool)
+        cut[1:] = self.bits[pair >> 3] >> (pair & 7).astype(np.uint8) & 1 == 0
+        cut[ends[:-1]] = True
+        at = np.flatnonzero(cut)
+        width = 1 + (codes >= 0x80).astype(np.int8) + (codes >= 0x800) + (codes >= 0x10000)
+        place = np.append(0, np.cumsum(width, dtype=np.int64))
+        offsets = place[np.append(at, len(codes))]
+        parts = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(joined.encode()))
+        return parts.dictionary_encode(), np.diff(np.searchsorted(at, np.append(0, ends)))
 
     def n_bests_of(self, texts: list[str]) -> list[tuple[list[bytes], list[float]]]:
         """ids as bytes and scores of the n best segmentations of each text."""
         self.prepare()
-        rows = [self.split(t) if t else [] for t in texts]
-        self.learn({x for row in rows for x in row})
-        return [self.n_best_of(row) for row in rows]
-
-    def n_best_of(self, texts: list[str]) -> tuple[list[bytes], list[float]]:
-        """ids as bytes and scores of the n best segmentations of a row of parts."""
-        if not texts:
-            return [b""], [0.0]
+        given = [t for t in texts if t]
+        if not given:
+            return [([b""], [0.0]) for _ in texts]
+        coded, counts = self.parts_of(given)
+        distinct, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        self.learn(distinct)
         part, known = self.part, self.store.get
-        found = [known(x) or part(x) for x in texts]
-        ids, scores, _ = zip(*found)
-        best = sum(scores)
-        nearest = self.behind(texts, found)
-        paths = [b"".join(ids), *(ids for _, ids in nearest)]
-        return paths, [best, *(best - b for b, _ in nearest)]
+        packed, score, gap = zip(*[known(x) or part(x) for x in distinct])
+        # the ids of all parts in the order of the texts
+        size = np.array([len(x) // 4 for x in packed])
+        n, from_ = size[at], (np.cumsum(size) - size)[at]
+        ends = np.cumsum(n)
+        every = np.frombuffer(b"".join(packed), dtype=np.int32)[np.repeat(from_ - ends + n, n) + np.arange(n.sum())]
+        score, gap, begin, end = np.array(score)[at], np.array(gap)[at], (ends - n) * 4, ends * 4
+        out, start, counts = [], 0, iter(counts.tolist())
+        for t in texts:
+            if not t:
+                out.append(([b""], [0.0]))
+                continue
+            own = slice(start, start := start + next(counts))
+            first = int(begin[own.start])
+            whole = every[first // 4:int(end[own.stop - 1]) // 4].tobytes()
+            best = float(score[own].sum())
+            paths, scores = [whole], [best]
+            for distance, departed in self.departures(lambda k, s=own.start: distinct[at[s + k]], gap[own]):
+                parts, last = [], 0
+                for k, ids in sorted(departed):
+                    parts += [whole[last:int(begin[own.start + k]) - first], ids]
+                    last = int(end[own.start + k]) - first
+                paths.append(b"".join([*parts, whole[last:]]))
+                scores.append(best - distance)
+            out.append((paths, scores))
+        return out
 
     def spelled(self, texts: list[str], paths: list[list[bytes]]) -> list[bool]:
         """Whether decoding the ids of each path of a text gives the text back."""
