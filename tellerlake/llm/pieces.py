@@ -434,9 +434,14 @@ class Pieces:
         return paths[0], scores, exact
 
     def decode(self, ids) -> str:
+        return self.decode_all([ids])[0]
+
+    def decode_all(self, rows: list) -> list[str | None]:
+        """The texts of rows of ids; null for null."""
         self.prepare()
         table = pa.array(self.bytes_of, pa.large_binary())
-        return bytes(_joined(table, np.asarray(ids, dtype=np.int64))).decode("utf-8", "replace")[1:]
+        return [None if ids is None else bytes(_joined(table, np.asarray(ids, dtype=np.int64))).decode("utf-8", "replace")[1:]
+                for ids in rows]
 
 
 def _joined(table: pa.Array, ids: np.ndarray) -> pa.Buffer | bytes:
@@ -577,7 +582,7 @@ def decoded(rows: DataFrame, model: Pieces | None = None, ids: str = "ids") -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _own(model)
         for batch in batches:
-            texts = [None if x.as_py() is None else own.decode(x.as_py()) for x in batch.column("ids")]
+            texts = own.decode_all([x.as_py() for x in batch.column("ids")])
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
 
     schema = T.StructType([source.schema["row"], T.StructField("text", T.StringType())])
