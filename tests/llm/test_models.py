@@ -2,6 +2,8 @@
 
 import collections
 import math
+import pickle
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -215,3 +217,48 @@ def test_large_logits_have_finite_slopes(small):
     for name in ("bias", "inner_bias"):
         model.p[name] -= np.float32(500)
     assert all(np.allclose(got[k], expected[k], atol=1e-3) for k in expected)
+
+
+def test_steps_and_strips_use_their_arrays_again(small):
+    model, ids, _, _ = small
+    model = pickle.loads(pickle.dumps(model))
+    assert all(x.dtype is np.dtype(np.float32) for x in model.p.values())  # as np.add.at asks for its fast way
+    text = np.concatenate([np.resize(ids[:-1], 100_000), ids[-1:]])
+    adam, rng = lm_score.Adam(model.p), np.random.default_rng(0)
+
+    def most(run):
+        tracemalloc.start()
+        run()
+        took = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return took
+
+    assert model.learn(text, adam, 0.01, rng) == len(text) // lm_score.HALF + 1
+    model.score(text, np.zeros(len(text), dtype=np.int64))
+    of_text = 16 * len(text)
+    assert most(lambda: model.learn(text, adam, 0.01, rng)) < 2 * of_text + 1_500_000
+    assert most(lambda: model.score(text, np.zeros(len(text), dtype=np.int64))) < 3 * of_text + 1_500_000
+
+
+@pytest.mark.parametrize("run", [1, 3, 8])
+def test_runs_of_windows_have_the_slopes_of_their_windows(small, run):
+    model, ids, _, _ = small
+    ids = np.resize(ids, 400)
+    ends = ids == len(model.cls) - 1
+    doc = np.cumsum(ends) - ends
+
+    def slopes(run):
+        x, of = model.windows(model.inputs(ids, doc), doc, run)
+        cls, row = np.zeros((2, len(x) * run * lm_score.HALF), dtype=np.int32)
+        cls[:len(ids)], row[:len(ids)] = model.cls[ids], model.row[ids]
+        return model._gradient(x, of, cls, row, (of[:, lm_score.HALF:] >= 0).reshape(-1))
+
+    one, got = slopes(1), slopes(run)
+    assert all(np.allclose(one[k], got[k], atol=1e-6) for k in one)
+
+
+def test_words_are_those_between_white_space():
+    texts = [None, b"", b" ", b" a b\x0b\x0cc ", b"a", b"\ta\n\nd\r\x1cx \xc2\xa0y", b"b"]
+    distinct, at, ends = lm_score._places(texts)
+    words = [[distinct[k] for k in at[s:e]] for s, e in zip([0, *ends], ends)]
+    assert words == [(t or b"").split() for t in texts] and len(set(distinct)) == len(distinct)
